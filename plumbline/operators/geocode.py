@@ -11,7 +11,7 @@ from plumbline.functions import constants as K
 from plumbline.functions.clean import city_variants
 
 from .match import closest_text
-from .scale import join_spreading_nulls
+from .scale import join_spreading_nulls, literal_rows
 
 PRECISION = {"zip": 0, "city": 1, "state": 2, "suspect": 3}
 
@@ -35,7 +35,7 @@ def city_states(gazetteer: DataFrame) -> DataFrame:
 
 def state_centroids(spark) -> DataFrame:
     rows = [(s, lat, lng) for s, (lat, lng) in K.STATE_CENTROIDS.items()]
-    return spark.createDataFrame(rows, "state string, lat double, lng double")
+    return literal_rows(spark, rows, "state string, lat double, lng double")
 
 
 def lookup_places(triples: DataFrame, gazetteer: DataFrame, centroids: DataFrame, cutoff: float = 0.85) -> DataFrame:

@@ -10,6 +10,7 @@ from itertools import combinations
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from plumbline.functions import constants as K
 from plumbline.functions.classify import confidence_tier
@@ -98,10 +99,16 @@ def near_pairs(left: DataFrame, right: DataFrame, group: list[str], lengths: Cal
     return a_keys.join(b_keys, [*group, "la", "lb", "i", "piece"]).select(*group, "left_text", "right_text").distinct()
 
 
-@F.pandas_udf("double")
-def sequence_ratio(candidate: pd.Series, word: pd.Series) -> pd.Series:
-    """Longest-matching-blocks similarity of two texts, per Arrow batch."""
-    return pd.Series([SequenceMatcher(None, a, b).ratio() for a, b in zip(candidate, word)], dtype="float64")
+def sequence_ratio():
+    """Longest-matching-blocks similarity of two texts, per Arrow batch.
+
+    Built inside a function so that it ships to the workers by value.
+    """
+
+    def ratio(candidate: pd.Series, word: pd.Series) -> pd.Series:
+        return pd.Series([SequenceMatcher(None, a, b).ratio() for a, b in zip(candidate, word)], dtype="float64")
+
+    return F.pandas_udf(ratio, T.DoubleType())
 
 
 def closest_text(words: DataFrame, dictionary: DataFrame, group: list[str], cutoff: float = 0.85) -> DataFrame:
@@ -115,7 +122,7 @@ def closest_text(words: DataFrame, dictionary: DataFrame, group: list[str], cuto
         lengths=lambda n: (F.ceil(n * cutoff / (2 - cutoff) - 1e-9), F.floor(n * (2 - cutoff) / cutoff + 1e-9)),
         max_edits=lambda x, y: F.floor((x + y) * spare + 1e-9),
     )
-    scored = pairs.withColumn("ratio", sequence_ratio("right_text", "left_text")).where(F.col("ratio") >= cutoff)
+    scored = pairs.withColumn("ratio", sequence_ratio()("right_text", "left_text")).where(F.col("ratio") >= cutoff)
     best = scored.groupBy(*group, "left_text").agg(F.max(F.struct("ratio", "right_text")).alias("b"))
     return best.select(*group, "left_text", F.col("b.right_text").alias("match"), F.col("b.ratio").alias("ratio"))
 

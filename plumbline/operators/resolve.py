@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from plumbline.functions import constants as K
 from plumbline.functions.clean import as_col, blank_to_null, composite_id, lookup
 
-from .scale import first_per_key, joined_set, rank_in_blocks
+from .scale import first_per_key, joined_set, literal_rows, rank_in_blocks
 
 OBSERVATION = ["entity_key", "field", "source", "value_norm"]
 
@@ -93,8 +93,7 @@ def source_ranking(trust: DataFrame, fields: list[str], default_order: list[str]
     """(field, source, rank) - learned sources by trust, then the default order."""
     order = default_order or K.DEFAULT_SOURCE_ORDER
     spark = trust.sparkSession
-    defaults = spark.createDataFrame([(f, s, i) for f in fields for i, s in enumerate(order)],
-                                     "field string, source string, position int")
+    defaults = literal_rows(spark, [(f, s, i) for f in fields for i, s in enumerate(order)], "field string, source string, position int")
     both = defaults.join(trust.select("field", "source", "trust"), ["field", "source"], "full")
     # One small row set per field: sources are named systems, not data.
     listed = both.groupBy("field").agg(F.array_sort(F.collect_list(F.struct(

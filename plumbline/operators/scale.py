@@ -116,3 +116,11 @@ def joined_set(value: Column | str, sep: str = ",") -> Column:
     """Aggregate: distinct values in order, as text. For value domains that are small by nature
     (systems, sources, years, document labels)."""
     return F.array_join(F.array_sort(F.collect_set(value)), sep)
+
+
+def literal_rows(spark, rows: list[tuple], schema: str) -> DataFrame:
+    """A small fixed table as a literal, without a round trip through Python."""
+    names = [part.split()[0] for part in schema.split(",")]
+    types = [part.split()[1] for part in schema.split(",")]
+    structs = [F.struct(*[F.lit(v).cast(t).alias(n) for v, n, t in zip(row, names, types)]) for row in rows]
+    return spark.range(1).select(F.inline(F.array(*structs)))
