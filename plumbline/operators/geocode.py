@@ -2,16 +2,15 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from plumbline.functions import constants as K
 from plumbline.functions.clean import city_variants
+from plumbline.session import reliable_checkpoint
 
 from .match import closest_text
-from .scale import join_spreading_nulls, literal_rows
+from .scale import join_null_safe, join_spreading_nulls, literal_rows
 
 PRECISION = {"zip": 0, "city": 1, "state": 2, "suspect": 3}
 
@@ -68,10 +67,6 @@ def lookup_places(triples: DataFrame, gazetteer: DataFrame, centroids: DataFrame
                          precision.alias("prec"))
 
 
-def _same(a: DataFrame, b: DataFrame, columns: list[str]):
-    return reduce(lambda x, y: x & y, [a[c].eqNullSafe(b[c]) for c in columns])
-
-
 def geocode(triples: DataFrame, gazetteer: DataFrame, centroids: DataFrame, cutoff: float = 0.85) -> DataFrame:
     """Every distinct triple placed, wrong states corrected where only one state is possible.
 
@@ -86,23 +81,20 @@ def geocode(triples: DataFrame, gazetteer: DataFrame, centroids: DataFrame, cuto
         F.lit(False))
     fixable = suspect & (F.size("valid_states") == 1) & ~F.col("zip_state").eqNullSafe(F.col("state"))
     judged = known.withColumns({"suspect": suspect, "corrected": F.coalesce(fixable, F.lit(False))})
-    judged = judged.withColumn("placed_state", F.when(F.col("corrected"), F.get("valid_states", F.lit(0))).otherwise(F.col("state")))
+    # Read three times below, and much smaller than the rows it stands for.
+    judged = reliable_checkpoint(judged.withColumn("placed_state", F.when(F.col("corrected"), F.get("valid_states", F.lit(0))).otherwise(F.col("state"))))
     moved = judged.where(F.col("corrected")).select("city", F.col("placed_state").alias("state"), "zip")
     second = lookup_places(moved, gazetteer, centroids, cutoff).select(
         "city", F.col("state").alias("placed_state"), "zip", *[F.col(c).alias(f"_{c}") for c in ("lat", "lng", "prec")])
-    again = judged.where(F.col("corrected"))
-    again = again.join(second, _same(again, second, ["city", "placed_state", "zip"]), "left").select(
-        *[again[c] for c in judged.columns if c not in ("lat", "lng", "prec")],
-        *[F.coalesce(second[f"_{c}"], again[c]).alias(c) for c in ("lat", "lng", "prec")])
+    again = join_null_safe(judged.where(F.col("corrected")), second, ["city", "placed_state", "zip"])
+    again = again.withColumns({c: F.coalesce(f"_{c}", c) for c in ("lat", "lng", "prec")}).drop("_lat", "_lng", "_prec")
     kept = judged.where(~F.col("corrected")).withColumn("prec", F.when(F.col("suspect"), PRECISION["suspect"]).otherwise(F.col("prec")))
     return kept.unionByName(again).select("city", "state", "zip", "placed_state", "lat", "lng", "prec", "suspect", "corrected", "valid_states")
 
 
 def place_rows(rows: DataFrame, placed: DataFrame) -> DataFrame:
     """Rows with the place of their (city, state, zip); X02 location key included."""
-    columns = ["city", "state", "zip"]
-    joined = rows.join(placed, _same(rows, placed, columns), "left")
-    return joined.select(*[rows[c] for c in rows.columns], *[placed[c] for c in placed.columns if c not in columns]).withColumn(
+    return join_null_safe(rows, placed, ["city", "state", "zip"]).withColumn(
         "loc_key", F.concat_ws(",", F.format_number("lat", 4), F.format_number("lng", 4)))
 
 

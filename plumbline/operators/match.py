@@ -14,8 +14,9 @@ from pyspark.sql import types as T
 
 from plumbline.functions import constants as K
 from plumbline.functions.classify import confidence_tier
+from plumbline.session import reliable_checkpoint
 
-from .scale import share
+from .scale import join_null_safe, share
 
 # ---------------------------------------------------------------- containment join
 
@@ -129,7 +130,7 @@ def closest_text(words: DataFrame, dictionary: DataFrame, group: list[str], cuto
 
 def closest_by_edits(words: DataFrame, dictionary: DataFrame, group: list[str], edits: int) -> DataFrame:
     """J16, edit-distance form: the nearest dictionary text within ``edits``; the smaller text wins a tie."""
-    pairs = near_pairs(words, dictionary, group, lengths=lambda n: (n - edits, n + edits), max_edits=lambda x, y: F.lit(edits))
+    pairs = near_pairs(words, dictionary, group, lengths=lambda n: (n - edits, n + edits), max_edits=lambda x, y: F.least(F.lit(edits), x + y))
     scored = pairs.withColumn("distance", F.levenshtein("left_text", "right_text", edits)).where(F.col("distance") >= 0)
     best = scored.groupBy(*group, "left_text").agg(F.min(F.struct("distance", "right_text")).alias("b"))
     return best.select(*group, "left_text", F.col("b.right_text").alias("match"), F.col("b.distance").alias("distance"))
@@ -137,15 +138,30 @@ def closest_by_edits(words: DataFrame, dictionary: DataFrame, group: list[str],
 
 # ---------------------------------------------------------------- key repair
 
-CRITERIA = {"Customer": "cust", "State": "state", "Date": "day"}
+CRITERIA = ["Customer", "State", "Date"]
+SUBSETS = [c for n in (3, 2, 1, 0) for c in combinations(CRITERIA, n)]
+NO_DAY = "1000-01-01"
 _SMALLEST = 5
+_KEY = ["subset", "prefix", "k_cust", "k_state", "k_day"]
 
 
-def _subsets(names: list[str], size: int) -> list[tuple[str, ...]]:
-    return list(combinations(names, size))
+def _id(subset: tuple[str, ...]) -> str:
+    return "+".join(subset)
 
 
-def best_candidates(requests: DataFrame, codes: DataFrame, names: DataFrame, base: list[str], window: int = K.DATE_WINDOW_DAYS) -> DataFrame:
+def _kept(subset) -> list[Column]:
+    """Key columns of one count: values of its criteria, fixed fillers for the others."""
+    has = lambda c: c in subset
+    return [
+        F.lit(_id(subset)).alias("subset"), (F.col("cust") if has("Customer") else F.lit("")).alias("k_cust"),
+        (F.col("state") if has("State") else F.lit("")).alias("k_state"), (F.col("day") if has("Date") else F.lit(NO_DAY).cast("date")).alias("k_day")]
+
+
+def _given(column: str, criterion: str, subset) -> Column:
+    return F.col(column).isNotNull() if criterion in subset else F.lit(True)
+
+
+def best_candidates(requests: DataFrame, codes: DataFrame, names: DataFrame, window: int = K.DATE_WINDOW_DAYS) -> DataFrame:
     """Best code, score, tie count and first tied codes for every distinct request.
 
     A request gets one point per criterion a code meets. Instead of pairing requests with codes,
@@ -154,29 +170,47 @@ def best_candidates(requests: DataFrame, codes: DataFrame, names: DataFrame, bas
     the codes that meet two of them cannot be in two of the counts, so the counts simply add up;
     the same holds one level down. Work grows with requests plus codes, not with their product.
 
-    ``requests``: ``base`` columns and ``cust, state, day``; ``codes``: ``base`` columns and
-    ``code, customer, state, day``; ``names``: pairs (cust, customer) that match. With a ``base``
-    (the prefix) every code of the base is a candidate; without one only codes that share the
-    customer or the state are.
+    ``requests``: ``prefix, cust, state, day``; ``codes``: ``prefix, code, customer, state, day``;
+    ``names``: pairs (cust, customer) that match. With a prefix every code that has it is a
+    candidate; with the empty one only codes that share the customer or the state are.
     """
-    facts = codes.select(*base, "code", "customer", F.col("state"), F.col("day").alias("released"))
-    named = facts.join(names, "customer")
-    out = requests.select(*base, "cust", "state", "day").distinct()
-    wanted = [s for n in (3, 2, 1, 0) for s in _subsets(list(CRITERIA), n)]
-    wanted = [s for s in wanted if base or s not in ((), ("Date",))]
-    for subset in wanted:
-        keys = [*base, *[CRITERIA[c] for c in subset]]
-        source = named if "Customer" in subset else facts
-        if "Date" in subset:
-            days = F.sequence(F.date_sub("released", window), F.date_add("released", window))
-            source = source.where(F.col("released").isNotNull()).withColumn("day", F.explode(days))
-        asked = out.select(*keys).distinct()
-        counted = source.join(asked, keys, "left_semi").groupBy(*keys).agg(
-            F.count("*").alias(_n(subset)),
-            F.slice(F.array_sort(F.collect_list("code")), 1, _SMALLEST).alias(_t(subset)),
-        )
-        out = out.join(counted, keys, "left")
-    return _pick(out, bool(base), wanted)
+    asked = requests.select("prefix", "cust", "state", "day").distinct()
+    wanted = F.filter(
+        F.array(*[
+            F.when(
+                _given("cust", "Customer", s) & _given("state", "State", s) & _given("day", "Date", s)
+                & (F.lit(s not in ((), ("Date",))) | (F.col("prefix") != "")),
+                F.struct(*_kept(s)))
+            for s in SUBSETS]),
+        lambda k: k.isNotNull())
+    keyed = asked.select("prefix", "cust", "state", "day", F.inline(wanted))
+    released = F.col("released")
+    days = F.sequence(F.date_sub(released, window), F.date_add(released, window))
+
+    def listed(source, subsets):
+        """One row per code, count and - for counts by date - day within the window."""
+        tags = F.array(*[F.struct(F.lit("Date" in s).alias("dated"), F.lit(_id(s)).alias("subset"),
+                                  F.lit("State" in s).alias("by_state")) for s in subsets])
+        rows = source.select("prefix", "code", "cust", "state", "released", F.inline(tags))
+        rows = rows.where((~F.col("dated") | released.isNotNull()) & (~F.col("by_state") | F.col("state").isNotNull()))
+        rows = rows.withColumn("k_state", F.when(F.col("by_state"), F.col("state")).otherwise(F.lit("")))
+        # Only counts somebody asks for are spread over their days.
+        some = keyed.select("subset", "prefix", "k_cust", "k_state").distinct()
+        rows = rows.withColumnRenamed("cust", "k_cust").join(some, ["subset", "prefix", "k_cust", "k_state"], "left_semi")
+        fixed = F.array(F.lit(NO_DAY).cast("date"))
+        return rows.select("subset", "prefix", "code", "k_cust", "k_state", F.explode(F.when(F.col("dated"), days).otherwise(fixed)).alias("k_day"))
+
+    facts = codes.select("prefix", "code", "customer", "state", F.col("day").alias("released"))
+    named = facts.join(names, "customer").drop("customer")
+    plain = facts.drop("customer").withColumn("cust", F.lit(""))
+    rows = listed(named, [s for s in SUBSETS if "Customer" in s]).unionByName(listed(plain, [s for s in SUBSETS if "Customer" not in s]))
+    counted = rows.join(keyed.select(*_KEY).distinct(), _KEY, "left_semi").groupBy(*_KEY).agg(
+        F.count("*").alias("n"), F.slice(F.array_sort(F.collect_list("code")), 1, _SMALLEST).alias("first"))
+    found = keyed.join(counted, _KEY)
+    wide = found.groupBy("prefix", "cust", "state", "day").agg(
+        *[F.max(F.when(F.col("subset") == _id(s), F.col("n"))).alias(_n(s)) for s in SUBSETS],
+        *[F.max(F.when(F.col("subset") == _id(s), F.col("first"))).alias(_t(s)) for s in SUBSETS])
+    return _pick(wide)
 
 
 def _n(subset) -> str:
@@ -187,37 +221,33 @@ def _t(subset) -> str:
     return "t_" + ("_".join(subset) or "Base")
 
 
-def _pick(counted: DataFrame, has_base: bool, wanted: list[tuple[str, ...]]) -> DataFrame:
+def _pick(counted: DataFrame) -> DataFrame:
     n = lambda s: F.coalesce(F.col(_n(s)), F.lit(0).cast("bigint"))
     none = F.array().cast("array<string>")
-    level = lambda size: [s for s in wanted if len(s) == size]
-    total = lambda size: reduce(lambda a, b: a + b, [n(s) for s in level(size)], F.lit(0).cast("bigint"))
-    firsts = lambda size: F.concat(none, *[F.coalesce(F.col(_t(s)), none) for s in level(size)])
-    met = F.when(total(3) > 0, 3).when(total(2) > 0, 2).when(total(1) > 0, 1)
-    met = met.when(total(0) > 0, 0) if has_base else met
-    tied = F.when(total(3) > 0, total(3)).when(total(2) > 0, total(2)).when(total(1) > 0, total(1)).otherwise(total(0))
-    listed = F.when(total(3) > 0, firsts(3)).when(total(2) > 0, firsts(2)).when(total(1) > 0, firsts(1)).otherwise(firsts(0))
-    pool = n(()) if has_base else n(("Customer",)) + n(("State",)) - n(("Customer", "State"))
+    level = lambda size: [s for s in SUBSETS if len(s) == size]
+    total = lambda size: reduce(lambda a, b: a + b, [n(s) for s in level(size)])
+    firsts = lambda size: F.concat(*[F.coalesce(F.col(_t(s)), none) for s in level(size)])
+    by_level = lambda value: (
+        F.when(total(3) > 0, value(3)).when(total(2) > 0, value(2)).when(total(1) > 0, value(1)).when(total(0) > 0, value(0)))
+    pool = F.when(F.col("prefix") != "", n(())).otherwise(n(("Customer",)) + n(("State",)) - n(("Customer", "State")))
     picked = counted.withColumns({
-        "met": met, "tied": tied, "pool": pool,
-        "first_tied": F.slice(F.array_sort(listed), 1, _SMALLEST),
+        "met": by_level(F.lit), "tied": by_level(total), "pool": pool,
+        "first_tied": F.slice(F.array_sort(by_level(firsts)), 1, _SMALLEST),
     }).withColumn("best_code", F.get("first_tied", F.lit(0)))
     named = lambda s: F.array_contains(F.coalesce(F.col(_t(s)), none), F.col("best_code"))
-    method = F.coalesce(*[F.when((F.col("met") == len(s)) & named(s), F.lit("+".join(s))) for s in wanted], F.lit(""))
-    keep = [c for c in counted.columns if not c.startswith(("n_", "t_"))]
-    return picked.withColumn("criteria", method).select(*keep, "best_code", "met", "criteria", "tied", "first_tied", "pool")
+    method = F.coalesce(*[F.when((F.col("met") == len(s)) & named(s), F.lit(_id(s))) for s in SUBSETS], F.lit(""))
+    return picked.withColumn("criteria", method).select(
+        "prefix", "cust", "state", "day", "best_code", "met", "criteria", "tied", "first_tied", "pool")
 
 
-def _notes(is_null: bool) -> Column:
+def _notes(is_null: Column) -> Column:
     tie = F.concat(
         F.lit("Tied "), F.col("tied"), F.lit(" candidates at score "), F.col("score"), F.lit(": "), F.array_join("first_tied", ", "),
         F.when(F.col("tied") > _SMALLEST, F.concat(F.lit(" (+"), F.col("tied") - _SMALLEST, F.lit(" more)"))).otherwise(F.lit("")),
     )
-    best = F.concat(F.lit("Best of "), F.col("pool"), F.lit(" candidates (score "), F.col("score"), F.lit(")"))
-    if is_null:
-        return F.when(F.col("tied") > 1, tie).otherwise(best)
     single = F.concat(F.lit("Single prefix match -> "), F.col("best_code"))
-    return F.when(F.col("tied") > 1, tie).when(F.col("pool") == 1, single).otherwise(best)
+    best = F.concat(F.lit("Best of "), F.col("pool"), F.lit(" candidates (score "), F.col("score"), F.lit(")"))
+    return F.when(F.col("tied") > 1, tie).when(~is_null & (F.col("pool") == 1), single).otherwise(best)
 
 
 def repair_keys(rows: DataFrame, registry: DataFrame, first_day: str = K.FIRST_CODED_DAY,
@@ -250,33 +280,24 @@ def repair_keys(rows: DataFrame, registry: DataFrame, first_day: str = K.FIRST_C
         .when(F.col("head_valid"), "long")
         .otherwise("prefix")
     )
-    asked = asked.withColumns({"branch": branch, "prefix": F.substring("upper_code", 1, 2)})
+    # Both tables are read once per count below, so they are worked out once and kept.
+    asked = reliable_checkpoint(asked.withColumns({"branch": branch, "prefix": F.substring("upper_code", 1, 2)}))
+    codes = reliable_checkpoint(codes)
     names = names_either_way(
         asked.where(F.col("branch").isin("null", "prefix") & F.col("cust").isNotNull()).select(F.col("cust").alias("left_name")),
         codes.where(F.col("customer").isNotNull()).select(F.col("customer").alias("right_name")),
     ).select(F.col("left_name").alias("cust"), F.col("right_name").alias("customer"))
 
-    def requests(which):
-        return asked.where(F.col("branch") == which).select(
-            *asked_columns, "raw", "upper_code", "prefix", "cust",
-            F.col("request_state").alias("_state"), F.col("ship_day").alias("_day"))
-
-    prefixed = codes.select("*", F.explode(F.array_distinct(F.array(F.substring("code", 1, 1), F.substring("code", 1, 2)))).alias("prefix"))
-    verdicts = [_fixed(asked), _manual(asked, prefixed)]
-    for which, base, table in (("null", [], codes), ("prefix", ["prefix"], prefixed)):
-        own = requests(which)
-        keyed = own.select(*base, "cust", F.col("_state").alias("state"), F.col("_day").alias("day"))
-        best = best_candidates(keyed, table, names, base, window)
-        same = [own[b] == best[b] for b in base] + [
-            own["cust"].eqNullSafe(best["cust"]), own["_state"].eqNullSafe(best["state"]), own["_day"].eqNullSafe(best["day"])]
-        joined = own.join(best.select(*[F.col(c) for c in best.columns]), reduce(lambda x, y: x & y, same), "left")
-        joined = joined.select(*[own[c] for c in [*asked_columns, "raw", "upper_code", "prefix"]],
-                               *[best[c] for c in ("best_code", "met", "criteria", "tied", "first_tied", "pool")])
-        verdicts.append(_verdict(joined, which))
+    heads = F.array(F.lit(""), F.substring("code", 1, 1), F.substring("code", 1, 2))
+    prefixed = codes.select("*", F.explode(heads).alias("prefix"))
+    own = asked.where(F.col("branch").isin("null", "prefix")).select(
+        *asked_columns, "raw", "branch", "prefix", "cust", F.col("request_state").alias("_state"), F.col("ship_day").alias("_day"))
+    keyed = own.select("prefix", "cust", F.col("_state").alias("state"), F.col("_day").alias("day"))
+    best = best_candidates(keyed, prefixed, names, window).withColumnsRenamed({"state": "_state", "day": "_day"})
+    scored = join_null_safe(own, best, ["prefix", "cust", "_state", "_day"])
+    verdicts = [_fixed(asked), _manual(asked, prefixed), _verdict(scored)]
     verdict = reduce(lambda a, b: a.unionByName(b), verdicts)
-    match = reduce(lambda a, b: a & b, [rows[c].eqNullSafe(verdict[c]) for c in asked_columns])
-    return rows.join(verdict, match, "left").select(*[rows[c] for c in rows.columns],
-                                                     *[verdict[c] for c in VERDICT])
+    return join_null_safe(rows, verdict, asked_columns)
 
 
 VERDICT = ["fixed_code", "repair_status", "repair_confidence", "repair_method", "repair_notes"]
@@ -313,37 +334,33 @@ def _manual(asked: DataFrame, prefixed: DataFrame) -> DataFrame:
                             repair_method=F.lit("Prefix"), repair_notes=notes)
 
 
-def _verdict(best: DataFrame, which: str) -> DataFrame:
-    is_null = which == "null"
+def _verdict(best: DataFrame) -> DataFrame:
+    is_null = F.col("branch") == "null"
     # The prefix point counts only when the row's own text, as written, starts the code.
-    point = F.lit(0) if is_null else F.when(F.col("raw") == F.col("prefix"), 1).otherwise(0)
-    scored = best.withColumn("score", F.coalesce(F.col("met") + point, F.lit(0)))
-    prefix = F.lit("") if is_null else F.when(point == 1, F.lit("Prefix")).otherwise(F.lit(""))
-    method = F.concat_ws("+", F.nullif(prefix, F.lit("")), F.nullif(F.col("criteria"), F.lit("")))
+    point = F.when(~is_null & (F.col("raw") == F.col("prefix")), 1).otherwise(0)
+    scored = best.withColumns({"point": point, "score": F.coalesce(F.col("met") + point, F.lit(0))})
     scored = scored.withColumn("notes", _notes(is_null))
     s, found = F.col("score"), F.col("best_code").isNotNull()
+    prefix = F.when(F.col("point") == 1, F.lit("Prefix"))
+    method = F.concat_ws("+", prefix, F.nullif("criteria", F.lit("")))
+    good = F.when(is_null, s >= 2).otherwise(s >= 1)
     quoted = F.concat(F.lit("'"), F.col("raw"), F.lit("'"))
-    if is_null:
-        good = s >= 2
-        tag = F.when(F.col("ship_day").isNull(), F.lit("[No ship date] ")).otherwise(F.lit(""))
-        failed = F.when(found, F.col("notes")).otherwise(F.lit("No customer or state match found in registry"))
-        notes = F.when(good, F.concat(tag, F.col("notes"))).otherwise(failed)
-        status = F.when(good, "ATTRIBUTED").otherwise("UNRESOLVABLE")
-    else:
-        good = s >= 1
-        arrow = F.concat(quoted, F.lit(" -> '"), F.col("best_code"), F.lit("'"))
-        failed = F.when(found, F.concat(F.lit("All candidates scored 0 (tried "), F.col("pool"), F.lit(" codes)"))).otherwise(
-            F.concat(F.lit("No registry code starts with "), quoted))
-        notes = (
-            F.when(s >= 2, F.concat(arrow, F.lit(". "), F.col("notes")))
-            .when(s == 1, F.concat(arrow, F.lit(" (low confidence). "), F.col("notes")))
-            .otherwise(F.concat(quoted, F.lit(" not fixable. "), failed))
-        )
-        status = F.when(good, "REPAIRED").otherwise("UNRESOLVABLE")
+    arrow = F.concat(quoted, F.lit(" -> '"), F.col("best_code"), F.lit("'"))
+    undated = F.when(F.col("ship_day").isNull(), F.lit("[No ship date] ")).otherwise(F.lit(""))
+    unfixed = F.when(found, F.concat(F.lit("All candidates scored 0 (tried "), F.col("pool"), F.lit(" codes)"))).otherwise(
+        F.concat(F.lit("No registry code starts with "), quoted))
+    notes = (
+        F.when(is_null & good, F.concat(undated, F.col("notes")))
+        .when(is_null & found, F.col("notes"))
+        .when(is_null, F.lit("No customer or state match found in registry"))
+        .when(s >= 2, F.concat(arrow, F.lit(". "), F.col("notes")))
+        .when(s == 1, F.concat(arrow, F.lit(" (low confidence). "), F.col("notes")))
+        .otherwise(F.concat(quoted, F.lit(" not fixable. "), unfixed))
+    )
     return _verdict_columns(
         scored,
         fixed_code=F.when(good, F.col("best_code")).otherwise(F.lit("")),
-        repair_status=status,
+        repair_status=F.when(~good, "UNRESOLVABLE").when(is_null, "ATTRIBUTED").otherwise("REPAIRED"),
         repair_confidence=F.when(good, confidence_tier("score")).otherwise(F.lit("n/a")),
         repair_method=F.when(s > 0, method).otherwise(F.lit("")),
         repair_notes=notes,

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from plumbline.functions.clean import blank_to_null, code_to_int, filled_count, int_to_code, leading_year
 
-from .scale import dense_index, first_filled, top_per_key
+from .scale import dense_index, first_filled, join_null_safe, top_per_key
 
 
 def registry_source(df: DataFrame, key: str, row_no: str, name: str, first: dict[str, Column] | None = None,
@@ -134,8 +134,7 @@ def size_histogram(rows: DataFrame, keys: list[str], size: Column) -> DataFrame:
 def encode(rows: DataFrame, columns: list[str], out: str) -> tuple[DataFrame, DataFrame]:
     """Rows with a dense id in place of the columns, and the dictionary."""
     dictionary = dense_index(rows, columns, out)
-    match = reduce(lambda a, b: a & b, [rows[c].eqNullSafe(dictionary[c]) for c in columns])
-    coded = rows.join(dictionary, match, "left").select(*[rows[c] for c in rows.columns if c not in columns], dictionary[out])
+    coded = join_null_safe(rows, dictionary, columns).drop(*columns)
     return coded, dictionary
 
 

@@ -99,6 +99,14 @@ def join_spreading_nulls(left: DataFrame, right: DataFrame, keys: list[str], how
     return salted.join(right.withColumn("_salt", F.lit(0)), [*keys, "_salt"], how).drop("_salt")
 
 
+def join_null_safe(left: DataFrame, right: DataFrame, keys: list[str], how: str = "left") -> DataFrame:
+    """Equi-join in which NULL keys equal each other; the right side's other columns are added."""
+    other = [c for c in right.columns if c not in keys]
+    renamed = right.select(*[F.col(k).alias(f"_k_{k}") for k in keys], *other)
+    match = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in keys])
+    return left.join(renamed, match, how).drop(*[f"_k_{k}" for k in keys])
+
+
 def share(df: DataFrame, value: str, out: str, digits: int = 4) -> DataFrame:
     """Part of the grand total; the total is a one-row scalar, not a window over all rows."""
     total = df.agg(F.sum(value).alias("total"))
