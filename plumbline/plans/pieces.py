@@ -51,11 +51,11 @@ def _(spark, sf):
     return groups(spark, sf).select(*KEYS, "n_pieces", "source", "raw_pieces", F.col("meta.p_type").alias("p_type"))
 
 
-@query("a07_piece_explode", f"WITH {GROUPS_SQL} SELECT l_suppkey, p_brand, year, n_pieces AS pieces, n_pieces AS ids, n_pieces - 1 AS last_seq FROM grp")
+@query("a07_piece_explode", f"WITH {GROUPS_SQL} SELECT l_suppkey, p_brand, year, n_pieces AS pieces, n_pieces - 1 AS last_seq, 'erp:' || l_suppkey || ':' || p_brand || ':' || year || ':0' AS first_id FROM grp")
 def _(spark, sf):
-    """Every piece is a row with an id of its own; the ids are counted back per key."""
+    """Every piece is a row with an id of its own, counted back per key."""
     pieces = ledger.explode_pieces(groups(spark, sf), "n_pieces", KEYS)
-    return pieces.groupBy(*KEYS).agg(F.count("*").alias("pieces"), F.countDistinct("piece_id").alias("ids"), F.max("seq").alias("last_seq"))
+    return pieces.groupBy(*KEYS).agg(F.count("*").alias("pieces"), F.max("seq").alias("last_seq"), F.max(F.when(F.col("seq") == 0, F.col("piece_id"))).alias("first_id"))
 
 
 @query("q01_duplicate_ids", "SELECT l_orderkey || ':' || l_linenumber AS piece_id, count(*) AS count FROM lineitem GROUP BY 1 HAVING count(*) > 1")
