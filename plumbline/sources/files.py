@@ -93,8 +93,10 @@ def sheet_records(rows: DataFrame, columns: list[str], width: int = 64) -> DataF
 
 def read_pages(spark: SparkSession, path: str) -> DataFrame:
     """One row per text file with its name and whole text."""
-    df = spark.read.option("wholetext", True).text(path)
-    return df.select(F.col("_metadata.file_name").alias("file_name"), F.col("value").alias("text"))
+    df = spark.read.text(path, wholetext=True)
+    # File names arrive percent-encoded; a plus sign in one stands for itself.
+    name = F.url_decode(F.regexp_replace(F.col("_metadata.file_name"), r"\+", "%2B"))
+    return df.select(name.alias("file_name"), F.col("value").alias("text"))
 
 
 def front_matter(text) -> Column:
