@@ -59,7 +59,7 @@ def lookup_places(triples: DataFrame, gazetteer: DataFrame, centroids: DataFrame
     fuzzy = near.join(forms.withColumnRenamed("form", "match"), ["match", "state"]).select(
         F.col("left_text").alias("city"), "state", F.col("point").alias("_city_point"))
     placed = asked.join(exact.unionByName(fuzzy), ["city", "state"], "left")
-    middle = F.broadcast(centroids.select("state", F.struct("lat", "lng").alias("_state_point")))
+    middle = centroids.select("state", F.struct("lat", "lng").alias("_state_point"))
     placed = placed.join(middle, "state", "left")
     point = F.coalesce("_zip_point", "_city_point", "_state_point")
     precision = F.when(F.col("_zip_point").isNotNull(), 0).when(F.col("_city_point").isNotNull(), 1).when(F.col("_state_point").isNotNull(), 2)

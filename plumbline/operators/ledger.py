@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from plumbline.functions.clean import composite_id
 
-from .scale import first_filled, join_spreading_nulls, joined_set
+from .scale import first_filled, join_spreading_nulls, joined_set, spread
 
 CHUNK = 10_000
 
@@ -35,7 +35,7 @@ def dedup_systems(quantities: DataFrame, keys: list[str], system: str) -> DataFr
     )
 
 
-def explode_pieces(groups: DataFrame, n: str, id_parts: list, chunk: int = CHUNK) -> DataFrame:
+def explode_pieces(groups: DataFrame, n: str, id_parts: list[str], chunk: int = CHUNK) -> DataFrame:
     """One row per piece with its sequence and id.
 
     A group is cut into chunks first and the chunks are spread over the cluster, so a group of any
@@ -43,10 +43,9 @@ def explode_pieces(groups: DataFrame, n: str, id_parts: list, chunk: int = CHUNK
     """
     steps = F.sequence(F.lit(0).cast("bigint"), F.floor((F.col(n) - 1) / chunk).cast("bigint"))
     chunked = groups.where(F.col(n) > 0).withColumn("_chunk", F.explode(steps))
-    spread = chunked.repartition(F.xxhash64(*[F.col(c) if isinstance(c, str) else c for c in id_parts], F.col("_chunk")))
     first = F.col("_chunk") * chunk
     last = F.least(F.col(n).cast("bigint"), first + chunk) - 1
-    pieces = spread.withColumn("seq", F.explode(F.sequence(first, last))).drop("_chunk")
+    pieces = spread(chunked, *id_parts, "_chunk").withColumn("seq", F.explode(F.sequence(first, last))).drop("_chunk")
     return pieces.withColumn("piece_id", composite_id(F.lit("erp"), *id_parts, "seq", sep=":"))
 
 

@@ -16,7 +16,7 @@ from plumbline.functions import constants as K
 from plumbline.functions.classify import confidence_tier
 from plumbline.session import reliable_checkpoint
 
-from .scale import join_null_safe, share
+from .scale import dense_index, join_null_safe, share, spread
 
 # ---------------------------------------------------------------- containment join
 
@@ -33,7 +33,7 @@ def contained_in(short: DataFrame, long: DataFrame) -> DataFrame:
     from an equi-join on the rarest piece of the short text instead of a comparison of all pairs.
     Both inputs have one text column, named ``short`` and ``long``.
     """
-    texts = long.where(F.length("long") > 0).distinct()
+    texts = spread(long.where(F.length("long") > 0).distinct())
     sizes = F.sequence(F.lit(1), F.least(F.lit(3), F.length("long")))
     pieces = texts.select("long", F.explode(F.flatten(F.transform(sizes, lambda n: _grams(F.col("long"), n)))).alias("piece"))
     frequency = pieces.groupBy("piece").agg(F.count("*").alias("n_texts"))
@@ -79,8 +79,8 @@ def near_pairs(left: DataFrame, right: DataFrame, group: list[str], lengths: Cal
     an equi-join on (group, lengths, piece), and its cost follows shared pieces, not group size.
     ``lengths`` gives the partner lengths worth trying, ``max_edits`` the edits for two lengths.
     """
-    a = left.select(*group, "left_text").distinct().withColumn("la", F.length("left_text"))
-    b = right.select(*group, "right_text").distinct().withColumn("lb", F.length("right_text"))
+    a = spread(left.select(*group, "left_text").distinct()).withColumn("la", F.length("left_text"))
+    b = spread(right.select(*group, "right_text").distinct()).withColumn("lb", F.length("right_text"))
 
     def span(n):
         low, high = lengths(F.col(n))
@@ -142,7 +142,16 @@ CRITERIA = ["Customer", "State", "Date"]
 SUBSETS = [c for n in (3, 2, 1, 0) for c in combinations(CRITERIA, n)]
 NO_DAY = "1000-01-01"
 _SMALLEST = 5
-_KEY = ["subset", "prefix", "k_cust", "k_state", "k_day"]
+_GROUP = ["subset", "prefix", "k_cust", "k_state"]
+
+
+def _days(c: str) -> Column:
+    """Days since the filler day, which itself is 0."""
+    return F.datediff(F.col(c), F.lit(NO_DAY).cast("date"))
+
+
+def _count_key(day: str) -> Column:
+    return F.shiftleft("group_no", 20) + _days(day)
 
 
 def _id(subset: tuple[str, ...]) -> str:
@@ -174,39 +183,38 @@ def best_candidates(requests: DataFrame, codes: DataFrame, names: DataFrame, win
     ``names``: pairs (cust, customer) that match. With a prefix every code that has it is a
     candidate; with the empty one only codes that share the customer or the state are.
     """
-    asked = requests.select("prefix", "cust", "state", "day").distinct()
-    wanted = F.filter(
-        F.array(*[
-            F.when(
-                _given("cust", "Customer", s) & _given("state", "State", s) & _given("day", "Date", s)
-                & (F.lit(s not in ((), ("Date",))) | (F.col("prefix") != "")),
-                F.struct(*_kept(s)))
-            for s in SUBSETS]),
-        lambda k: k.isNotNull())
-    keyed = asked.select("prefix", "cust", "state", "day", F.inline(wanted))
-    released = F.col("released")
-    days = F.sequence(F.date_sub(released, window), F.date_add(released, window))
+    asked = spread(requests.select("prefix", "cust", "state", "day").distinct())
+    looked_up = F.array(*[
+        F.when(
+            _given("cust", "Customer", s) & _given("state", "State", s) & _given("day", "Date", s)
+            & (F.lit(s not in ((), ("Date",))) | (F.col("prefix") != "")),
+            F.struct(*_kept(s)))
+        for s in SUBSETS])
+    keyed = asked.select("prefix", "cust", "state", "day", F.explode(looked_up).alias("k")).where(F.col("k").isNotNull())
+    keyed = reliable_checkpoint(keyed.select("prefix", "cust", "state", "day", "k.*"))
+    # A count is one group on one day; both go into one long key, so the many days join cheaply.
+    groups = reliable_checkpoint(dense_index(keyed, _GROUP, "group_no"))
+    keyed = keyed.join(groups, _GROUP).withColumn("count_key", _count_key("k_day")).select("prefix", "cust", "state", "day", "subset", "count_key")
+    wanted = keyed.select("count_key").distinct()
+    released = _days("released")
 
     def listed(source, subsets):
-        """One row per code, count and - for counts by date - day within the window."""
-        tags = F.array(*[F.struct(F.lit("Date" in s).alias("dated"), F.lit(_id(s)).alias("subset"),
-                                  F.lit("State" in s).alias("by_state")) for s in subsets])
-        rows = source.select("prefix", "code", "cust", "state", "released", F.inline(tags))
-        rows = rows.where((~F.col("dated") | released.isNotNull()) & (~F.col("by_state") | F.col("state").isNotNull()))
-        rows = rows.withColumn("k_state", F.when(F.col("by_state"), F.col("state")).otherwise(F.lit("")))
-        # Only counts somebody asks for are spread over their days.
-        some = keyed.select("subset", "prefix", "k_cust", "k_state").distinct()
-        rows = rows.withColumnRenamed("cust", "k_cust").join(some, ["subset", "prefix", "k_cust", "k_state"], "left_semi")
-        fixed = F.array(F.lit(NO_DAY).cast("date"))
-        return rows.select("subset", "prefix", "code", "k_cust", "k_state", F.explode(F.when(F.col("dated"), days).otherwise(fixed)).alias("k_day"))
+        """One row per code, asked-for group and - for counts by date - day within the window."""
+        tags = F.array(*[F.struct(F.lit("Date" in s).alias("dated"), F.lit(_id(s)).alias("subset"), F.lit("State" in s).alias("by_state")) for s in subsets])
+        rows = source.select("prefix", "code", F.col("cust").alias("k_cust"), "state", "released", F.inline(tags))
+        rows = rows.where((~F.col("dated") | F.col("released").isNotNull()) & (~F.col("by_state") | F.col("state").isNotNull()))
+        rows = rows.withColumn("k_state", F.when(F.col("by_state"), F.col("state")).otherwise(F.lit(""))).join(groups, _GROUP)
+        days = F.when(F.col("dated"), F.sequence(released - window, released + window)).otherwise(F.array(F.lit(0)))
+        rows = spread(rows.select("group_no", "code", days.alias("days")), "group_no", "code")
+        return rows.select("code", "group_no", F.explode("days").alias("d")).select("code", (F.shiftleft("group_no", 20) + F.col("d")).alias("count_key"))
 
     facts = codes.select("prefix", "code", "customer", "state", F.col("day").alias("released"))
     named = facts.join(names, "customer").drop("customer")
     plain = facts.drop("customer").withColumn("cust", F.lit(""))
     rows = listed(named, [s for s in SUBSETS if "Customer" in s]).unionByName(listed(plain, [s for s in SUBSETS if "Customer" not in s]))
-    counted = rows.join(keyed.select(*_KEY).distinct(), _KEY, "left_semi").groupBy(*_KEY).agg(
+    counted = rows.join(wanted, "count_key", "left_semi").groupBy("count_key").agg(
         F.count("*").alias("n"), F.slice(F.array_sort(F.collect_list("code")), 1, _SMALLEST).alias("first"))
-    found = keyed.join(counted, _KEY)
+    found = keyed.join(counted, "count_key")
     wide = found.groupBy("prefix", "cust", "state", "day").agg(
         *[F.max(F.when(F.col("subset") == _id(s), F.col("n"))).alias(_n(s)) for s in SUBSETS],
         *[F.max(F.when(F.col("subset") == _id(s), F.col("first"))).alias(_t(s)) for s in SUBSETS])

@@ -72,6 +72,15 @@ def dense_index(values: DataFrame, columns: list[str], out: str, digits: int = 3
     )
 
 
+def spread(df: DataFrame, *columns: str) -> DataFrame:
+    """Small rows over all shuffle partitions, ahead of a step that makes many rows of each.
+
+    The number is given, so adaptive execution does not merge the partitions for being small now.
+    """
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(n, *[F.col(c) for c in columns or df.columns])
+
+
 def first_per_key(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
     """The first row of every key; Spark keeps one row per key and map task before the shuffle."""
     return top_per_key(df, keys, order, 1)

@@ -373,7 +373,7 @@ _ANOM_SQL = """e AS (SELECT event_id, n.n_name AS city, 'R' || (user_id % 5) AS
 def _(spark, sf):
     """ST03: events with a place; places the gazetteer contradicts go to a table of their own."""
     named = table(spark, sf, "nation").select("n_nationkey", F.col("n_name").alias("city"))
-    rows = _stream(spark, sf).join(F.broadcast(named), F.col("user_id") % 25 == F.col("n_nationkey")).select("event_id", "city", F.concat(F.lit("R"), F.col("user_id") % 5).alias("state"))
+    rows = _stream(spark, sf).join(named, F.col("user_id") % 25 == F.col("n_nationkey")).select("event_id", "city", F.concat(F.lit("R"), F.col("user_id") % 5).alias("state"))
     out, odd, mark = _scratch(spark, "st03"), _scratch(spark, "st03-odd"), _scratch(spark, "st03-mark")
     ingest.ingest_with_anomalies(rows, gazetteer(spark, sf), "city", "state", out, odd, mark).awaitTermination()
     return spark.read.parquet(odd).select("event_id", "city", "state", "valid_states")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -51,6 +52,11 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
 
 def reliable_checkpoint(df: DataFrame) -> DataFrame:
-    """Cut lineage through the shared folder, so a lost executor costs no recomputation."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Cut lineage through a table in the shared folder, so a lost executor costs no recomputation.
+
+    A table rather than ``checkpoint()``: it keeps its columns and its size, so later joins can
+    still prune columns and pick a side to broadcast.
+    """
+    folder = f"{checkpoint_dir(df.sparkSession)}/kept-{uuid.uuid4().hex}"
+    df.write.parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)

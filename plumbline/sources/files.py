@@ -84,7 +84,7 @@ def sheet_records(rows: DataFrame, columns: list[str], width: int = 64) -> DataF
     cells = rows.select("source_file", "row_no", placed_cells("raw_cells", width).alias("cells"))
     header = cells.groupBy("source_file").agg(F.min("row_no").alias("header_no"), F.min_by("cells", "row_no").alias("header"))
     header = header.withColumn("header", F.transform("header", lambda h: F.trim(h)))
-    body = cells.join(F.broadcast(header), "source_file").where(F.col("row_no") > F.col("header_no"))
+    body = cells.join(header, "source_file").where(F.col("row_no") > F.col("header_no"))
     at = lambda c: F.get("cells", (F.array_position("header", F.lit(c)) - 1).cast("int"))
     return body.select("source_file", "row_no", *[F.coalesce(at(c), F.lit("")).alias(c) for c in columns])
 
