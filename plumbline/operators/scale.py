@@ -98,14 +98,16 @@ def join_spreading_nulls(left: DataFrame, right: DataFrame, keys: list[str], how
     """Left, left-anti or left-semi join whose NULL keys do not pile up in one partition.
 
     Rows with a NULL key can match nothing, but a plain shuffle sends them all to one task; a salt
-    taken from the rest of the row spreads them.
+    taken from the rest of the row spreads them. The right side's salt is always 0, but worked out
+    from its key: as a constant the optimizer would take it out of the join keys again.
     """
     missing = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
     rest = [F.col(c) for c in left.columns if c not in keys] or [F.lit(0)]
     salted = left.withColumn(
         "_salt", F.when(missing, F.pmod(F.xxhash64(*rest), F.lit(spread)).cast("int")).otherwise(F.lit(0))
     )
-    return salted.join(right.withColumn("_salt", F.lit(0)), [*keys, "_salt"], how).drop("_salt")
+    zero = F.pmod(F.xxhash64(*keys), F.lit(1)).cast("int")
+    return salted.join(right.withColumn("_salt", zero), [*keys, "_salt"], how).drop("_salt")
 
 
 def join_null_safe(left: DataFrame, right: DataFrame, keys: list[str], how: str = "left") -> DataFrame:
@@ -140,4 +142,4 @@ def literal_rows(spark, rows: list[tuple], schema: str) -> DataFrame:
     names = [part.split()[0] for part in schema.split(",")]
     types = [part.split()[1] for part in schema.split(",")]
     structs = [F.struct(*[F.lit(v).cast(t).alias(n) for v, n, t in zip(row, names, types)]) for row in rows]
-    return spark.range(1).select(F.inline(F.array(*structs)))
+    return spark.range(0, 1, 1, 1).select(F.inline(F.array(*structs)))

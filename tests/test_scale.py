@@ -72,3 +72,17 @@ def test_overlap_counts_add_up(spark):
     assert ledger.apply_overlap(erp, dispatch, "dispatch").count() == 5
     with pytest.raises(ValueError):
         ledger.apply_overlap(erp, dispatch, "both")
+
+
+def test_spread_joins_keep_the_salt_among_the_join_keys(spark):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        left = spark.createDataFrame([(None, i) for i in range(100)] + [("a", 1)], "k string, n int")
+        right = spark.createDataFrame([("a", "A"), (None, "x")], "k string, name string")
+        for joined in (scale.join_spreading_nulls(left, right, ["k"]), ledger.only_in(left, right, "k")):
+            plan = joined._jdf.queryExecution().toString()
+            assert "hashpartitioning(k#" in plan and ", _salt#" in plan.split("hashpartitioning(k#")[1].split(")")[0]
+            assert joined.where(F.col("k").isNull()).count() == 100
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
