@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from plumbline.functions.clean import int_to_code
-from plumbline.session import tune
+from plumbline.session import checkpoint_dir, tune
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -35,8 +35,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def day(c) -> Column:
-    return (F.col(c) if isinstance(c, str) else c).cast("date")
+def scratch(spark: SparkSession, name: str) -> str:
+    """A folder of its own for one run, in the shared checkpoint folder."""
+    return f"{checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
 # ---------------------------------------------------------------- shared views

@@ -3,8 +3,6 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import functions as F
 
 from plumbline.functions.clean import lookup
@@ -13,11 +11,10 @@ from plumbline.operators import quality, report, snapshots
 from plumbline.operators import registry as reg
 from plumbline.operators.geocode import zip_points
 from plumbline.operators.scale import literal_rows
-from plumbline.session import checkpoint_dir
 from plumbline.sinks import tables
 from plumbline.streaming import ingest
 
-from .base import query, table
+from .base import query, scratch, table
 from .cleaning import FILES_SQL, file_names
 from .matching import GAZ_SQL, PLACE_SQL, gazetteer, places
 from .pieces import TYPE_CLASS
@@ -340,11 +337,6 @@ def _(spark, sf):
 EVENT_SCHEMA = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
 
 
-def _scratch(spark, name):
-    """A folder of its own for this run, in the shared checkpoint folder."""
-    return f"{checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
-
-
 def _stream(spark, sf):
     return ingest.read_stream(spark, sf, EVENT_SCHEMA, pathGlobFilter="events.parquet")
 
@@ -352,7 +344,7 @@ def _stream(spark, sf):
 @query("st01_stream_append", "SELECT event_id, user_id, event_type FROM events")
 def _(spark, sf):
     """ST01: the events as a stream, each id once; equals the batch because none is late."""
-    out, mark = _scratch(spark, "st01"), _scratch(spark, "st01-mark")
+    out, mark = scratch(spark, "st01"), scratch(spark, "st01-mark")
     ingest.append_stream(ingest.new_rows(_stream(spark, sf), "event_id", "ts", "1 day"), out, mark).awaitTermination()
     return spark.read.parquet(out).select("event_id", "user_id", "event_type")
 
@@ -360,7 +352,7 @@ def _(spark, sf):
 @query("st02_stream_upsert", "SELECT CAST(user_id AS VARCHAR) AS entity_key, event_type AS field, arg_max(event_id, event_id) AS stamp FROM events GROUP BY 1, 2")
 def _(spark, sf):
     """ST02: latest event per user and type kept by the stream."""
-    out, mark, schema = _scratch(spark, "st02"), _scratch(spark, "st02-mark"), "entity_key string, field string, chosen_value string, stamp bigint"
+    out, mark, schema = scratch(spark, "st02"), scratch(spark, "st02-mark"), "entity_key string, field string, chosen_value string, stamp bigint"
     rows = _stream(spark, sf).select(F.col("user_id").cast("string").alias("entity_key"), F.col("event_type").alias("field"), F.col("value").cast("string").alias("chosen_value"), F.col("event_id").alias("stamp"))
     ingest.upsert_stream(rows, out, schema, ["entity_key", "field"], "chosen_value", "stamp", mark).awaitTermination()
     return tables.read_latest(spark, out, schema).drop("chosen_value")
@@ -374,7 +366,7 @@ def _(spark, sf):
     """ST03: events with a place; places the gazetteer contradicts go to a table of their own."""
     named = table(spark, sf, "nation").select("n_nationkey", F.col("n_name").alias("city"))
     rows = _stream(spark, sf).join(named, F.col("user_id") % 25 == F.col("n_nationkey")).select("event_id", "city", F.concat(F.lit("R"), F.col("user_id") % 5).alias("state"))
-    out, odd, mark = _scratch(spark, "st03"), _scratch(spark, "st03-odd"), _scratch(spark, "st03-mark")
+    out, odd, mark = scratch(spark, "st03"), scratch(spark, "st03-odd"), scratch(spark, "st03-mark")
     ingest.ingest_with_anomalies(rows, gazetteer(spark, sf), "city", "state", out, odd, mark).awaitTermination()
     return spark.read.parquet(odd).select("event_id", "city", "state", "valid_states")
 

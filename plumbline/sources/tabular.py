@@ -76,9 +76,9 @@ def read_gazetteer(spark: SparkSession, path: str, states: list[str]) -> DataFra
     return rows.where(F.col("lat").isNotNull() & F.col("lng").isNotNull() & F.col("state").isin(states))
 
 
-def read_json_records(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """A JSON list of records (or one record per line)."""
-    return spark.read.schema(schema).option("multiLine", True).json(path)
+def read_json_records(spark: SparkSession, path: str, schema: str, whole_files: bool = True) -> DataFrame:
+    """JSON lists of records, or - splittable - one record per line."""
+    return spark.read.schema(schema).option("multiLine", whole_files).json(path)
 
 
 def read_years(spark: SparkSession, pattern: str, years: list[int], year: str = "file_year") -> DataFrame:
