@@ -44,7 +44,7 @@ def lookup_places(triples: DataFrame, gazetteer: DataFrame, centroids: DataFrame
     """
     asked = triples.select("city", "state", "zip").distinct()
     zips = zip_points(gazetteer, "last").select("zip", F.struct("lat", "lng").alias("_zip_point"))
-    asked = asked.join(zips, "zip", "left")
+    asked = join_spreading_nulls(asked, zips, ["zip"])
     cities = city_points(gazetteer)
     spelled = (
         asked.where(F.col("_zip_point").isNull() & F.col("city").isNotNull() & F.col("state").isNotNull())
@@ -58,9 +58,9 @@ def lookup_places(triples: DataFrame, gazetteer: DataFrame, centroids: DataFrame
     )
     fuzzy = near.join(forms.withColumnRenamed("form", "match"), ["match", "state"]).select(
         F.col("left_text").alias("city"), "state", F.col("point").alias("_city_point"))
-    placed = asked.join(exact.unionByName(fuzzy), ["city", "state"], "left")
+    placed = join_spreading_nulls(asked, exact.unionByName(fuzzy), ["city", "state"])
     middle = centroids.select("state", F.struct("lat", "lng").alias("_state_point"))
-    placed = placed.join(middle, "state", "left")
+    placed = join_spreading_nulls(placed, middle, ["state"])
     point = F.coalesce("_zip_point", "_city_point", "_state_point")
     precision = F.when(F.col("_zip_point").isNotNull(), 0).when(F.col("_city_point").isNotNull(), 1).when(F.col("_state_point").isNotNull(), 2)
     return placed.select("city", "state", "zip", F.round(point["lat"], 4).alias("lat"), F.round(point["lng"], 4).alias("lng"),
@@ -75,7 +75,7 @@ def geocode(triples: DataFrame, gazetteer: DataFrame, centroids: DataFrame, cuto
     """
     first = lookup_places(triples, gazetteer, centroids, cutoff)
     zip_state = zip_points(gazetteer, "last").select("zip", F.col("state").alias("zip_state"))
-    known = first.join(city_states(gazetteer), "city", "left").join(zip_state, "zip", "left")
+    known = join_spreading_nulls(join_spreading_nulls(first, city_states(gazetteer), ["city"]), zip_state, ["zip"])
     suspect = F.coalesce(
         F.col("prec").isNotNull() & F.col("state").isNotNull() & (F.size("valid_states") > 0) & ~F.array_contains("valid_states", F.col("state")),
         F.lit(False))

@@ -119,10 +119,10 @@ def location_matrix(observations: DataFrame, winners: DataFrame, zip_places: Dat
     located = observations.where(F.col("field").isin(*fields, "zip")).select("entity_key").distinct()
     street = first_per_key(observations.where(F.col("field") == "street_address"), ["entity_key"], [F.desc("trust"), F.desc("n_pieces"), F.asc("value_norm")])
     places = zip_places.select(F.col("zip").alias("confirmed_zip"), F.col("city").alias("zip_city"), F.col("county").alias("zip_county"))
-    return (
+    joined = (
         located.join(wide, "entity_key", "left").join(matrix, "entity_key", "left")
-        .join(street.select("entity_key", F.col("value_norm").alias("street_address")), "entity_key", "left")
-        .join(places, "confirmed_zip", "left"))
+        .join(street.select("entity_key", F.col("value_norm").alias("street_address")), "entity_key", "left"))
+    return join_spreading_nulls(joined, places, ["confirmed_zip"])
 
 
 def review_list(winners: DataFrame, observations: DataFrame, confirmed: DataFrame, field: str, statuses: list[str], sources: list[str],
@@ -142,9 +142,9 @@ def city_extras(rows: DataFrame, observations: DataFrame, zip_places: DataFrame,
     """The raw text behind a city, the county of the winning zip, and a flag for counties."""
     raw = first_per_key(observations.where((F.col("field") == "city") & (F.col("source") == raw_source)), ["entity_key"], [F.asc("first_row")])
     zips = winners.where(F.col("field") == "zip").select("entity_key", F.col("winner").alias("zip"))
+    joined = rows.join(raw.select("entity_key", F.col("value_raw").alias("raw_bom")), "entity_key", "left").join(zips, "entity_key", "left")
     return (
-        rows.join(raw.select("entity_key", F.col("value_raw").alias("raw_bom")), "entity_key", "left")
-        .join(zips, "entity_key", "left").join(zip_places.select("zip", F.col("county").alias("zip_county")), "zip", "left").drop("zip")
+        join_spreading_nulls(joined, zip_places.select("zip", F.col("county").alias("zip_county")), ["zip"]).drop("zip")
         .withColumn("county_flag", F.when(is_county("winner"), F.col("winner")).otherwise("")))
 
 
@@ -157,7 +157,7 @@ def zip_check(zips: DataFrame, zip_places: DataFrame) -> DataFrame:
         .when(F.col("confirmed_city").isNotNull() & (F.col("geo_city") != F.col("confirmed_city")), "CITY_MISMATCH")
         .otherwise("✓")
     )
-    return zips.join(places, "zip", "left").withColumn("zip_ok", verdict)
+    return join_spreading_nulls(zips, places, ["zip"]).withColumn("zip_ok", verdict)
 
 
 def ranked_conflicts(winners: DataFrame, confirmed: DataFrame, leave_out: list[str]) -> DataFrame:

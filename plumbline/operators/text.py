@@ -16,7 +16,7 @@ from plumbline.functions.clean import (
 )
 from plumbline.functions.partname import with_item_label
 
-from .scale import in_blocks, top_per_key
+from .scale import in_blocks, join_spreading_nulls, top_per_key
 
 _KNOWN = "(?i)" + K.KNOWN_CATEGORIES
 _ANY = "(?i)" + K.ANY_CATEGORY
@@ -194,7 +194,7 @@ def word_items(words: DataFrame, doc_id: str = "doc_id", price_x: float = 410, l
     by_line = by_line.withColumn("line_no", F.col("page") * 100_000 + F.col("line_y"))
     by_line = in_blocks(
         by_line, [doc_id], "line_no", sums={"section_no": F.when(F.col("priced"), 1).otherwise(0)},
-        fills={"structure_name": F.when(F.col("priced"), undouble_words("name"))})
+        fills={"structure_name": F.when(F.col("priced"), undouble_words("name"))}, width=100_000 * 1_000)
     # Words that open a caption line.
     caption = F.col("first_word").isin("structure", "for:", "ref:", "qty", "description")
     body = by_line.where((F.col("section_no") > 0) & ~F.col("priced") & ~caption)
@@ -353,7 +353,7 @@ def build_rows(items: DataFrame, headers: DataFrame, forms: DataFrame, overrides
     h = headers.select("doc_id", *[F.col(c).alias(f"h_{c}") for c in ("job_name", "location", "contractor", "release_date")])
     f = forms.select("job_code", *[F.col(c).alias(f"f_{c}") for c in ("location", "location_source", "zipcode", "job_name", "customer")])
     o = overrides.select("job_code", F.col("location").alias("o_location"), F.col("source").alias("o_source"))
-    rows = items.join(h, "doc_id", "left").join(f, "job_code", "left").join(o, "job_code", "left")
+    rows = join_spreading_nulls(join_spreading_nulls(items.join(h, "doc_id", "left"), f, ["job_code"]), o, ["job_code"])
     given = lambda c: F.nullif(F.trim(F.col(c)), F.lit(""))
     from_header, from_form = given("h_location"), given("f_location")
     place = standard_location(F.coalesce(from_header, from_form))

@@ -63,7 +63,7 @@ def _(spark, sf):
 
 @query("t02_table_items", f"""WITH l AS (SELECT *, CASE WHEN p_size % 5 = 0 THEN CASE p_type {" ".join(f"WHEN '{k}' THEN '{v}'" for k, v in CATEGORIES.items() if v != 'Pipe Fittings')} ELSE 'Hardware' END END AS own FROM part)
 SELECT p_brand AS doc_id, p_partkey AS row_no, coalesce(last_value(own IGNORE NULLS) OVER (PARTITION BY p_brand ORDER BY p_partkey), '') AS category, CAST(p_size AS VARCHAR) AS quantity, 'MHB' || p_partkey AS part_number, p_name AS description,
-  CAST(p_partkey AS VARCHAR) AS weight_lbs FROM l""")
+  CAST(p_partkey AS VARCHAR) AS weight_lbs FROM l WHERE p_brand IN (SELECT p_brand FROM l WHERE own IS NOT NULL)""")
 def _(spark, sf):
     own = F.create_map(*[F.lit(x) for kv in CATEGORIES.items() if kv[1] != "Pipe Fittings" for x in kv])
     category = F.coalesce(F.try_element_at(own, F.col("p_type")), F.lit("Hardware"))
