@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from plumbline.functions import constants as K
 from plumbline.functions.clean import city_variants
-from plumbline.session import reliable_checkpoint
 
 from .match import closest_text
 from .scale import join_null_safe, join_spreading_nulls, literal_rows
@@ -71,25 +70,23 @@ def geocode(triples: DataFrame, gazetteer: DataFrame, centroids: DataFrame, cuto
     """Every distinct triple placed, wrong states corrected where only one state is possible.
 
     Adds ``placed_state`` (the corrected state or the listed one), ``corrected``, ``suspect``,
-    ``valid_states``. A zip that belongs to the listed state keeps that state.
+    ``valid_states``. A zip that belongs to the listed state keeps that state. Whether a state is wrong
+    does not depend on where the place is found, so it is settled first and one lookup is enough.
     """
-    first = lookup_places(triples, gazetteer, centroids, cutoff)
+    asked = triples.select("city", "state", "zip").distinct()
     zip_state = zip_points(gazetteer, "last").select("zip", F.col("state").alias("zip_state"))
-    known = join_spreading_nulls(join_spreading_nulls(first, city_states(gazetteer), ["city"]), zip_state, ["zip"])
+    known = join_spreading_nulls(join_spreading_nulls(asked, city_states(gazetteer), ["city"]), zip_state, ["zip"])
+    known = join_spreading_nulls(known, centroids.select("state", F.lit(True).alias("known_state")), ["state"])
+    can_place = F.col("zip_state").isNotNull() | F.col("known_state")
     suspect = F.coalesce(
-        F.col("prec").isNotNull() & F.col("state").isNotNull() & (F.size("valid_states") > 0) & ~F.array_contains("valid_states", F.col("state")),
-        F.lit(False))
-    fixable = suspect & (F.size("valid_states") == 1) & ~F.col("zip_state").eqNullSafe(F.col("state"))
-    judged = known.withColumns({"suspect": suspect, "corrected": F.coalesce(fixable, F.lit(False))})
-    # Read three times below, and much smaller than the rows it stands for.
-    judged = reliable_checkpoint(judged.withColumn("placed_state", F.when(F.col("corrected"), F.get("valid_states", F.lit(0))).otherwise(F.col("state"))))
-    moved = judged.where(F.col("corrected")).select("city", F.col("placed_state").alias("state"), "zip")
-    second = lookup_places(moved, gazetteer, centroids, cutoff).select(
-        "city", F.col("state").alias("placed_state"), "zip", *[F.col(c).alias(f"_{c}") for c in ("lat", "lng", "prec")])
-    again = join_null_safe(judged.where(F.col("corrected")), second, ["city", "placed_state", "zip"])
-    again = again.withColumns({c: F.coalesce(f"_{c}", c) for c in ("lat", "lng", "prec")}).drop("_lat", "_lng", "_prec")
-    kept = judged.where(~F.col("corrected")).withColumn("prec", F.when(F.col("suspect"), PRECISION["suspect"]).otherwise(F.col("prec")))
-    return kept.unionByName(again).select("city", "state", "zip", "placed_state", "lat", "lng", "prec", "suspect", "corrected", "valid_states")
+        can_place & F.col("state").isNotNull() & (F.size("valid_states") > 0) & ~F.array_contains("valid_states", F.col("state")), F.lit(False))
+    judged = known.withColumn("suspect", suspect)
+    judged = judged.withColumn("corrected", F.col("suspect") & (F.size("valid_states") == 1) & ~F.col("zip_state").eqNullSafe(F.col("state")))
+    judged = judged.withColumn("placed_state", F.when(F.col("corrected"), F.get("valid_states", F.lit(0))).otherwise(F.col("state")))
+    found = lookup_places(judged.select("city", F.col("placed_state").alias("state"), "zip"), gazetteer, centroids, cutoff)
+    placed = join_null_safe(judged, found.withColumnRenamed("state", "placed_state"), ["city", "placed_state", "zip"])
+    prec = F.when(F.col("suspect") & ~F.col("corrected"), PRECISION["suspect"]).otherwise(F.col("prec"))
+    return placed.withColumn("prec", prec).select("city", "state", "zip", "placed_state", "lat", "lng", "prec", "suspect", "corrected", "valid_states")
 
 
 def place_rows(rows: DataFrame, placed: DataFrame) -> DataFrame:

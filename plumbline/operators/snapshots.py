@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -74,6 +72,3 @@ def previous_label(labels: DataFrame, label: str, current: str) -> DataFrame:
     """The greatest snapshot label before the current one."""
     return labels.where(F.col(label) < current).agg(F.max(label).alias("previous"))
 
-
-def all_equal(columns: list[str], a: DataFrame, b: DataFrame) -> Column:
-    return reduce(lambda x, y: x & y, [a[c].eqNullSafe(b[c]) for c in columns])

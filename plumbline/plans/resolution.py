@@ -251,7 +251,7 @@ FIRST_SQL = f"""first AS (SELECT o_custkey, {case('o_orderpriority', PRIORITY_SO
 MERGED_SQL = FIRST_SQL + """, wide AS (SELECT o_custkey, """ + ", ".join(
     f"max(CASE WHEN source = '{s}' THEN status END) AS status__{s}, max(CASE WHEN source = '{s}' THEN year END) AS year__{s}, bool_or(source = '{s}') AS in_{s}"
     for s in PRIORITY_SOURCE.values()) + """ FROM first GROUP BY 1)"""
-# Sources in tier order: BOM 0, Dispatch 1, Shipping 2, Notion 2 (listed after Markdown's tier), Markdown 3.
+# Sources in tier order; Shipping and Notion share a tier and keep the order they are listed in.
 RECORDS_SQL = FIRST_SQL + """, t AS (SELECT *, CASE source WHEN 'BOM' THEN 0 WHEN 'Dispatch' THEN 1 WHEN 'Shipping' THEN 2 WHEN 'Notion' THEN 3 ELSE 4 END AS tier FROM first),
 g AS (SELECT o_custkey, count(*) AS n, count(DISTINCT status) AS n_values, bool_or(source = 'BOM') AS has_bom,
         arg_min(status, tier) AS best, arg_min(source, tier) AS best_source,

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -111,7 +109,3 @@ def front_matter(text) -> Column:
     unique = F.filter(entries, lambda e, i: ~F.exists(F.slice(entries, i + 2, F.size(entries)), lambda later: later["key"] == e["key"]))
     return F.map_from_entries(unique)
 
-
-def union_files(frames: list[DataFrame]) -> DataFrame:
-    """Stacked by name, missing columns NULL."""
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
