@@ -205,46 +205,47 @@ def registry(winners: DataFrame, extras: DataFrame, confirmed: DataFrame, source
 
 # ---------------------------------------------------------------- precedence
 
-def precedence(values: dict[str, Column], tiers: dict[str, int] | None = None, primary: str = "BOM",
-               independent: list[str] | None = None) -> Column:
-    """struct(value, source, resolution, conflict) from one value per source.
+def with_precedence(df: DataFrame, values: dict[str, Column], out: str, tiers: dict[str, int] | None = None, primary: str = "BOM",
+                    independent: list[str] | None = None) -> DataFrame:
+    """Add struct(value, source, resolution, conflict) settled from one value per source.
 
     The lowest tier wins. When the primary source stands alone against one common value that at
-    least three independent sources report, that value overrides it.
+    least three independent sources report, that value overrides it. The lists the rule looks at are
+    columns of earlier projections, so each is worked out once per row.
     """
     tiers = tiers or K.SOURCE_TIERS
     independent = independent or K.INDEPENDENT_SOURCES
     ordered = sorted(values, key=lambda s: tiers.get(s, 99))
     entries = [F.struct(F.lit(s).alias("s"), blank_to_null(values[s]).alias("v")) for s in ordered]
-    given = F.filter(F.array(*entries), lambda e: e["v"].isNotNull())
-    others = F.filter(given, lambda e: e["s"] != primary)
-    distinct_values = F.array_distinct(F.transform(given, lambda e: e["v"]))
-    other_values = F.array_distinct(F.transform(others, lambda e: e["v"]))
-    backers = F.filter(others, lambda e: e["s"].isin(independent))
-    has_primary = F.exists(given, lambda e: e["s"] == primary)
-    best = F.get(given, F.lit(0))
-    override = has_primary & (F.size(other_values) == 1) & (F.size(backers) >= 3)
-    resolution = (
-        F.when(F.size(given) == 0, F.lit("NO_DATA"))
-        .when(F.size(given) == 1, F.lit("SINGLE_SOURCE"))
-        .when(F.size(distinct_values) == 1, F.lit("MATCH"))
-        .when(override, F.lit("CONSENSUS_OVERRIDE"))
-        .otherwise(F.lit("CONFLICT"))
-    )
-    names = F.array_join(F.array_sort(F.transform(others, lambda e: e["s"])), "+")
-    common = F.get(other_values, F.lit(0))
+    c = F.col
+    staged = df.withColumn("_given", F.filter(F.array(*entries), lambda e: e["v"].isNotNull()))
+    staged = staged.withColumn("_others", F.filter("_given", lambda e: e["s"] != primary))
+    staged = staged.withColumns({
+        "_n_values": F.size(F.array_distinct(F.transform("_given", lambda e: e["v"]))),
+        "_other_values": F.array_distinct(F.transform("_others", lambda e: e["v"])),
+        "_backers": F.size(F.filter("_others", lambda e: e["s"].isin(independent))),
+        "_best": F.get("_given", F.lit(0)),
+    })
+    has_primary = F.size("_given") > F.size("_others")
+    staged = staged.withColumn("_resolution", (
+        F.when(F.size("_given") == 0, F.lit("NO_DATA"))
+        .when(F.size("_given") == 1, F.lit("SINGLE_SOURCE"))
+        .when(c("_n_values") == 1, F.lit("MATCH"))
+        .when(has_primary & (F.size("_other_values") == 1) & (c("_backers") >= 3), F.lit("CONSENSUS_OVERRIDE"))
+        .otherwise(F.lit("CONFLICT"))))
+    overrides = c("_resolution") == "CONSENSUS_OVERRIDE"
+    common = F.get("_other_values", F.lit(0))
+    names = F.array_join(F.array_sort(F.transform("_others", lambda e: e["s"])), "+")
     quoted = lambda e: F.concat(e["s"], F.lit("='"), e["v"], F.lit("'"))
     detail = (
-        F.when(resolution == "CONSENSUS_OVERRIDE", F.concat(quoted(best), F.lit("; "), names, F.lit(" all say '"), common, F.lit("'")))
-        .when(resolution == "CONFLICT", F.array_join(F.transform(given, quoted), "; "))
-    )
-    overrides = resolution == "CONSENSUS_OVERRIDE"
-    return F.struct(
-        F.when(overrides, common).otherwise(best["v"]).alias("value"),
-        F.when(overrides, names).otherwise(best["s"]).alias("source"),
-        resolution.alias("resolution"),
-        detail.alias("conflict"),
+        F.when(overrides, F.concat(quoted(c("_best")), F.lit("; "), names, F.lit(" all say '"), common, F.lit("'")))
+        .when(c("_resolution") == "CONFLICT", F.array_join(F.transform("_given", quoted), "; "))
     )
+    settled = F.struct(
+        F.when(overrides, common).otherwise(c("_best.v")).alias("value"),
+        F.when(overrides, names).otherwise(c("_best.s")).alias("source"),
+        c("_resolution").alias("resolution"), detail.alias("conflict"))
+    return staged.withColumn(out, settled).drop("_given", "_others", "_n_values", "_other_values", "_backers", "_best", "_resolution")
 
 
 def known_pair(plants: Column) -> Column:

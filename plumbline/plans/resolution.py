@@ -240,8 +240,8 @@ def merged(spark, sf):
 
 def records(spark, sf):
     wide = merged(spark, sf)
-    pick = resolve.precedence({s: F.col(f"status__{s}") for s in PRIORITY_SOURCE.values()})
-    return wide.withColumn("r", pick).select(
+    settled = resolve.with_precedence(wide, {s: F.col(f"status__{s}") for s in PRIORITY_SOURCE.values()}, "r")
+    return settled.select(
         "o_custkey", F.col("r.value").alias("value"), F.col("r.source").alias("source"), F.col("r.resolution").alias("resolution"),
         F.col("r.conflict").alias("conflict"), F.col("status__Markdown").alias("hand"))
 
@@ -306,8 +306,9 @@ def _(spark, sf):
 def history(spark, sf):
     """Settled conflicts of two fields, as trust learning reads them."""
     wide = merged(spark, sf)
-    pick = lambda f: resolve.precedence({s: F.col(f"{f}__{s}") for s in PRIORITY_SOURCE.values()})
-    both = F.array(*[F.struct(F.lit(f).alias("field"), pick(f).alias("r")) for f in ("status", "year")])
+    for f in ("status", "year"):
+        wide = resolve.with_precedence(wide, {s: F.col(f"{f}__{s}") for s in PRIORITY_SOURCE.values()}, f"r_{f}")
+    both = F.array(*[F.struct(F.lit(f).alias("field"), F.col(f"r_{f}").alias("r")) for f in ("status", "year")])
     return wide.select(F.inline(both)).select("field", "r.resolution", "r.source", "r.conflict")
 
 

@@ -1,27 +1,33 @@
 """Conflict resolution on literal rows."""
 
+import pytest
 from pyspark.sql import functions as F
 
 from plumbline.operators import report, resolve
 from plumbline.operators import registry as reg
 
 
-def _precedence(evaluate, *values):
+@pytest.fixture
+def settle(spark):
     names = ["BOM", "Dispatch", "NetSuite", "Notion", "Shipping", "Markdown"]
-    row = evaluate([values], lambda *cols: resolve.precedence(dict(zip(names, [F.col(c) for c in cols]))))[0]
-    return row.value, row.source, row.resolution, row.conflict
 
+    def run(*values):
+        df = spark.createDataFrame([values], ", ".join(f"{n} string" for n in names))
+        return tuple(resolve.with_precedence(df, {n: F.col(n) for n in names}, "r").select("r.*").first())
 
-def test_precedence_rules(evaluate):
+    return run
+
+
+def test_precedence_rules(settle):
     n = None
-    assert _precedence(evaluate, n, n, n, n, n, " ") == (None, None, "NO_DATA", None)
-    assert _precedence(evaluate, n, n, n, "x", n, n) == ("x", "Notion", "SINGLE_SOURCE", None)
-    assert _precedence(evaluate, n, "x", n, n, "x", n) == ("x", "Dispatch", "MATCH", None)
-    assert _precedence(evaluate, "a", "x", n, n, "x", "x") == ("x", "Dispatch+Markdown+Shipping", "CONSENSUS_OVERRIDE", "BOM='a'; Dispatch+Markdown+Shipping all say 'x'")
+    assert settle(n, n, n, n, n, " ") == (None, None, "NO_DATA", None)
+    assert settle(n, n, n, "x", n, n) == ("x", "Notion", "SINGLE_SOURCE", None)
+    assert settle(n, "x", n, n, "x", n) == ("x", "Dispatch", "MATCH", None)
+    assert settle("a", "x", n, n, "x", "x") == ("x", "Dispatch+Markdown+Shipping", "CONSENSUS_OVERRIDE", "BOM='a'; Dispatch+Markdown+Shipping all say 'x'")
     # Two independent sources are not enough, and neither is a third that is not independent.
-    assert _precedence(evaluate, "a", "x", "x", "x", "x", n)[0:3] == ("a", "BOM", "CONFLICT")
+    assert settle("a", "x", "x", "x", "x", n)[0:3] == ("a", "BOM", "CONFLICT")
     # Equal tiers keep the order in which the sources are listed.
-    assert _precedence(evaluate, n, n, "q", "b", "a", n) == ("q", "NetSuite", "CONFLICT", "NetSuite='q'; Notion='b'; Shipping='a'")
+    assert settle(n, n, "q", "b", "a", n) == ("q", "NetSuite", "CONFLICT", "NetSuite='q'; Notion='b'; Shipping='a'")
 
 
 def test_vote_breaks_ties_by_value_and_survives_repartition(spark):
