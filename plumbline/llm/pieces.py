@@ -3,8 +3,8 @@
 The pieces that match a text form a lattice. A forward Viterbi pass gives the best score of reaching
 every character; a backward A* search from the end uses those scores as its heuristic, which is
 exact, so complete segmentations come off the agenda in the order of their scores. Where no piece holds
-a word mark after another character, or joins letters to signs, the lattice falls apart there into
-segments: each distinct segment is solved once a worker, and the N best of a text are the best combinations of its
+a word mark after another character, the lattice falls apart at word marks into segments: each
+distinct segment is solved once a worker, and the N best of a text are the best combinations of its
 segments' alternatives, of which only the N - 1 cheapest to change can matter.
 
 Order: score, the highest first; within a segment, equal scores by the lengths of the pieces from
@@ -28,12 +28,9 @@ MARK = "▁"
 BEST = 4
 UNKNOWN_PENALTY = 10.0
 #: Segments a worker's cache may hold, and the longest that goes into it.
-CACHE_SEGMENTS = 400_000
+CACHE_SEGMENTS = 700_000
 CACHE_CHARS = 64
 
-#: ASCII digits and punctuation, which most vocabularies do not join to letters.
-SIGNS = r"!-@\[-`{-~"
-SIGN = re.compile(f"[{SIGNS}]")
 ABSENT = object()
 
 _OPEN: dict[str, Pieces] = {}
@@ -73,7 +70,11 @@ class Pieces:
         self.unknown = min((s for s, _ in self.scores.values()), default=0.0) - UNKNOWN_PENALTY
         kinds = {"normal": lambda p: p.encode(), "byte": lambda p: bytes([int(p[3:5], 16)]), "unknown": lambda p: " ⁇ ".encode()}
         self.bytes_of = [kinds.get(kind, lambda p: b"")(p) for p, _, kind in rows]
-        self.cut = self._cuts()
+        self.falls_apart = not any(MARK in p.lstrip(MARK) for p in self.scores)
+        self.cut = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+" if self.falls_apart else "(?s).+")
+        # Signs that no piece joins to a letter before them: a word and the sign after it are solved apart.
+        joined = {y for p in self.scores for x, y in zip(p, p[1:]) if x.isalpha()}
+        self.closing = frozenset(c for c in map(chr, range(33, 127)) if not c.isalnum() and c not in joined)
         self.first: dict[str, tuple[bytes, float, float]] = {}
         self.ranked: dict[str, list[tuple[float, bytes]]] = {}
 
@@ -91,15 +92,6 @@ class Pieces:
 
         return [(model.id_to_piece(i), model.get_score(i), kind(i)) for i in range(model.get_piece_size())]
 
-    def _cuts(self) -> re.Pattern:
-        """The segments into which texts fall apart: no piece spans two of them."""
-        inside = [p.lstrip(MARK) for p in self.scores]
-        if any(MARK in p for p in inside):
-            return re.compile("(?s).+")
-        if all(len({bool(SIGN.match(c)) for c in p}) < 2 for p in inside):
-            return re.compile(f"{MARK}*(?:[^{MARK}{SIGNS}]+|[{SIGNS}]+)|{MARK}+")
-        return re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
-
     def segments(self, text: str) -> list[str]:
         return self.cut.findall(MARK + text.replace(" ", MARK)) if text else []
 
@@ -183,6 +175,18 @@ class Pieces:
             at = back[at]
         return self.ids(segment, lengths[::-1]), reach[n], reach[n] - second[n]
 
+    def _learn(self, segment: str) -> tuple[bytes, float, float]:
+        """``solve`` of a segment, kept for the next time."""
+        if len(segment) > 1 and segment[-1] in self.closing and segment[-2].isalpha():
+            word, sign = segment[:-1], segment[-1]
+            (ids, score, loss), (sign_ids, sign_score, sign_loss) = (self.first.get(x) or self._learn(x) for x in (word, sign))
+            known = ids + sign_ids, score + sign_score, min(loss, sign_loss)
+        else:
+            known = self.solve(segment)
+        if len(segment) <= CACHE_CHARS:
+            self.first[segment] = known
+        return known
+
     def search(self, segment: str, best: int) -> list[tuple[float, list[int]]]:
         """Scores and piece lengths of the ``best`` segmentations of one segment, by backward A*."""
         reach, ending = self.forward(segment)
@@ -219,9 +223,7 @@ class Pieces:
         for segment in segments:
             known = first.get(segment)
             if known is None:
-                known = self.solve(segment)
-                if len(segment) <= CACHE_CHARS:
-                    first[segment] = known
+                known = self._learn(segment)
             solved.append(known)
         ids = [s[0] for s in solved]
         score = float(sum(s[1] for s in solved))
