@@ -15,14 +15,14 @@ from __future__ import annotations
 import math
 import re
 
+import pandas as pd
 from pyspark.ml.classification import GBTClassifier
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.regression import IsotonicRegression
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plumbline.llm.base import map_batches, query, table
+from plumbline.llm.base import map_batches, query, table, text_of
 from plumbline.session import reliable_checkpoint
 
 #: Bound on the labelled rows that are learned from, and on the lexicon.
@@ -84,20 +84,16 @@ def measure(text: str, words: frozenset[str], stems: frozenset[str]) -> list[flo
     ]
 
 
-def featurize(docs: DataFrame, lexicon: list[str]) -> DataFrame:
-    """``doc_id`` and the features of every row."""
+def features(text: Column | str, lexicon: list[str]) -> Column:
+    """The features of a text column, as an array."""
     words = frozenset(w for w in lexicon if not w.endswith("*"))
     stems = frozenset(w[:-1] for w in lexicon if w.endswith("*"))
 
-    def make():
-        def step(batch: dict[str, list]) -> dict[str, list]:
-            rows = [measure(t or "", words, stems) for t in batch["text"]]
-            return {"doc_id": batch["doc_id"], **{f: [r[k] for r in rows] for k, f in enumerate(FEATURES)}}
-
-        return step
+    @F.pandas_udf("array<double>")
+    def measured(texts: pd.Series) -> pd.Series:
+        return pd.Series([measure(t or "", words, stems) for t in texts])
 
-    schema = "doc_id bigint, " + ", ".join(f"{f} double" for f in FEATURES)
-    return map_batches(docs.select("doc_id", "text"), make, schema)
+    return measured(text)
 
 
 def held_out(doc_id: Column | str = "doc_id") -> Column:
@@ -136,7 +132,7 @@ def learn_lexicon(train: DataFrame, size: int = LEXICON, support: int = SUPPORT,
 
 
 def score(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS, cutoff: float = CUTOFF) -> DataFrame:
-    """doc_id, held_out, score and predicted of every row of ``docs`` (doc_id, text).
+    """All columns of ``docs`` (doc_id, text) and the struct ``toxicity``: held_out, score, predicted.
 
     Null texts are empty and scored like any other; equal rows get equal scores; an empty table
     stays empty. Where the training rows hold one label only, or one part of them does, every score is
@@ -144,29 +140,35 @@ def score(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS, cuto
     """
     train = reliable_checkpoint(training_rows(docs, labels, train_rows))
     lexicon = learn_lexicon(train)
-    features = reliable_checkpoint(featurize(docs, lexicon))
-    assembler = VectorAssembler(inputCols=FEATURES, outputCol="features")
-    # One partition of few rows, in a fixed order: the fit is the same whatever the partitions were.
-    marked = train.select(F.col("doc_id").alias("_id"), "label").distinct()
-    known = features.join(F.broadcast(marked), F.col("doc_id") == F.col("_id")).orderBy(F.xxhash64("doc_id"), *FEATURES).limit(train_rows)
-    sample = reliable_checkpoint(known.withColumn("part", F.pmod(F.xxhash64(F.lit(5), "doc_id"), F.lit(3))))
-    counts = {(r["part"] == 0, r["label"]): r["n"] for r in sample.groupBy(F.when(F.col("part") == 0, 0).otherwise(1).alias("part"), "label").agg(F.count("*").alias("n")).collect()}
+    text = text_of()
+    # Few rows in a fixed order: the fit is the same whatever the partitions were.
+    part = F.pmod(F.xxhash64(F.lit(5), "doc_id"), F.lit(3)).alias("part")
+    sample = train.select("doc_id", part, "label", text.alias("text")).orderBy(F.xxhash64("doc_id"), "text").limit(train_rows)
+    sample = reliable_checkpoint(sample.select("part", "label", features("text", lexicon).alias("values")))
+    counts = {(r["first"], r["label"]): r["n"] for r in sample.groupBy((F.col("part") == 0).alias("first"), "label").agg(F.count("*").alias("n")).collect()}
     if set(counts) != {(p, y) for p in (True, False) for y in (0.0, 1.0)}:
         share = sum(n for (_, y), n in counts.items() if y == 1.0) / max(1, sum(counts.values()))
-        scored = features.withColumn("score", F.lit(float(share)))
+        scored = docs.withColumn("_tox_score", F.lit(float(share)))
     else:
-        ready = assembler.transform(sample).select("part", "label", "features")
-        trees = GBTClassifier(maxIter=TREES, maxDepth=DEPTH, stepSize=0.2, seed=7).fit(ready.where("part <> 0"))
-        margin = vector_to_array("rawPrediction")[1]
-        calibration = trees.transform(ready.where("part = 0")).select(margin.alias("margin"), "label")
-        isotonic = IsotonicRegression(featuresCol="margin", labelCol="label", predictionCol="score").fit(calibration)
-        judged = trees.transform(assembler.transform(features)).select("doc_id", margin.alias("margin"))
+        vector = lambda df, values: df.withColumn("_tox_features", array_to_vector(values))
+        margin = vector_to_array("_tox_raw")[1]
+        ready = vector(sample, "values")
+        names = {"featuresCol": "_tox_features", "predictionCol": "_tox_class", "rawPredictionCol": "_tox_raw", "probabilityCol": "_tox_share"}
+        boosting = GBTClassifier(labelCol="label", maxIter=TREES, maxDepth=DEPTH, stepSize=0.2, seed=7)
+        for name, column in names.items():
+            boosting.set(boosting.getParam(name), column)
+        trees = boosting.fit(ready.where("part <> 0"))
+        calibration = trees.transform(ready.where("part = 0")).select(margin.alias("_tox_margin"), "label")
+        isotonic = IsotonicRegression(featuresCol="_tox_margin", labelCol="label", predictionCol="_tox_score").fit(calibration)
+        judged = trees.transform(vector(docs, features(text, lexicon))).withColumn("_tox_margin", margin)
         scored = isotonic.transform(judged)
-    clipped = F.greatest(F.lit(0.0), F.least(F.lit(1.0), F.col("score")))
-    return scored.select("doc_id", held_out().alias("held_out"), clipped.alias("score"), (clipped >= cutoff).cast("int").alias("predicted"))
+    clipped = F.greatest(F.lit(0.0), F.least(F.lit(1.0), F.col("_tox_score")))
+    verdict = F.struct(held_out().alias("held_out"), clipped.alias("score"), (clipped >= cutoff).cast("int").alias("predicted"))
+    return scored.select(*[F.col(f"`{c}`") for c in docs.columns if c != "toxicity"], verdict.alias("toxicity"))
 
 
 @query("op5_boosted_toxicity")
 def op5_boosted_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity of all documents."""
-    return score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return score(docs, table(spark, sf_dir, "labels")).select("doc_id", "toxicity.*")
