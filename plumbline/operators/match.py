@@ -16,7 +16,7 @@ from plumbline.functions import constants as K
 from plumbline.functions.classify import confidence_tier
 from plumbline.session import reliable_checkpoint
 
-from .scale import dense_index, join_null_safe, share, spread
+from .scale import dense_index, join_null_safe, share, spread, top_per_key
 
 # ---------------------------------------------------------------- containment join
 
@@ -150,10 +150,6 @@ def _days(c: str) -> Column:
     return F.datediff(F.col(c), F.lit(NO_DAY).cast("date"))
 
 
-def _count_key(day: str) -> Column:
-    return F.shiftleft("group_no", 20) + _days(day)
-
-
 def _id(subset: tuple[str, ...]) -> str:
     return "+".join(subset)
 
@@ -192,29 +188,34 @@ def best_candidates(requests: DataFrame, codes: DataFrame, names: DataFrame, win
         for s in SUBSETS])
     keyed = asked.select("prefix", "cust", "state", "day", F.explode(looked_up).alias("k")).where(F.col("k").isNotNull())
     keyed = reliable_checkpoint(keyed.select("prefix", "cust", "state", "day", "k.*"))
-    # A count is one group on one day; both go into one long key, so the many days join cheaply.
+    # A count is one group on one day.
     groups = reliable_checkpoint(dense_index(keyed, _GROUP, "group_no"))
-    keyed = keyed.join(groups, _GROUP).withColumn("count_key", _count_key("k_day")).select("prefix", "cust", "state", "day", "subset", "count_key")
-    wanted = keyed.select("count_key").distinct()
+    keyed = keyed.join(groups, _GROUP).withColumn("on_day", _days("k_day")).select("prefix", "cust", "state", "day", "subset", "group_no", "on_day")
+    wanted = keyed.select("group_no", "on_day").distinct()
     released = _days("released")
 
     def listed(source, subsets):
-        """One row per code, asked-for group and - for counts by date - day within the window."""
+        """One row per code and asked-for group, with the day of release for counts by date and day 0 for others."""
         tags = F.array(*[F.struct(F.lit("Date" in s).alias("dated"), F.lit(_id(s)).alias("subset"), F.lit("State" in s).alias("by_state")) for s in subsets])
         rows = source.select("prefix", "code", F.col("cust").alias("k_cust"), "state", "released", F.inline(tags))
         rows = rows.where((~F.col("dated") | F.col("released").isNotNull()) & (~F.col("by_state") | F.col("state").isNotNull()))
         rows = rows.withColumn("k_state", F.when(F.col("by_state"), F.col("state")).otherwise(F.lit(""))).join(groups, _GROUP)
-        days = F.when(F.col("dated"), F.sequence(released - window, released + window)).otherwise(F.array(F.lit(0)))
-        rows = spread(rows.select("group_no", "code", days.alias("days")), "group_no", "code")
-        return rows.select("code", "group_no", F.explode("days").alias("d")).select("code", (F.shiftleft("group_no", 20) + F.col("d")).alias("count_key"))
+        return rows.select("group_no", "dated", F.when(F.col("dated"), released).otherwise(0).alias("released_on"), "code")
 
     facts = codes.select("prefix", "code", "customer", "state", F.col("day").alias("released"))
     named = facts.join(names, "customer").drop("customer")
     plain = facts.drop("customer").withColumn("cust", F.lit(""))
     rows = listed(named, [s for s in SUBSETS if "Customer" in s]).unionByName(listed(plain, [s for s in SUBSETS if "Customer" not in s]))
-    counted = rows.join(wanted, "count_key", "left_semi").groupBy("count_key").agg(
-        F.count("*").alias("n"), F.slice(F.array_sort(F.collect_list("code")), 1, _SMALLEST).alias("first"))
-    found = keyed.join(counted, "count_key")
+    # Codes of one group and day become one row with their number and the smallest few, before any row is repeated over a window.
+    one = ["group_no", "dated", "released_on"]
+    rows = reliable_checkpoint(rows)
+    few = top_per_key(rows, one, [F.asc("code")], _SMALLEST).groupBy(*one).agg(F.collect_list("code").alias("few"))
+    daily = rows.groupBy(*one).agg(F.count("*").alias("n")).join(few, one)
+    days = F.when(F.col("dated"), F.sequence(F.col("released_on") - window, F.col("released_on") + window)).otherwise(F.array(F.lit(0)))
+    around = spread(daily.select("group_no", "n", "few", days.alias("days")), "group_no", "days").select("group_no", "n", "few", F.explode("days").alias("on_day"))
+    counted = around.join(wanted, ["group_no", "on_day"], "left_semi").groupBy("group_no", "on_day").agg(
+        F.sum("n").alias("n"), F.slice(F.array_sort(F.flatten(F.collect_list("few"))), 1, _SMALLEST).alias("first"))
+    found = keyed.join(counted, ["group_no", "on_day"])
     wide = found.groupBy("prefix", "cust", "state", "day").agg(
         *[F.max(F.when(F.col("subset") == _id(s), F.col("n"))).alias(_n(s)) for s in SUBSETS],
         *[F.max(F.when(F.col("subset") == _id(s), F.col("first"))).alias(_t(s)) for s in SUBSETS])
@@ -334,7 +335,8 @@ def _fixed(asked: DataFrame) -> DataFrame:
 
 def _manual(asked: DataFrame, prefixed: DataFrame) -> DataFrame:
     """Ambiguous partials go to a person, with every code they could mean (at most 676)."""
-    choices = prefixed.groupBy(F.col("prefix").alias("upper_code")).agg(
+    wanted = asked.where(F.col("branch") == "manual").select(F.col("upper_code").alias("prefix")).distinct()
+    choices = prefixed.where(F.col("prefix") != "").join(wanted, "prefix", "left_semi").groupBy(F.col("prefix").alias("upper_code")).agg(
         F.array_join(F.array_sort(F.collect_set("code")), ", ").alias("choices"))
     own = asked.where(F.col("branch") == "manual").join(choices, "upper_code", "left")
     notes = F.concat(F.lit("'"), F.col("raw"), F.lit("' flagged for manual review. Candidates: "), F.coalesce("choices", F.lit("none found")))
@@ -375,9 +377,9 @@ def _verdict(best: DataFrame) -> DataFrame:
     )
 
 
-def repair_breakdown(repaired: DataFrame, column: str = "repair_status") -> DataFrame:
+def repair_breakdown(repaired: DataFrame, columns: list[str]) -> DataFrame:
     """Rows by status or confidence with their part of the total."""
-    return share(repaired.groupBy(column).agg(F.count("*").alias("rows")), "rows", "share")
+    return share(repaired.groupBy(*columns).agg(F.count("*").alias("rows")), "rows", "share")
 
 
 def rejected_rows(repaired: DataFrame, row_no: str, columns: list[str]) -> DataFrame:

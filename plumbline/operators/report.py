@@ -14,8 +14,6 @@ from plumbline.functions.clean import blank_to_null, is_blank, is_county
 from .ledger import only_in
 from .scale import first_per_key, join_spreading_nulls, share
 
-PAGE = 1_000
-
 
 # ---------------------------------------------------------------- class counts
 
@@ -80,28 +78,21 @@ def provenance(registry: DataFrame, winners: DataFrame) -> DataFrame:
         "n_sources": n_sources, "conflicts": F.coalesce("conflicts", F.lit(0).cast("bigint"))})
 
 
-def observed_values(observations: DataFrame, page: int = PAGE) -> DataFrame:
-    """All values of an (entity, field) as ``value [source·t0.00·n]``, most trusted first.
+def observed_values(observations: DataFrame) -> DataFrame:
+    """Every observed value, one row each, shown as ``value [source·t0.00·n]``.
 
-    A field with more than ``page`` observations is spread over numbered pages, so that no single
-    cell has to hold an unbounded list; with fewer there is one page, number 0.
+    The grain is the observation at every size; a reader orders a field's rows by trust, pieces, value, source.
     """
-    keys = ["entity_key", "field"]
-    sizes = observations.groupBy(*keys).agg(F.ceil(F.count("*") / page).cast("int").alias("pages"))
-    paged = observations.join(sizes, keys).withColumn("page", F.pmod(F.xxhash64("value_norm", "source"), F.col("pages")).cast("int"))
     shown = F.format_string("%s [%s·t%.2f·n%d]", F.col("value_norm"), F.col("source"), F.col("trust"), F.col("n_pieces"))
-    entry = F.struct((-F.col("trust")).alias("t"), (-F.col("n_pieces")).alias("n"), F.col("value_norm").alias("v"), F.col("source").alias("s"), shown.alias("x"))
-    listed = paged.groupBy(*keys, "page").agg(F.array_sort(F.collect_list(entry)).alias("l"))
-    return listed.select(*keys, "page", F.array_join(F.transform("l", lambda e: e["x"]), " | ").alias("all_observed_values"))
+    return observations.select("entity_key", "field", "trust", "n_pieces", F.col("value_norm").alias("value"), "source", shown.alias("shown"))
 
 
 def source_matrix(observations: DataFrame, fields: list[str], sources: list[str]) -> DataFrame:
-    """Each source's best value of each field, side by side per entity."""
-    order = [F.desc("trust"), F.desc("n_pieces"), F.asc("value_norm")]
+    """Each source's best value of each field, side by side per entity, in one aggregation."""
     kept = observations.where(F.col("field").isin(fields) & F.col("source").isin(sources))
-    best = first_per_key(kept, ["entity_key", "field", "source"], order)
-    return best.groupBy("entity_key").agg(*[
-        F.max(F.when((F.col("field") == f) & (F.col("source") == s), F.col("value_norm"))).alias(f"{s}_{f}") for s in sources for f in fields])
+    entry = F.struct((-F.col("trust")).alias("t"), (-F.col("n_pieces")).alias("n"), F.col("value_norm").alias("v"))
+    best = lambda s, f: F.min(F.when((F.col("field") == f) & (F.col("source") == s), entry))["v"]
+    return kept.groupBy("entity_key").agg(*[best(s, f).alias(f"{s}_{f}") for s in sources for f in fields])
 
 
 def winners_wide(winners: DataFrame, fields: list[str]) -> DataFrame:
@@ -127,12 +118,16 @@ def location_matrix(observations: DataFrame, winners: DataFrame, zip_places: Dat
 
 def review_list(winners: DataFrame, observations: DataFrame, confirmed: DataFrame, field: str, statuses: list[str], sources: list[str],
                 names: DataFrame | None = None) -> DataFrame:
-    """What a person should look at for one field, with every source's value and all values."""
+    """What a person should look at for one field, one row per entity at every size.
+
+    Every source's best value stands beside it, and the number of its rows in ``observed_values``.
+    """
     open_rows = winners.where((F.col("field") == field) & F.col("status").isin(statuses))
     open_rows = open_rows.join(confirmed.select("entity_key", "field"), ["entity_key", "field"], "left_anti")
     matrix = source_matrix(observations.where(F.col("field") == field), [field], sources)
-    values = observed_values(observations.where(F.col("field") == field))
-    listed = open_rows.join(matrix, "entity_key", "left").join(values, ["entity_key", "field"], "left")
+    counts = observations.where(F.col("field") == field).groupBy("entity_key").agg(F.count("*").alias("n_observed"))
+    listed = open_rows.join(matrix, "entity_key", "left").join(counts, "entity_key", "left")
+    listed = listed.withColumn("n_observed", F.coalesce("n_observed", F.lit(0).cast("bigint")))
     if names is not None:
         listed = listed.join(names.select("entity_key", "project_name"), "entity_key", "left")
     return listed
@@ -205,6 +200,12 @@ def problem_list(records: DataFrame, resolution: str, source: str, key: str) ->
     return rows.withColumns({"independent_sources": F.size(sources), "action": action}).orderBy(severity(resolution), key)
 
 
+def status_counts(winners: DataFrame, fields: list[str], status: str) -> DataFrame:
+    """Rows of each field's review list, in one aggregation; a field without any shows 0."""
+    counts = winners.agg(*[F.count_if((F.col("field") == f) & (F.col("status") == status)).alias(f) for f in fields])
+    return counts.select(F.inline(F.array(*[F.struct(F.lit(f).alias("list"), F.col(f).alias("rows")) for f in fields])))
+
+
 def index_counts(named: dict[str, DataFrame]) -> DataFrame:
     """How many rows each list has."""
     counted = [df.agg(F.lit(name).alias("list"), F.count("*").alias("rows")).select("list", "rows") for name, df in named.items()]

@@ -36,11 +36,11 @@ def in_target_order(rows: DataFrame, target_columns: list[str]) -> DataFrame:
 
 
 def upsert(existing: DataFrame, incoming: DataFrame, keys: list[str], value: str, stamp: str) -> DataFrame:
-    """Latest row per key; incoming rows without a value change nothing."""
+    """The row of the latest stamp per key, whichever batch brought it; rows without a value change nothing."""
     given = incoming.where(F.trim(F.col(value)) != "")
     both = existing.withColumn("_new", F.lit(0)).unionByName(given.withColumn("_new", F.lit(1)))
     cols = [c for c in existing.columns if c not in keys]
-    latest = both.groupBy(*keys).agg(F.max_by(F.struct(*cols), F.struct("_new", stamp, value)).alias("r"))
+    latest = both.groupBy(*keys).agg(F.max_by(F.struct(*cols), F.struct(stamp, "_new", value)).alias("r"))
     return latest.select(*keys, "r.*")
 
 
@@ -66,9 +66,3 @@ def metric_delta(before: DataFrame, after: DataFrame) -> DataFrame:
     zero = F.lit(0).cast("bigint")
     return joined.select("metric", F.coalesce("previous", zero).alias("previous"), F.coalesce("current", zero).alias("current")).withColumn(
         "delta", F.col("current") - F.col("previous"))
-
-
-def previous_label(labels: DataFrame, label: str, current: str) -> DataFrame:
-    """The greatest snapshot label before the current one."""
-    return labels.where(F.col(label) < current).agg(F.max(label).alias("previous"))
-

@@ -25,6 +25,18 @@ def _(spark, sf):
     return tabular.resolve_headers(read, {"code": ["job code", "P_PARTKEY"], "name": ["p_name"], "brand": ["brand", "P_Brand"], "plant": ["plant"]}).drop("source_file", "row_no")
 
 
+_ODD_TEXT = [("inch", "p_size || '\" Base, ' || p_name"), ("quoted", "'\"' || p_name || '\"'"), ("lines", "p_brand || chr(10) || ' ' || p_type || ' '")]
+
+
+@query("k01_csv_odd_texts", f"SELECT CAST(p_partkey AS VARCHAR) AS p_partkey, {', '.join(f'{sql} AS {name}' for name, sql in _ODD_TEXT)} FROM part")
+def _(spark, sf):
+    """Inch marks, commas, quotes, line breaks and spaces at the ends come back as they were."""
+    path = scratch(spark, "odd")
+    rows = table(spark, sf, "part").select("p_partkey", *[F.expr(sql).alias(name) for name, sql in _ODD_TEXT])
+    tables.write_csv(rows, path, rows.columns)
+    return tabular.read_csv(spark, path, line_breaks=True).drop("source_file", "row_no")
+
+
 @query("s05_alias_coalesce", "SELECT CAST(o_orderkey AS VARCHAR) AS id, CASE o_orderstatus WHEN 'F' THEN o_orderpriority WHEN 'O' THEN 'O' ELSE o_orderstatus END AS place FROM orders")
 def _(spark, sf):
     """Each row takes the first of three columns that holds something."""
@@ -93,8 +105,8 @@ def _(spark, sf):
     """Cells with and without a position of their own."""
     cell = lambda v, at=None: F.struct(F.struct(v.alias("_VALUE")).alias("Data"), F.lit(at).cast("bigint").alias("_ss:Index"))
     raw = F.when(F.col("c_custkey") % 2 == 0, F.array(cell(F.col("c_mktsegment")), cell(F.lit(None).cast("string")), cell(F.col("c_name")))).otherwise(F.array(cell(F.col("c_name"), 3)))
-    placed = table(spark, sf, "customer").select("c_custkey", files.placed_cells(raw, 4).alias("x"))
-    return placed.select("c_custkey", *[F.get("x", F.lit(i)).alias(n) for i, n in enumerate("abcd")])
+    placed = table(spark, sf, "customer").select("c_custkey", files.placed_cells(raw).alias("x"))
+    return placed.select("c_custkey", *[files.cell_at("x", F.lit(i)).alias(n) for i, n in enumerate("abcd", 1)])
 
 
 # ---------------------------------------------------------------- listings

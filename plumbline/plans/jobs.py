@@ -71,12 +71,12 @@ def _(spark, sf):
 def _shipments(spark, sf):
     """Lines by order; the right side has orders repeated per line, its last row counts."""
     left = table(spark, sf, "orders").select(F.col("o_orderkey").cast("string").alias("sit"), "o_custkey")
-    right = table(spark, sf, "lineitem").where(F.col("l_returnflag") == "R").select(
+    right = table(spark, sf, "lineitem").select(
         F.col("l_orderkey").cast("string").alias("sit"), F.struct("l_linenumber", "l_partkey", "l_extendedprice").alias("row_no"), "l_partkey")
     return snapshots.join_shipments(left, right, "sit", "row_no")
 
 
-_SHIP_SQL = "r AS (SELECT CAST(l_orderkey AS VARCHAR) AS sit, arg_max(l_partkey, (l_linenumber, l_partkey, l_extendedprice)) AS l_partkey FROM lineitem WHERE l_returnflag = 'R' GROUP BY 1)"
+_SHIP_SQL = "r AS (SELECT CAST(l_orderkey AS VARCHAR) AS sit, arg_max(l_partkey, (l_linenumber, l_partkey, l_extendedprice)) AS l_partkey FROM lineitem GROUP BY 1)"
 
 
 @query("j01_shipment_join", f"WITH {_SHIP_SQL} SELECT CAST(o_orderkey AS VARCHAR) AS sit, o_custkey, l_partkey FROM orders JOIN r ON CAST(o_orderkey AS VARCHAR) = sit")
@@ -90,7 +90,7 @@ def _(spark, sf):
 
 
 @query("k05_upsert", f"""WITH e AS (SELECT CAST(user_id AS VARCHAR) AS entity_key, event_type AS field, CAST(value AS VARCHAR) AS chosen_value, event_id AS stamp, ts FROM events)
-SELECT entity_key, field, arg_max(stamp, stamp) AS stamp FROM e GROUP BY 1, 2""")
+SELECT entity_key, field, CAST(arg_max(chosen_value, stamp) AS DOUBLE) AS chosen_value, max(stamp) AS stamp FROM e WHERE chosen_value IS NOT NULL GROUP BY 1, 2""")
 def _(spark, sf):
     """The later half of the events upserted into the earlier half."""
     rows = _events(spark, sf).select(F.col("user_id").cast("string").alias("entity_key"), F.col("event_type").alias("field"), F.col("value").cast("string").alias("chosen_value"), F.col("event_id").alias("stamp"), "ts")
@@ -98,7 +98,7 @@ def _(spark, sf):
     late = rows.where(F.col("ts") > F.lit(CUTOFF).cast("timestamp_ntz")).drop("ts")
     empty = early.where(F.lit(False))
     first = snapshots.upsert(empty, early, ["entity_key", "field"], "chosen_value", "stamp")
-    return snapshots.upsert(first, late, ["entity_key", "field"], "chosen_value", "stamp").drop("chosen_value")
+    return snapshots.upsert(first, late, ["entity_key", "field"], "chosen_value", "stamp").withColumn("chosen_value", F.col("chosen_value").cast("double"))
 
 
 def _labels(spark, sf):
@@ -349,13 +349,13 @@ def _(spark, sf):
     return spark.read.parquet(out).select("event_id", "user_id", "event_type")
 
 
-@query("st02_stream_upsert", "SELECT CAST(user_id AS VARCHAR) AS entity_key, event_type AS field, arg_max(event_id, event_id) AS stamp FROM events GROUP BY 1, 2")
+@query("st02_stream_upsert", "SELECT CAST(user_id AS VARCHAR) AS entity_key, event_type AS field, arg_max(value, event_id) AS chosen_value, max(event_id) AS stamp FROM events WHERE value IS NOT NULL GROUP BY 1, 2")
 def _(spark, sf):
     """ST02: latest event per user and type kept by the stream."""
     out, mark, schema = scratch(spark, "st02"), scratch(spark, "st02-mark"), "entity_key string, field string, chosen_value string, stamp bigint"
     rows = _stream(spark, sf).select(F.col("user_id").cast("string").alias("entity_key"), F.col("event_type").alias("field"), F.col("value").cast("string").alias("chosen_value"), F.col("event_id").alias("stamp"))
     ingest.upsert_stream(rows, out, schema, ["entity_key", "field"], "chosen_value", "stamp", mark).awaitTermination()
-    return tables.read_latest(spark, out, schema).drop("chosen_value")
+    return tables.read_latest(spark, out, schema).withColumn("chosen_value", F.col("chosen_value").cast("double"))
 
 
 _ANOM_SQL = """e AS (SELECT event_id, n.n_name AS city, 'R' || (user_id % 5) AS state FROM events JOIN nation n ON user_id % 25 = n_nationkey)"""

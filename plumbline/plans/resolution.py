@@ -8,6 +8,7 @@ from plumbline.functions.clean import lookup, present_text
 from plumbline.operators import registry as reg
 from plumbline.operators import report, resolve
 from plumbline.operators.scale import first_filled, literal_rows, share
+from plumbline.session import reliable_checkpoint
 
 from .base import FLAG_SOURCE, case, query, table
 
@@ -118,17 +119,17 @@ def _(spark, sf):
 
 
 @query("a34_all_values", f"""WITH {SCORED_SQL}
-SELECT entity_key, field, CAST(0 AS INT) AS page, string_agg(printf('%s [%s·t%.2f·n%d]', value_norm, source, CAST(trust AS DOUBLE), n_pieces), ' | ' ORDER BY trust DESC, n_pieces DESC, value_norm, source) AS all_observed_values
-FROM scored GROUP BY 1, 2""")
+SELECT entity_key, field, round(CAST(trust AS DOUBLE), 6) AS trust, n_pieces, value_norm AS value, source, printf('%s [%s·t%.2f·n%d]', value_norm, source, CAST(trust AS DOUBLE), n_pieces) AS shown
+FROM scored""")
 def _(spark, sf):
-    return report.observed_values(scored(spark, sf))
+    return report.observed_values(scored(spark, sf)).withColumn("trust", F.round(F.col("trust").cast("double"), 6))
 
 
 @query("a33_source_matrix", f"""WITH {SCORED_SQL}, r AS (SELECT *, row_number() OVER (PARTITION BY entity_key, field, source ORDER BY trust DESC, n_pieces DESC, value_norm) AS rn FROM scored)
-SELECT entity_key, {", ".join(f"max(CASE WHEN field = '{f}' AND source = '{s}' THEN value_norm END) AS {s}_{f}" for s in ("bom_union", "dispatch") for f in ("state", "city"))}
-FROM r WHERE rn = 1 AND field IN ('state', 'city') AND source IN ('bom_union', 'dispatch') GROUP BY 1""")
+SELECT entity_key, {", ".join(f"max(CASE WHEN field = '{f}' AND source = '{s}' THEN value_norm END) AS {s}_{f}" for s in ("bom_union", "dispatch", "registry") for f in ("state", "city"))}
+FROM r WHERE rn = 1 AND field IN ('state', 'city') GROUP BY 1""")
 def _(spark, sf):
-    return report.source_matrix(scored(spark, sf), ["state", "city"], ["bom_union", "dispatch"])
+    return report.source_matrix(scored(spark, sf), ["state", "city"], ["bom_union", "dispatch", "registry"])
 
 
 # ---------------------------------------------------------------- registry
@@ -164,7 +165,7 @@ SELECT ex.entity_key, project_name, {", ".join(f"{f}, coalesce({f}_status, 'GAP'
 FROM ex LEFT JOIN wide ON ex.entity_key = wide.entity_key LEFT JOIN src ON ex.entity_key = src.entity_key""")
 def _(spark, sf):
     """Winners, confirmed values and supplements; orders without lines show as GAP."""
-    obs = scored(spark, sf)
+    obs = reliable_checkpoint(scored(spark, sf))
     extras = table(spark, sf, "orders").select(F.col("o_orderkey").cast("string").alias("entity_key"), F.col("o_orderpriority").alias("project_name"))
     return resolve.registry(resolve.vote(obs), extras, confirmed_values(spark, sf), resolve.entity_sources(obs), FIELDS, TOP_SOURCE, ["city", "state"])
 
@@ -173,7 +174,7 @@ def _(spark, sf):
 c AS (SELECT entity_key, count(*) AS conflicts FROM winners WHERE status = 'CONFLICT' GROUP BY 1)
 SELECT src.entity_key, sources, CAST(len(string_split(sources, ',')) AS INT) AS n_sources, coalesce(conflicts, 0) AS conflicts FROM src LEFT JOIN c ON src.entity_key = c.entity_key""")
 def _(spark, sf):
-    obs = scored(spark, sf)
+    obs = reliable_checkpoint(scored(spark, sf))
     return report.provenance(resolve.entity_sources(obs), resolve.vote(obs)).select("entity_key", "sources", "n_sources", "conflicts")
 
 
@@ -185,15 +186,15 @@ def _(spark, sf):
 
 
 @query("v01_review_list", f"""WITH {VOTE_SQL}, {CONFIRMED_SQL}, r AS (SELECT *, row_number() OVER (PARTITION BY entity_key, source ORDER BY trust DESC, n_pieces DESC, value_norm) AS rn FROM scored WHERE field = 'state'),
-m AS (SELECT entity_key, max(CASE WHEN source = 'bom_union' THEN value_norm END) AS bom_union_state, max(CASE WHEN source = 'registry' THEN value_norm END) AS registry_state FROM r WHERE rn = 1 AND source IN ('bom_union', 'registry') GROUP BY 1),
-v AS (SELECT entity_key, string_agg(printf('%s [%s·t%.2f·n%d]', value_norm, source, CAST(trust AS DOUBLE), n_pieces), ' | ' ORDER BY trust DESC, n_pieces DESC, value_norm, source) AS vals FROM scored WHERE field = 'state' GROUP BY 1)
-SELECT w.entity_key, w.status, w.winner, bom_union_state, registry_state, vals AS all_observed_values
+m AS (SELECT entity_key, max(CASE WHEN source = 'bom_union' THEN value_norm END) AS bom_union_state, max(CASE WHEN source = 'dispatch' THEN value_norm END) AS dispatch_state, max(CASE WHEN source = 'registry' THEN value_norm END) AS registry_state FROM r WHERE rn = 1 GROUP BY 1),
+v AS (SELECT entity_key, count(*) AS n_observed FROM scored WHERE field = 'state' GROUP BY 1)
+SELECT w.entity_key, w.status, w.winner, bom_union_state, dispatch_state, registry_state, coalesce(n_observed, 0) AS n_observed
 FROM winners w LEFT JOIN m ON m.entity_key = w.entity_key LEFT JOIN v ON v.entity_key = w.entity_key
 WHERE w.field = 'state' AND w.status IN ('CONFLICT', 'GAP') AND NOT EXISTS (SELECT 1 FROM confirmed c WHERE c.entity_key = w.entity_key AND c.field = w.field)""")
 def _(spark, sf):
-    obs = scored(spark, sf)
-    listed = report.review_list(resolve.vote(obs), obs, confirmed_values(spark, sf), "state", ["CONFLICT", "GAP"], ["bom_union", "registry"])
-    return listed.select("entity_key", "status", "winner", "bom_union_state", "registry_state", "all_observed_values")
+    obs = reliable_checkpoint(scored(spark, sf))
+    listed = report.review_list(resolve.vote(obs), obs, confirmed_values(spark, sf), "state", ["CONFLICT", "GAP"], ["bom_union", "dispatch", "registry"])
+    return listed.select("entity_key", "status", "winner", "bom_union_state", "dispatch_state", "registry_state", "n_observed")
 
 
 @query("v04_corrections_log", f"""WITH {VOTE_SQL}, {CONFIRMED_SQL}
@@ -209,8 +210,7 @@ SELECT 'state' AS list, count(*) AS rows FROM winners WHERE field = 'state' AND
 UNION ALL SELECT 'city', count(*) FROM winners WHERE field = 'city' AND status = 'CONFLICT'
 UNION ALL SELECT 'year', count(*) FROM winners WHERE field = 'year' AND status = 'CONFLICT'""")
 def _(spark, sf):
-    won = winners(spark, sf)
-    return report.index_counts({f: won.where((F.col("field") == f) & (F.col("status") == "CONFLICT")) for f in FIELDS})
+    return report.status_counts(winners(spark, sf), FIELDS, "CONFLICT")
 
 
 @query("w13_status_share", f"""WITH {VOTE_SQL} SELECT field, status, count(*) AS rows, round(count(*) / (SELECT count(*) FROM winners), 4) AS share FROM winners GROUP BY 1, 2""")

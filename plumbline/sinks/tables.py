@@ -6,19 +6,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from plumbline.operators.snapshots import in_target_order, upsert
-from plumbline.sources.tabular import exists
+from plumbline.sources.tabular import CSV_FORMAT, exists
 
 
 def write_csv(df: DataFrame, path: str, columns: list[str], mode: str = "overwrite", partition_by: list[str] | None = None) -> None:
     """Header CSV with a fixed column order."""
-    writer = df.select(*columns).write.mode(mode).option("header", True)
+    writer = df.select(*columns).write.mode(mode).options(**CSV_FORMAT)
     (writer.partitionBy(*partition_by) if partition_by else writer).csv(path)
 
 
 def write_report(sheets: dict[str, DataFrame], path: str) -> None:
     """Each named table of a report in a folder of its own."""
     for name, df in sheets.items():
-        df.write.mode("overwrite").option("header", True).csv(f"{path}/{name}")
+        df.write.mode("overwrite").options(**CSV_FORMAT).csv(f"{path}/{name}")
 
 
 def write_json(df: DataFrame, path: str) -> None:
@@ -37,7 +37,7 @@ def write_bundle(parts: dict[str, DataFrame], path: str) -> None:
 
 def append_log(df: DataFrame, path: str, columns: list[str]) -> None:
     """Add rows in the log's column order."""
-    in_target_order(df, columns).write.mode("append").option("header", True).csv(path)
+    in_target_order(df, columns).write.mode("append").options(**CSV_FORMAT).csv(path)
 
 
 def _versions(spark: SparkSession, path: str) -> list[int]:

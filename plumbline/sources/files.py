@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from plumbline.functions import constants as K
 from plumbline.functions.clean import as_col
+from plumbline.operators.scale import first_per_key, join_null_safe
 
 from .tabular import with_row_no
 
@@ -34,7 +35,7 @@ def release_files(files: DataFrame, job: str, subfolder: str = "subfolder", requ
     if required:
         return marked.where("_release").drop("_release")
     has = marked.groupBy(job).agg(F.bool_or("_release").alias("_has"))
-    joined = marked.join(has, job)
+    joined = join_null_safe(marked, has, [job])
     return joined.where(F.col("_release") | ~F.col("_has")).drop("_release", "_has")
 
 
@@ -51,40 +52,55 @@ CELL = "array<struct<Data:struct<_VALUE:string>,`_ss:Index`:bigint>>"
 
 
 def read_sheet_xml(spark: SparkSession, path: str) -> DataFrame:
-    """Rows of a spreadsheet-XML export as ``(source_file, row_no, raw_cells)``."""
-    df = spark.read.format("xml").option("rowTag", "Row").schema(f"Cell {CELL}").load(path)
-    return with_row_no(df).select("source_file", "row_no", F.col("Cell").alias("raw_cells"))
+    """Rows of the first worksheet of each spreadsheet-XML export as ``(source_file, row_no, raw_cells)``.
+
+    A worksheet is one record, so one task reads it; the files of an export are read side by side.
+    """
+    schema = f"Table struct<Row:array<struct<Cell:{CELL}>>>"
+    sheets = with_row_no(spark.read.format("xml").option("rowTag", "Worksheet").schema(schema).load(path))
+    first = first_per_key(sheets, ["source_file"], [F.asc("row_no")])
+    rows = first.select("source_file", F.posexplode("Table.Row").alias("row_no", "r"))
+    return rows.select("source_file", F.col("row_no").cast("bigint").alias("row_no"), F.col("r.Cell").alias("raw_cells"))
 
 
-def placed_cells(raw_cells, width: int) -> Column:
-    """Cell texts at their true positions.
+def placed_cells(raw_cells) -> Column:
+    """Cells as (at, text) with their true positions, counted from 1.
 
-    A cell may carry its own position and the ones after it count on from there; gaps are ''.
+    A cell may carry its own position and the ones after it count on from there.
     """
     cells = as_col(raw_cells)
-    start = F.struct(F.lit(0).cast("bigint").alias("at"), F.create_map().cast("map<bigint,string>").alias("m"))
+    given = F.filter(F.transform(cells, lambda c, i: F.struct((i + 1).cast("bigint").alias("i"), c["_ss:Index"].alias("at"))), lambda a: a["at"].isNotNull())
+
+    def place(c, i):
+        before = F.try_element_at(F.filter(given, lambda a: a["i"] <= i + 1), F.lit(-1))
+        return F.struct((i + 1 + F.coalesce(before["at"] - before["i"], F.lit(0))).cast("bigint").alias("at"), F.coalesce(c["Data"]["_VALUE"], F.lit("")).alias("text"))
+
+    return F.transform(cells, place)
+
+
+def cell_at(placed, position: Column) -> Column:
+    """The text at a position, '' where there is none; of cells at one position the last counts."""
+    return F.coalesce(F.try_element_at(F.filter(as_col(placed), lambda c: c["at"] == position), F.lit(-1))["text"], F.lit(""))
 
-    def place(acc, cell):
-        at = F.coalesce(cell["_ss:Index"], acc["at"] + 1)
-        text = F.coalesce(cell["Data"]["_VALUE"], F.lit(""))
-        return F.struct(at.alias("at"), F.map_concat(acc["m"], F.create_map(at, text)).alias("m"))
 
-    table = F.aggregate(cells, start, place)["m"]
-    return F.transform(F.sequence(F.lit(1).cast("bigint"), F.lit(width).cast("bigint")),
-                       lambda i: F.coalesce(F.try_element_at(table, i), F.lit("")))
+def cell_texts(placed) -> Column:
+    """All texts of a row in place, up to its last position; gaps are ''."""
+    placed = as_col(placed)
+    last = F.coalesce(F.array_max(F.transform(placed, lambda c: c["at"])), F.lit(0).cast("bigint"))
+    return F.when(last > 0, F.transform(F.sequence(F.lit(1).cast("bigint"), last), lambda p: cell_at(placed, p))).otherwise(F.array().cast("array<string>"))
 
 
-def sheet_records(rows: DataFrame, columns: list[str], width: int = 64) -> DataFrame:
-    """Named columns of a sheet whose first row is the header.
+def sheet_records(rows: DataFrame, columns: list[str]) -> DataFrame:
+    """Named columns of a sheet whose first row is the header, however wide it is.
 
     The header row (one per file) gives each column's place; rows look their cells up by it.
     """
-    cells = rows.select("source_file", "row_no", placed_cells("raw_cells", width).alias("cells"))
+    cells = rows.select("source_file", "row_no", placed_cells("raw_cells").alias("cells"))
     header = cells.groupBy("source_file").agg(F.min("row_no").alias("header_no"), F.min_by("cells", "row_no").alias("header"))
-    header = header.withColumn("header", F.transform("header", lambda h: F.trim(h)))
+    at = lambda c: F.get(F.filter("header", lambda h: F.trim(h["text"]) == c), F.lit(0))["at"]
+    header = header.select("source_file", "header_no", *[at(c).alias(f"_at_{i}") for i, c in enumerate(columns)])
     body = cells.join(header, "source_file").where(F.col("row_no") > F.col("header_no"))
-    at = lambda c: F.get("cells", (F.array_position("header", F.lit(c)) - 1).cast("int"))
-    return body.select("source_file", "row_no", *[F.coalesce(at(c), F.lit("")).alias(c) for c in columns])
+    return body.select("source_file", "row_no", *[cell_at("cells", F.col(f"_at_{i}")).alias(c) for i, c in enumerate(columns)])
 
 
 # ---------------------------------------------------------------- front matter

@@ -51,11 +51,17 @@ def test_trust_learning_and_ranking(spark):
     assert [r.s for r in scores.collect()] == [0.56, 0.38, 0.3]
 
 
-def test_observed_values_are_paged_not_cut(spark):
-    obs = spark.range(50).select(F.lit("A").alias("entity_key"), F.lit("city").alias("field"), F.lit("s").alias("source"), F.concat(F.lit("v"), F.col("id")).alias("value_norm"), F.lit(0.5).alias("trust"), F.lit(1).alias("n_pieces"))
-    pages = report.observed_values(obs, page=10).collect()
-    assert len(pages) > 1 and sum(len(p.all_observed_values.split(" | ")) for p in pages) == 50
-    assert [p.page for p in report.observed_values(obs).collect()] == [0]
+def test_a_field_of_any_size_has_one_review_row(spark):
+    obs = spark.range(5_000).select(
+        F.lit("A").alias("entity_key"), F.lit("city").alias("field"), F.lit("s").alias("source"), F.concat(F.lit("v"), F.col("id")).alias("value_norm"),
+        (F.col("id") / 5_000).alias("trust"), F.lit(1).alias("n_pieces"))
+    values = report.observed_values(obs)
+    assert values.count() == 5_000
+    assert values.orderBy(F.desc("trust")).first().shown == "v4999 [s·t1.00·n1]"
+    winners = spark.createDataFrame([("A", "city", "v4999", "CONFLICT")], "entity_key string, field string, winner string, status string")
+    none = spark.createDataFrame([], "entity_key string, field string")
+    rows = report.review_list(winners, obs, none, "city", ["CONFLICT"], ["s"]).collect()
+    assert [(r.winner, r.s_city, r.n_observed) for r in rows] == [("v4999", "v4999", 5_000)]
 
 
 def test_code_sequence_fills_gaps(spark):

@@ -1,5 +1,6 @@
 """Readers and writers on small files."""
 
+import csv
 import json
 import os
 import time
@@ -49,7 +50,7 @@ def test_row_no_follows_the_file(spark, tmp_path):
 def test_spreadsheet_xml_honours_cell_positions(spark, tmp_path):
     path = tmp_path / "export.xls"
     path.write_text(SHEET)
-    got = files.sheet_records(files.read_sheet_xml(spark, str(path)), ["Job Code", "City", "State", "Qty"], width=6)
+    got = files.sheet_records(files.read_sheet_xml(spark, str(path)), ["Job Code", "City", "State", "Qty"])
     assert [tuple(r)[2:] for r in got.orderBy("row_no").collect()] == [("AAA", "", "NV", "4"), ("", "Reno", "", ""), ("CCC", "", "UT", "")]
 
 
@@ -136,3 +137,26 @@ def test_plain_writers(spark, tmp_path):
     tables.write_bundle({"meta": df.limit(1), "rows": df}, str(tmp_path / "bundle"))
     tables.write_clustered(df, str(tmp_path / "clustered"), ["a"])
     assert spark.read.json(str(tmp_path / "bundle/rows")).count() == 2 and spark.read.parquet(str(tmp_path / "clustered")).count() == 2
+
+
+def test_csv_agrees_with_other_programs(spark, tmp_path):
+    rows = [["1", '48" Base 48"'], ["2", '60" Lid, 30" Opening'], ["3", "two\nlines"], ["4", ' " '], ["5", "back\\slash"]]
+    with open(tmp_path / "in.csv", "w", newline="") as f:
+        csv.writer(f).writerows([["n", "part"], *rows])
+    read = tabular.read_csv(spark, str(tmp_path / "in.csv"), line_breaks=True)
+    assert [list(r)[:2] for r in read.orderBy("row_no").collect()] == rows
+    tables.write_csv(read.coalesce(1), str(tmp_path / "out"), ["n", "part"])
+    [out] = (tmp_path / "out").glob("part-*.csv")
+    with open(out, newline="") as f:
+        assert list(csv.reader(f)) == [["n", "part"], *rows]
+
+
+def test_a_sheet_may_be_wide_and_only_the_first_counts(spark, tmp_path):
+    cell = lambda v, at="": f'<Cell{at}><Data ss:Type="String">{v}</Data></Cell>'
+    head = "".join(cell(f"H{i}") for i in range(200))
+    body = cell("v0") + cell("v150", ' ss:Index="151"') + cell("v151") + cell("again", ' ss:Index="152"')
+    sheet = lambda a, b: f'<Worksheet ss:Name="x"><Table><Row>{a}</Row><Row>{b}</Row></Table></Worksheet>'
+    path = tmp_path / "wide.xls"
+    path.write_text(f'<?xml version="1.0"?><Workbook xmlns="urn:schemas-microsoft-com:office:spreadsheet" xmlns:ss="urn:schemas-microsoft-com:office:spreadsheet">{sheet(head, body)}{sheet(head, cell("other"))}</Workbook>')
+    [row] = files.sheet_records(files.read_sheet_xml(spark, str(path)), ["H0", "H150", "H151", "H199", "none"]).collect()
+    assert tuple(row)[2:] == ("v0", "v150", "again", "", "")
