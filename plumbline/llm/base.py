@@ -42,6 +42,8 @@ def settle(spark: SparkSession) -> SparkSession:
     """Settings and code that the operators need in a session."""
     ship(spark)
     tune(spark).conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    # Joins that want few of a table's texts drop the others by a Bloom filter before the shuffle.
+    spark.conf.set("spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold", "16MB")
     return spark
 
 
