@@ -76,7 +76,7 @@ class Pieces:
         joined = {y for p in self.scores for x, y in zip(p, p[1:]) if x.isalpha()}
         self.closing = frozenset(c for c in map(chr, range(33, 127)) if not c.isalnum() and c not in joined)
         self.first: dict[str, tuple[bytes, float, float]] = {}
-        self.ranked: dict[str, list[tuple[float, bytes]]] = {}
+        self.ranked: dict[tuple[str, int], list[tuple[float, bytes]]] = {}
 
     @staticmethod
     def _of_file(path: str) -> list[tuple[str, float, str]]:
@@ -204,12 +204,12 @@ class Pieces:
 
     def alternatives(self, segment: str, best: int) -> list[tuple[float, bytes]]:
         """What each of the ``best`` segmentations loses against the first, and its ids."""
-        known = self.ranked.get(segment)
+        known = self.ranked.get((segment, best))
         if known is None:
             found = self.search(segment, best)
             known = [(found[0][0] - score, self.ids(segment, lengths)) for score, lengths in found]
             if len(segment) <= CACHE_CHARS:
-                self.ranked[segment] = known
+                self.ranked[segment, best] = known
         return known
 
     def encode(self, text: str, best: int = 1) -> list[tuple[float, bytes]]:

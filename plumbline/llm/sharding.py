@@ -99,8 +99,9 @@ def shard(rows: DataFrame, shards: int, seed: int = 0, buckets: int = BUCKETS) -
     """``rows`` with global ``row_number``, ``shard`` and ``slot``.
 
     Nulls are values like any other; equal rows take places of their own; an empty table stays empty.
+    Columns of these three names that ``rows`` has already are replaced.
     """
-    numbered = reliable_checkpoint(number_rows(rows, buckets=buckets))
+    numbered = reliable_checkpoint(number_rows(rows.drop("row_number", "shard", "slot"), buckets=buckets))
     n = numbered.count()
 
     @F.pandas_udf("bigint")

@@ -27,7 +27,8 @@ def _splice(text: str, left: tuple[int, int, list, list], right: tuple[int, int,
     """Token indexes in two overlapping chunks (start, end, ids, offsets) from which both agree."""
     a, b, ids, offsets = left
     c, _, other, others = right
-    at = {a + s: i for i, (s, _) in enumerate(offsets) if a + s > c}
+    # Several tokens can begin at one character; the first of them counts.
+    at = {a + offsets[i][0]: i for i in range(len(offsets) - 1, -1, -1) if a + offsets[i][0] > c}
     for j, (s, _) in enumerate(others):
         p = c + s
         if p >= b:
