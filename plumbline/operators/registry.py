@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 from plumbline.functions.clean import blank_to_null, code_to_int, filled_count, int_to_code, leading_year
 
+from plumbline.session import reliable_checkpoint
+
 from .scale import dense_index, first_filled, join_null_safe, top_per_key
 
 
@@ -102,12 +104,13 @@ def code_sequence(codes: DataFrame, code: str, rows: DataFrame | None = None) ->
 
 def job_rollup(rows: DataFrame, key: Column, row_no: str, first: list[str], part: Column, year: str, top: int = 15) -> DataFrame:
     """One row per job - first attributes, its most frequent parts, first and last year."""
-    keyed = rows.withColumn("job_key", key).withColumn("_part", part)
-    # Row attributes come from the first row as a whole, not value by value.
-    base = keyed.groupBy("job_key").agg(
-        F.min_by(F.struct(*first), F.col(row_no)).alias("f"), F.min(year).alias("first_year"), F.max(year).alias("last_year")
-    ).select("job_key", "f.*", "first_year", "last_year")
-    counted = keyed.where(F.col("_part").isNotNull()).groupBy("job_key", "_part").agg(F.count("*").alias("n"))
+    keyed = rows.select(key.alias("job_key"), part.alias("_part"), F.struct(F.col(row_no).alias("_no"), *first).alias("_row"), F.col(year).alias("_year"))
+    # The rows are read once, into counts per job and part; row attributes come from the first row as a whole.
+    counted = reliable_checkpoint(keyed.groupBy("job_key", "_part").agg(
+        F.count("*").alias("n"), F.min("_row").alias("_row"), F.min("_year").alias("first_year"), F.max("_year").alias("last_year")))
+    base = counted.groupBy("job_key").agg(F.min("_row").alias("f"), F.min("first_year").alias("first_year"), F.max("last_year").alias("last_year"))
+    base = base.select("job_key", *[F.col(f"f.{c}").alias(c) for c in first], "first_year", "last_year")
+    counted = counted.where(F.col("_part").isNotNull()).select("job_key", "_part", "n")
     best = top_per_key(counted, ["job_key"], [F.desc("n"), F.asc("_part")], top, out="place")
     listed = best.groupBy("job_key").agg(F.array_sort(F.collect_list(F.struct("place", "_part", "n"))).alias("p")).select(
         "job_key", F.array_join(F.transform("p", lambda x: F.concat_ws(":", x["_part"], x["n"])), ",").alias("composition")

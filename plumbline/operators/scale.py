@@ -94,15 +94,16 @@ def top_per_key(df: DataFrame, keys: list[str], order: list[Column], k: int, out
 
 
 def join_spreading_nulls(left: DataFrame, right: DataFrame, keys: list[str], how: str = "left",
-                         spread: int = 64) -> DataFrame:
+                         spread: int = 64, salt: list[str] | None = None) -> DataFrame:
     """Left, left-anti or left-semi join whose NULL keys do not pile up in one partition.
 
     Rows with a NULL key can match nothing, but a plain shuffle sends them all to one task; a salt
-    taken from the rest of the row spreads them. The right side's salt is always 0, but worked out
+    taken from two of the row's other columns, or those named by ``salt``, spreads them without
+    holding on to columns that nothing else reads. The right side's salt is always 0, but worked out
     from its key: as a constant the optimizer would take it out of the join keys again.
     """
     missing = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
-    rest = [F.col(c) for c in left.columns if c not in keys] or [F.lit(0)]
+    rest = [F.col(f"`{c}`") for c in salt or [c for c in left.columns if c not in keys][:2]] or [F.lit(0)]
     salted = left.withColumn(
         "_salt", F.when(missing, F.pmod(F.xxhash64(*rest), F.lit(spread)).cast("int")).otherwise(F.lit(0))
     )

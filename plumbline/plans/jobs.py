@@ -119,12 +119,12 @@ def _(spark, sf):
 
 
 @query("u06_metric_delta", f"""WITH {_SNAP_SQL}, c AS (SELECT m.metric, count(CASE WHEN label = '2024-01a' AND (m.metric = 'pieces' OR m.metric = event_type) THEN 1 END) AS previous,
-  count(CASE WHEN label = '2024-01b' AND (m.metric = 'pieces' OR m.metric = event_type) THEN 1 END) AS current FROM s, (SELECT 'pieces' AS metric UNION ALL SELECT 'click' UNION ALL SELECT 'error') m GROUP BY 1)
+  count(CASE WHEN label = '2024-01b' AND (m.metric = 'pieces' OR m.metric = event_type) THEN 1 END) AS current FROM s, (SELECT unnest(['pieces', 'click', 'error', 'view', 'signup', 'purchase']) AS metric) m GROUP BY 1)
 SELECT metric, previous, current, current - previous AS delta FROM c""")
 def _(spark, sf):
     """A23, U06."""
     s = _labels(spark, sf)
-    one = lambda label: snapshots.metrics(s.where(F.col("label") == label), "event_type", ["click", "error"])
+    one = lambda label: snapshots.metrics(s.where(F.col("label") == label), "event_type", ["click", "error", "view", "signup", "purchase"])
     return snapshots.metric_delta(one("2024-01a"), one("2024-01b"))
 
 

@@ -110,16 +110,17 @@ def _(spark, sf):
 
 @query("j03_location_overlay", """WITH p AS (SELECT l_orderkey AS job, n_name AS city, CASE WHEN l_returnflag = 'A' THEN NULL ELSE r_name END AS state, l_partkey
   FROM lineitem JOIN supplier ON l_suppkey = s_suppkey JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey),
-r AS (SELECT o_orderkey AS job, n_name AS city, r_name AS state FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey WHERE o_orderstatus = 'O')
+r AS (SELECT o_orderkey AS job, CASE WHEN o_orderstatus <> 'P' THEN n_name END AS city, CASE WHEN o_orderstatus = 'O' THEN r_name END AS state FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey)
 SELECT p.job, p.l_partkey, coalesce(r.city, p.city) AS city, coalesce(r.state, p.state) AS state FROM p LEFT JOIN r ON p.job = r.job""")
 def _(spark, sf):
     place = table(spark, sf, "nation").join(table(spark, sf, "region"), F.col("n_regionkey") == F.col("r_regionkey")).select("n_nationkey", F.col("n_name").alias("city"), F.col("r_name").alias("state"))
     own = table(spark, sf, "lineitem").select("l_orderkey", "l_suppkey", "l_partkey", "l_returnflag").join(
         table(spark, sf, "supplier").select("s_suppkey", "s_nationkey"), F.col("l_suppkey") == F.col("s_suppkey")).join(place, F.col("s_nationkey") == F.col("n_nationkey"))
     pieces = own.select(F.col("l_orderkey").alias("job"), "l_partkey", "city", F.when(F.col("l_returnflag") != "A", F.col("state")).alias("state"))
-    registry = table(spark, sf, "orders").where(F.col("o_orderstatus") == "O").join(
+    registry = table(spark, sf, "orders").join(
         table(spark, sf, "customer").select("c_custkey", "c_nationkey"), F.col("o_custkey") == F.col("c_custkey")).join(place, F.col("c_nationkey") == F.col("n_nationkey"))
-    return ledger.with_location(pieces, registry.select(F.col("o_orderkey").alias("job"), "city", "state"), "job", ["city", "state"])
+    known = registry.select(F.col("o_orderkey").alias("job"), F.when(F.col("o_orderstatus") != "P", F.col("city")).alias("city"), F.when(F.col("o_orderstatus") == "O", F.col("state")).alias("state"))
+    return ledger.with_location(pieces, known, "job", ["city", "state"])
 
 
 @query("a12_unshipped_rollup", """WITH r AS (SELECT * FROM orders WHERE o_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_orderstatus = 'F'))
@@ -178,42 +179,44 @@ def _(spark, sf):
 @query("a13_completeness", f"""WITH b AS (SELECT o_custkey, CAST(o_orderkey AS VARCHAR) AS structure, {_CLASS} AS cls,
     CASE o_orderpriority WHEN '1-URGENT' THEN 4 WHEN '2-HIGH' THEN 3 WHEN '3-MEDIUM' THEN 3 WHEN '4-NOT SPECIFIED' THEN 2 ELSE 1 END AS rank,
     CASE o_orderpriority WHEN '1-URGENT' THEN 'DIAGRAM' WHEN '2-HIGH' THEN 'PER_STRUCTURE_BOM' WHEN '3-MEDIUM' THEN 'PER_STRUCTURE_BOM' ELSE 'SUMMARY_ONLY' END AS tier
-  FROM lineitem JOIN part ON l_partkey = p_partkey JOIN orders ON l_orderkey = o_orderkey WHERE l_returnflag = 'R' AND o_orderstatus = 'P'),
+  FROM lineitem JOIN part ON l_partkey = p_partkey JOIN orders ON l_orderkey = o_orderkey),
 g AS (SELECT o_custkey, structure, arg_max(tier, rank) AS tier, count(CASE WHEN cls = 'base' THEN 1 END) AS base, count(CASE WHEN cls = 'non-base' THEN 1 END) AS nb, count(CASE WHEN cls = 'rehab' THEN 1 END) AS rehab, count(*) AS n FROM b GROUP BY 1, 2),
-shipped AS (SELECT DISTINCT o_custkey FROM orders WHERE o_orderstatus = 'F')
+shipped AS (SELECT o_custkey FROM orders WHERE o_orderstatus = 'F' GROUP BY 1 HAVING count(*) >= 4 UNION ALL SELECT -c_custkey FROM customer WHERE c_acctbal < 0)
 SELECT g.o_custkey, structure, tier AS data_depth, CASE WHEN base > 0 THEN 'Y' ELSE '' END AS has_base, CASE WHEN nb > 0 THEN 'Y' ELSE '' END AS has_nonbase, n AS bom_part_count,
   CASE WHEN g.o_custkey IN (SELECT o_custkey FROM shipped) THEN 'Y' ELSE '' END AS shipped_in_job,
   CASE WHEN tier <> 'SUMMARY_ONLY' AND base = 0 AND rehab = 0 THEN 'no base in BOM - verify (rehab or missing base?)' WHEN tier <> 'SUMMARY_ONLY' THEN 'complete detail on file' ELSE 'summary only - pull BOM by Structure / Shop Drawing from job release folder' END AS next_action FROM g
 UNION ALL SELECT o_custkey, '(no structure detail)', 'SHIPPING_ONLY', '', '', 0, 'Y', 'shipped but no BOM/diagram found - pull BOM by Structure / Shop Drawing' FROM shipped WHERE o_custkey NOT IN (SELECT o_custkey FROM b)""")
 def _(spark, sf):
-    """A13, C27, J08, J10."""
+    """Shipped are customers with four finished orders, and keys without any structure."""
     orders = table(spark, sf, "orders")
-    bom = classed(spark, sf).where(F.col("l_returnflag") == "R").join(orders.where(F.col("o_orderstatus") == "P"), F.col("l_orderkey") == F.col("o_orderkey"))
+    bom = classed(spark, sf).join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
+    often = orders.where(F.col("o_orderstatus") == "F").groupBy("o_custkey").agg(F.count("*").alias("n")).where("n >= 4").select("o_custkey")
+    shipped = often.unionByName(table(spark, sf, "customer").where("c_acctbal < 0").select((-F.col("c_custkey")).alias("o_custkey")))
     bom = bom.select("o_custkey", F.col("o_orderkey").cast("string").alias("structure"), lookup(PRIORITY_DOCUMENT, F.col("o_orderpriority")).alias("document"), "structure_class")
-    return report.completeness(bom, orders.where(F.col("o_orderstatus") == "F"), "o_custkey", "structure", "document", "structure_class")
+    return report.completeness(bom, shipped, "o_custkey", "structure", "document", "structure_class")
 
 
 # ---------------------------------------------------------------- registry
 
 def _registry(spark, sf):
-    """Three order priorities stand for three sources; all customers are the key universe."""
+    """Order priorities stand for three sources; all customers are the key universe."""
     orders = table(spark, sf, "orders").withColumns({"d": F.date_format("o_orderdate", "yyyy-MM-dd"), "year": F.year("o_orderdate").cast("string")})
-    pick = lambda p: orders.where(F.col("o_orderpriority") == p)
+    pick = lambda *p: orders.where(F.col("o_orderpriority").isin(*p))
     sources = {
-        "bom": reg.registry_source(pick("1-URGENT"), "o_custkey", "o_orderkey", "bom", first={"bom_state": F.nullif("o_orderstatus", F.lit("P"))},
+        "bom": reg.registry_source(pick("1-URGENT", "4-NOT SPECIFIED"), "o_custkey", "o_orderkey", "bom", first={"bom_state": F.nullif("o_orderstatus", F.lit("P"))},
                                    least={"released": F.col("d")}, distinct={"bom_structures": F.col("o_orderkey")}),
-        "dispatch": reg.registry_source(pick("2-HIGH"), "o_custkey", "o_orderkey", "dispatch", first={"dispatch_state": F.col("o_orderstatus")}, sets={"years": F.col("year")}),
+        "dispatch": reg.registry_source(pick("2-HIGH", "5-LOW"), "o_custkey", "o_orderkey", "dispatch", first={"dispatch_state": F.col("o_orderstatus")}, sets={"years": F.col("year")}),
         "shipping": reg.registry_source(pick("3-MEDIUM"), "o_custkey", "o_orderkey", "shipping", first={"ship_state": F.col("o_orderstatus")}),
     }
     return reg.join_registry(sources, "o_custkey", table(spark, sf, "customer").select(F.col("c_custkey").alias("o_custkey")))
 
 
-_SRC = "(SELECT o_custkey, {cols}, count(*) AS {n}_rows FROM orders WHERE o_orderpriority = '{p}' GROUP BY 1)"
+_SRC = "(SELECT o_custkey, {cols}, count(*) AS {n}_rows FROM orders WHERE o_orderpriority IN ({p}) GROUP BY 1)"
 REGISTRY_SQL = f"""reg AS (SELECT c_custkey AS o_custkey, bom_state, released, bom_structures, dispatch_state, years, ship_state,
   coalesce(bom_rows, 0) AS bom_rows, coalesce(dispatch_rows, 0) AS dispatch_rows, coalesce(shipping_rows, 0) AS shipping_rows FROM customer
-  LEFT JOIN {_SRC.format(cols="arg_min(nullif(o_orderstatus, 'P'), o_orderkey) FILTER (o_orderstatus <> 'P') AS bom_state, min(strftime(o_orderdate, '%Y-%m-%d')) AS released, count(DISTINCT o_orderkey) AS bom_structures", n='bom', p='1-URGENT')} b ON c_custkey = b.o_custkey
-  LEFT JOIN {_SRC.format(cols="arg_min(o_orderstatus, o_orderkey) AS dispatch_state, string_agg(DISTINCT CAST(year(o_orderdate) AS VARCHAR), ',' ORDER BY CAST(year(o_orderdate) AS VARCHAR)) AS years", n='dispatch', p='2-HIGH')} d ON c_custkey = d.o_custkey
-  LEFT JOIN {_SRC.format(cols="arg_min(o_orderstatus, o_orderkey) AS ship_state", n='shipping', p='3-MEDIUM')} s ON c_custkey = s.o_custkey)"""
+  LEFT JOIN {_SRC.format(cols="arg_min(nullif(o_orderstatus, 'P'), o_orderkey) FILTER (o_orderstatus <> 'P') AS bom_state, min(strftime(o_orderdate, '%Y-%m-%d')) AS released, count(DISTINCT o_orderkey) AS bom_structures", n='bom', p="'1-URGENT', '4-NOT SPECIFIED'")} b ON c_custkey = b.o_custkey
+  LEFT JOIN {_SRC.format(cols="arg_min(o_orderstatus, o_orderkey) AS dispatch_state, string_agg(DISTINCT CAST(year(o_orderdate) AS VARCHAR), ',' ORDER BY CAST(year(o_orderdate) AS VARCHAR)) AS years", n='dispatch', p="'2-HIGH', '5-LOW'")} d ON c_custkey = d.o_custkey
+  LEFT JOIN {_SRC.format(cols="arg_min(o_orderstatus, o_orderkey) AS ship_state", n='shipping', p="'3-MEDIUM'")} s ON c_custkey = s.o_custkey)"""
 
 
 @query("a14_registry_aggregate", f"""WITH {REGISTRY_SQL} SELECT o_custkey, coalesce(bom_state, dispatch_state, ship_state) AS state, released, bom_structures, years, bom_rows, dispatch_rows, shipping_rows,
@@ -279,14 +282,14 @@ def _(spark, sf):
     return coded
 
 
-@query("l07_code_sequence", f"""WITH u AS (SELECT DISTINCT {CODE_SQL} AS code FROM customer JOIN orders ON o_custkey = c_custkey WHERE o_orderstatus = 'F'),
+@query("l07_code_sequence", f"""WITH u AS (SELECT DISTINCT {CODE_SQL} AS code FROM customer JOIN orders ON o_custkey = c_custkey),
 m AS (SELECT max((ascii(code) - 65) * 676 + (ascii(substr(code, 2, 1)) - 65) * 26 + ascii(substr(code, 3, 1)) - 65) AS top FROM u),
 s AS (SELECT CAST(unnest(range(0, CAST(top AS BIGINT) + 1)) AS BIGINT) AS code_no FROM m),
 c AS (SELECT code_no, chr(65 + CAST((code_no // 676) % 26 AS INT)) || chr(65 + CAST((code_no // 26) % 26 AS INT)) || chr(65 + CAST(code_no % 26 AS INT)) AS code FROM s)
 SELECT code, code_no, code NOT IN (SELECT code FROM u) AS is_placeholder FROM c""")
 def _(spark, sf):
     """N31, L06, L07."""
-    done = table(spark, sf, "orders").where(F.col("o_orderstatus") == "F").select(customer_code("o_custkey").alias("code")).distinct()
+    done = table(spark, sf, "orders").select(customer_code("o_custkey").alias("code")).distinct()
     return reg.code_sequence(done, "code")
 
 

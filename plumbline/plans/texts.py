@@ -267,12 +267,12 @@ def _(spark, sf):
     return job_pages(spark, sf)
 
 
-@query("k10_sections", f"""WITH {_PAGE_SQL}, o AS (SELECT o_custkey, string_agg(DISTINCT '- ' || o_orderpriority, chr(10) ORDER BY '- ' || o_orderpriority) AS items FROM orders WHERE o_orderstatus = 'F' GROUP BY 1),
+@query("k10_sections", f"""WITH {_PAGE_SQL}, o AS (SELECT o_custkey, string_agg(DISTINCT '- ' || o_orderpriority, chr(10) ORDER BY '- ' || o_orderpriority) AS items FROM orders GROUP BY 1),
 b AS (SELECT 'J' || o_custkey AS job_code, chr(10) || '## Structure Registry' || chr(10) || chr(10) || '### BOM Structures' || chr(10) || items || chr(10) AS block FROM o)
 SELECT p.job_code, content || CASE WHEN block IS NULL THEN '' ELSE chr(10) || block END AS content, CASE WHEN block IS NULL THEN 'unchanged' ELSE 'updated' END AS state FROM p LEFT JOIN b ON p.job_code = b.job_code""")
 def _(spark, sf):
-    """The order priorities of finished orders as a section of the customer's page."""
-    done = table(spark, sf, "orders").where(F.col("o_orderstatus") == "F").groupBy(F.concat(F.lit("J"), F.col("o_custkey")).alias("job_code")).agg(F.array_sort(F.collect_set("o_orderpriority")).alias("p"))
+    """The priorities of its orders as a section of the customer's page."""
+    done = table(spark, sf, "orders").groupBy(F.concat(F.lit("J"), F.col("o_custkey")).alias("job_code")).agg(F.array_sort(F.collect_set("o_orderpriority")).alias("p"))
     sections = done.select("job_code", pages.bullet_section("BOM Structures", F.col("p")).alias("section"))
     return pages.append_section(job_pages(spark, sf), sections, "job_code", "Structure Registry")
 
