@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -25,6 +27,16 @@ def system_quantities(lines: DataFrame, keys: list[str], system: str, qty: Colum
     )
 
 
+def stack_feeds(feeds: list[DataFrame], row_no: str) -> DataFrame:
+    """Feeds one under another; ``row_no`` orders the rows of an earlier feed before those of a later one.
+
+    With ``system_quantities`` on top, a second feed adds to the first one's sums, and the first one's
+    metadata stays.
+    """
+    numbered = [f.withColumn(row_no, F.struct(F.lit(i).alias("feed"), F.col(row_no).alias("row"))) for i, f in enumerate(feeds)]
+    return reduce(lambda a, b: a.unionByName(b), numbered)
+
+
 def dedup_systems(quantities: DataFrame, keys: list[str], system: str) -> DataFrame:
     """The same piece kept in several systems counts once - the largest system count stands."""
     return quantities.groupBy(*keys).agg(
@@ -107,7 +119,7 @@ def reconcile_by_year(dispatch: DataFrame, erp: DataFrame, years: tuple[int, int
 
 
 def reconcile_by_job(dispatch: DataFrame, erp: DataFrame, years: tuple[int, int], job: str = "job_code", year: str = "year") -> DataFrame:
-    """Pieces of both systems by job and where the job is present."""
+    """Pieces of both systems by job and where the job is present, rows without a job last."""
     span = F.col(year).between(*years)
     counted = _sides(dispatch.where(span).select(job), erp.where(span).select(job), [job])
     where = (
@@ -117,7 +129,7 @@ def reconcile_by_job(dispatch: DataFrame, erp: DataFrame, years: tuple[int, int]
     return counted.select(
         job, F.col("d").alias("dispatch_pieces"), F.col("e").alias("erp_pieces"),
         (F.col("d") - F.col("e")).alias("diff"), where.alias("present_in"),
-    )
+    ).orderBy(F.asc_nulls_last(job))
 
 
 def unshipped(released: DataFrame, shipped: DataFrame, job: str, structure: str, year: str, document: str, row_no: str,

@@ -10,9 +10,12 @@ from pyspark.sql import functions as F
 from plumbline.functions import constants as K
 from plumbline.functions.classify import document_depth
 from plumbline.functions.clean import blank_to_null, is_blank, is_county
+from plumbline.session import reliable_checkpoint
 
 from .ledger import only_in
+from .resolve import settle
 from .scale import first_per_key, join_spreading_nulls, share
+from .snapshots import upsert
 
 
 # ---------------------------------------------------------------- class counts
@@ -174,6 +177,19 @@ def corrections_log(confirmed: DataFrame, winners: DataFrame) -> DataFrame:
     return confirmed.join(old, ["entity_key", "field"], "left").withColumnRenamed("chosen_value", "new_value")
 
 
+def apply_corrections(review: DataFrame, value: str, resolutions: DataFrame, winners: DataFrame, stamp: Column, top_source: dict[str, str]) -> dict[str, DataFrame]:
+    """A filled-in review list taken over in one step.
+
+    Confirmations are upserted into ``resolutions`` (entity_key, field, chosen_value, stamp) and kept, the
+    log holds each new value with the one it replaces, and ``settled`` are the values that registry,
+    ledger and reports are built from again.
+    """
+    given = confirmations(review, value)
+    kept = reliable_checkpoint(upsert(resolutions, given.withColumn("stamp", stamp), ["entity_key", "field"], "chosen_value", "stamp"))
+    return {"resolutions": kept, "log": corrections_log(given, settle(winners, resolutions, top_source).drop("winner").withColumnRenamed("value", "winner")),
+            "settled": settle(winners, kept, top_source)}
+
+
 def auto_filled_types(pieces: DataFrame, part_type: str, cls: str = "structure_class") -> DataFrame:
     """Pieces without a written type whose class the number still tells."""
     return pieces.where(is_blank(part_type) & (F.col(cls) != "unknown"))

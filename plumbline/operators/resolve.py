@@ -173,6 +173,11 @@ def settle(winners: DataFrame, confirmed: DataFrame, top_source: dict[str, str])
     return joined.withColumns({"status": status, "value": F.coalesce("chosen_value", "winner")}).drop("chosen_value")
 
 
+def known_systems(rows: DataFrame, label: str, out: str = "system", labels: dict[str, str] | None = None) -> DataFrame:
+    """rows with the id of their accounting system; rows of other systems are dropped."""
+    return rows.withColumn(out, lookup(labels or K.SYSTEM_LABELS, F.col(label))).where(F.col(out).isNotNull())
+
+
 def entity_sources(observations: DataFrame) -> DataFrame:
     """The distinct sources that say anything about an entity."""
     return observations.groupBy("entity_key").agg(joined_set("source").alias("sources"))

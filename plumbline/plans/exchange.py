@@ -148,8 +148,20 @@ def _(spark, sf):
 @query("f02_known_systems", "SELECT CASE l_returnflag WHEN 'A' THEN 'erp_qb' WHEN 'R' THEN 'erp_fb' END AS system, count(*) AS rows FROM lineitem WHERE l_returnflag <> 'N' GROUP BY 1")
 def _(spark, sf):
     """rows of systems without a label are dropped."""
-    labels = {"A": "erp_qb", "R": "erp_fb"}
-    return table(spark, sf, "lineitem").withColumn("system", lookup(labels, F.col("l_returnflag"))).where(F.col("system").isNotNull()).groupBy("system").agg(F.count("*").alias("rows"))
+    label = F.when(F.col("l_returnflag") == "A", "QuickBooks").when(F.col("l_returnflag") == "R", "Fishbowl").otherwise("Ledger")
+    rows = table(spark, sf, "lineitem").select(label.alias("label"))
+    return resolve.known_systems(rows, "label").groupBy("system").agg(F.count("*").alias("rows"))
+
+
+@query("s15_lookup_table", "SELECT s_suppkey, n_name AS nation, CASE WHEN s_nationkey % 2 = 0 THEN n_name ELSE '?' END AS even_nation FROM supplier JOIN nation ON s_nationkey = n_nationkey")
+def _(spark, sf):
+    """Lookup tables written as CSV and loaded once; a missing key finds nothing."""
+    path, nations = scratch(spark, "s15"), table(spark, sf, "nation").select(F.col("n_nationkey").alias("key"), F.concat(F.lit(" "), "n_name").alias("name"))
+    tables.write_csv(nations, f"{path}/all", ["key", "name"])
+    tables.write_csv(nations.where("key % 2 = 0"), f"{path}/even", ["key", "name"])
+    every, even = (tabular.read_lookup(spark, f"{path}/{p}", "key", "name") for p in ("all", "even"))
+    key = F.col("s_nationkey").cast("string")
+    return table(spark, sf, "supplier").select("s_suppkey", lookup(every, key).alias("nation"), F.coalesce(lookup(even, key), F.lit("?")).alias("even_nation"))
 
 
 # ---------------------------------------------------------------- locations of two sources

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from plumbline.functions import constants as K
 from plumbline.functions.clean import barrel_diameter, code_to_int, lookup, quantity
 from plumbline.operators import ledger, report
 from plumbline.operators import registry as reg
 from plumbline.operators.scale import dense_index
+from plumbline.session import reliable_checkpoint
 
 from .base import CODE_SQL, FLAG_SYSTEM, case, customer_code, query, table
 
@@ -241,7 +244,7 @@ def _(spark, sf):
     """Lines flagged A stand for totals and tax, which do not count."""
     lines = table(spark, sf, "lineitem").withColumn("at", F.struct("l_linenumber", "l_partkey", "l_extendedprice"))
     item = F.when(F.col("l_returnflag") == "A", F.lit("Subtotal")).otherwise(F.col("l_returnflag"))
-    rolled = reg.order_rollup(lines, "l_orderkey", "at", {"date": F.date_format("l_shipdate", "yyyy-MM-dd")}, F.col("l_linestatus") == "F", item, F.col("l_extendedprice"), ["subtotal", "avatax"])
+    rolled = reg.order_rollup(lines, "l_orderkey", "at", {"date": F.date_format("l_shipdate", "yyyy-MM-dd")}, F.col("l_linestatus") == "F", item, F.col("l_extendedprice"), K.VALUE_SKIP_ITEMS)
     return rolled.withColumn("job_value", F.col("job_value").cast("double"))
 
 
@@ -330,3 +333,26 @@ def _(spark, sf):
 def _(spark, sf):
     named = table(spark, sf, "customer").join(table(spark, sf, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
     return named.join(table(spark, sf, "region"), F.col("n_regionkey") == F.col("r_regionkey")).select("n_name", "r_name").distinct()
+
+
+@query("j25_second_feed", """WITH f AS (SELECT *, CASE l_linestatus WHEN 'F' THEN 0 ELSE 1 END AS feed FROM lineitem)
+SELECT l_partkey, l_returnflag AS system, CAST(sum(l_quantity) AS DOUBLE) AS qty, arg_min(l_suppkey, (feed, l_orderkey, l_linenumber, l_suppkey, l_extendedprice)) AS l_suppkey FROM f GROUP BY 1, 2 HAVING count(CASE WHEN l_quantity <> 0 THEN 1 END) > 0""")
+def _(spark, sf):
+    """Open lines are a second feed; its quantities add up, the first feed's supplier stays."""
+    lines = table(spark, sf, "lineitem").select("l_partkey", "l_returnflag", "l_quantity", "l_suppkey", "l_linestatus", F.struct("l_orderkey", "l_linenumber", "l_suppkey", "l_extendedprice").alias("row_no"))
+    feeds = ledger.stack_feeds([lines.where(F.col("l_linestatus") == "F"), lines.where(F.col("l_linestatus") != "F")], "row_no")
+    merged = ledger.system_quantities(feeds, ["l_partkey"], "l_returnflag", F.col("l_quantity"), ["l_suppkey"], "row_no")
+    return merged.select("l_partkey", F.col("l_returnflag").alias("system"), F.col("qty").cast("double").alias("qty"), "meta.l_suppkey")
+
+
+@query("l02_null_last", """WITH o AS (SELECT CASE WHEN o_custkey % 10 <> 0 THEN o_custkey END AS job, o_orderstatus AS s FROM orders WHERE year(o_orderdate) BETWEEN 1990 AND 2030 AND o_orderstatus IN ('F', 'O')),
+g AS (SELECT job, count(CASE s WHEN 'O' THEN 1 END) AS dispatch_pieces, count(CASE s WHEN 'F' THEN 1 END) AS erp_pieces FROM o GROUP BY 1)
+SELECT job, dispatch_pieces, erp_pieces, row_number() OVER (ORDER BY job NULLS LAST) AS place FROM g""")
+def _(spark, sf):
+    """The place of each row in the sorted report, counted within and across its sorted files."""
+    orders = table(spark, sf, "orders").select(F.when(F.col("o_custkey") % 10 != 0, F.col("o_custkey")).alias("job"), F.year("o_orderdate").alias("year"), "o_orderstatus")
+    report_ = ledger.reconcile_by_job(orders.where(F.col("o_orderstatus") == "O"), orders.where(F.col("o_orderstatus") == "F"), (1990, 2030), "job")
+    numbered = reliable_checkpoint(report_.withColumn("part", F.spark_partition_id()).withColumn("i", F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)) + 1))
+    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = numbered.groupBy("part").agg(F.count("*").alias("n")).select("part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("shift"))
+    return numbered.join(sizes, "part").select("job", F.col("dispatch_pieces").cast("bigint"), F.col("erp_pieces").cast("bigint"), (F.col("i") + F.col("shift")).alias("place"))

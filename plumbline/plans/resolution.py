@@ -205,6 +205,22 @@ def _(spark, sf):
     return report.corrections_log(report.confirmations(filled, "Confirmed Value"), winners(spark, sf))
 
 
+CORRECTED_SQL = """confirmed AS (
+  SELECT CAST(o_orderkey AS VARCHAR) AS entity_key, f.field, CASE WHEN f.field = 'state' AND o_orderkey % 2 = 0 THEN 'F' ELSE f.chosen_value END AS chosen_value
+  FROM orders, (VALUES ('state', 'O'), ('city', 'NATION_0')) f(field, chosen_value) WHERE o_orderpriority = '1-URGENT'
+  UNION ALL SELECT CAST(o_orderkey AS VARCHAR), 'state', 'F' FROM orders WHERE o_orderpriority = '2-HIGH' AND o_orderkey % 2 = 0)"""
+
+
+@query("v04_apply_corrections", f"WITH {SETTLED_SQL.replace(CONFIRMED_SQL, CORRECTED_SQL)} SELECT entity_key, field, value, status FROM settled")
+def _(spark, sf):
+    """A second review list over the first one's confirmations: some replaced, some new, blanks left."""
+    orders = table(spark, sf, "orders").where(F.col("o_orderpriority").isin("1-URGENT", "2-HIGH"))
+    typed = F.when(F.col("o_orderkey") % 2 == 0, F.lit(" F ")).otherwise(F.lit(" "))
+    review = orders.select(F.col("o_orderkey").cast("string").alias("entity_key"), F.lit("state").alias("field"), typed.alias("Confirmed Value"))
+    earlier = confirmed_values(spark, sf).withColumn("stamp", F.lit(1))
+    return report.apply_corrections(review, "Confirmed Value", earlier, winners(spark, sf), F.lit(2), TOP_SOURCE)["settled"].select("entity_key", "field", "value", "status")
+
+
 @query("v08_review_index", f"""WITH {VOTE_SQL}
 SELECT 'state' AS list, count(*) AS rows FROM winners WHERE field = 'state' AND status = 'CONFLICT'
 UNION ALL SELECT 'city', count(*) FROM winners WHERE field = 'city' AND status = 'CONFLICT'

@@ -65,6 +65,21 @@ def coalesce_headers(df: DataFrame, aliases: dict[str, list[str]]) -> DataFrame:
     return df.select(*picked, *kept)
 
 
+#: Rows a lookup table may have: it becomes a literal of every plan that uses it.
+LOOKUP_ROWS = 10_000
+
+
+def read_lookup(spark: SparkSession, path: str, key: str, value: str) -> dict[str, str]:
+    """A small table of document types, overrides or states, loaded once, blank keys left out.
+
+    The last row of a key wins. A table of more than ``LOOKUP_ROWS`` rows is none to load but to join.
+    """
+    rows = read_csv(spark, path).where(F.trim(key) != "").orderBy("source_file", "row_no").select(F.trim(key).alias("k"), F.trim(value).alias("v")).take(LOOKUP_ROWS + 1)
+    if len(rows) > LOOKUP_ROWS:
+        raise ValueError(f"{path} has more than {LOOKUP_ROWS} rows: join it instead")
+    return {r["k"]: r["v"] for r in rows}
+
+
 def read_gazetteer(spark: SparkSession, path: str, states: list[str]) -> DataFrame:
     """Tab-separated postal file; rows without coordinates or outside the states are dropped."""
     schema = ", ".join(f"c{i} string" for i in range(12))
