@@ -67,6 +67,35 @@ def _(spark, sf):
     return decoded.drop("pn_box_length", "pn_box_suffix")
 
 
+# Boxes, tops, collars, barrels and rehab parts: the number and what each part of it says, in the dialect both engines share.
+_H = "CAST(p_size + 100 AS VARCHAR)"
+MORE_FAMILIES = [
+    dict(num=f"'BOXF7296' || {_H} || 'FF'", pt="BOXF", dia="72", len="96", ht=_H, sfx="FF"), dict(num="'BOXS9648'", pt="BOXS", dia="96", len="48"),
+    dict(num=f"'BOX4848' || {_H}", pt="BOX", dia="48", len="48", ht=_H), dict(num="'BOXL9648HATCH'", pt="BOXL", dia="96", len="48", sfx="HATCH"),
+    dict(num=f"'BOXT4848' || {_H}", pt="BOXT", dia="48", len="48", ht=_H, name=f"'BOX4848' || {_H}"), dict(num="'RMHL4830HATCH'", pt="RMHL", dia="48", od="30", lid="HATCH"),
+    dict(num="'RMHC6024'", pt="RMHC", dia="60", ht="'24'"), dict(num="'RMHLC6024'", pt="RMHLC", dia="60", od="24"), dict(num="'MHLC6030CAST'", pt="MHLC", dia="60", od="30", lid="CAST"),
+    dict(num="'MHTL7230'", pt="MHTL", dia="72", od="30"), dict(num="'MHTLC7230-3'", pt="MHTLC", dia="72", od="30"),
+    dict(num="'MHT144-' || CAST(p_size AS VARCHAR) || '.5'", pt="MHT", dia="144", ht="CAST(p_size AS VARCHAR) || '.5'"),
+    dict(num="'MHGRB36'", pt="MHGRB", dia="36"), dict(num="'MT60'", pt="MT", dia="60"),
+]
+
+
+def _family(value) -> str:
+    return f"CASE p_partkey % {len(MORE_FAMILIES)} " + " ".join(f"WHEN {i} THEN {value(f)}" for i, f in enumerate(MORE_FAMILIES)) + " END"
+
+
+_MORE = {"pt": "pn_part_type", "dia": "pn_diameter", "len": "pn_box_length", "od": "pn_opening_diameter", "lid": "pn_lid_suffix", "sfx": "pn_box_suffix"}
+
+
+@query("c13_box_decode", "SELECT p_partkey, " + _family(lambda f: f["num"]) + " AS part_number, " + ", ".join(
+    _family(lambda f, k=k: "'" + f.get(k, "") + "'") + f" AS {c}" for k, c in _MORE.items()) + ", " + _family(lambda f: f.get("ht", "''")) + " AS pn_height, "
+    + _family(lambda f: f.get("name", f["num"])) + " AS gen4_name FROM part")
+def _(spark, sf):
+    """Box lengths and suffixes, and the part types the other families leave out."""
+    numbers = table(spark, sf, "part").select("p_partkey", F.expr(_family(lambda f: f["num"]).replace("VARCHAR", "STRING")).alias("part_number"))
+    return partname.decode_parts(numbers, "part_number").select("p_partkey", "part_number", *_MORE.values(), "pn_height", "gen4_name")
+
+
 @query("c04_structure_class", f"WITH {PARTS_SQL} SELECT p_partkey, coalesce(cls, 'unknown') AS structure_class FROM x")
 def _(spark, sf):
     """The number decides; the word given with it carries no class."""

@@ -50,5 +50,11 @@ def append_section(pages: DataFrame, sections: DataFrame, key: str, heading: str
 
 
 def write_pages(pages: DataFrame, path: str) -> None:
-    """One folder per page name."""
-    pages.select("file_name", F.col("content").alias("value")).write.mode("overwrite").partitionBy("file_name").text(path)
+    """All pages as rows of (file_name, content); the number of files follows the data, not the pages."""
+    pages.select("file_name", "content").write.mode("overwrite").parquet(path)
+
+
+def write_page_files(pages: DataFrame, path: str, file_names: list[str]) -> None:
+    """A chosen set of pages as text, each in a folder of its name."""
+    chosen = pages.where(F.col("file_name").isin(file_names))
+    chosen.select("file_name", F.col("content").alias("value")).write.mode("overwrite").partitionBy("file_name").text(path)

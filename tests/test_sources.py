@@ -106,8 +106,11 @@ def test_pages_round_trip(spark, tmp_path):
     states = {r.k: (r.state, r.content) for r in out.collect()}
     assert {k: v[0] for k, v in states.items()} == {"A": "updated", "B": "skipped", "C": "created", "D": "unchanged"}
     assert states["A"][1] == "text\n\n## Parts\n\n- 1" and states["B"][1] == "x\n## Parts\n" and states["C"][1].startswith("---\njob_code: C\n---")
-    pages.write_pages(out.withColumn("file_name", F.concat("k", F.lit(".md"))), str(tmp_path / "out"))
-    assert spark.read.text(str(tmp_path / "out")).select("file_name").distinct().count() == 4
+    named = out.withColumn("file_name", F.concat("k", F.lit(".md")))
+    pages.write_pages(named, str(tmp_path / "out"))
+    assert spark.read.parquet(str(tmp_path / "out")).select("file_name").distinct().count() == 4
+    pages.write_page_files(named, str(tmp_path / "some"), ["A.md", "D.md"])
+    assert {r.file_name for r in spark.read.text(str(tmp_path / "some")).select("file_name").distinct().collect()} == {"A.md", "D.md"}
 
 
 def test_upsert_versions_and_snapshots(spark, tmp_path):
