@@ -98,7 +98,8 @@ def fit(docs: DataFrame, labels: DataFrame, buckets: int = BUCKETS, prior: float
     ``quality`` in ``labels`` is 1, at most ``trusted_rows`` of them.
     """
     good = labels.where(F.col("quality") == 1).where(F.col("doc_id").isNotNull()).select("doc_id").distinct()
-    trusted = good.orderBy(F.xxhash64("doc_id"), "doc_id").limit(trusted_rows).withColumn("trusted", F.lit(1))
+    # Written first: a limit right below a broadcast would gather every partition's rows on the driver.
+    trusted = reliable_checkpoint(good.orderBy(F.xxhash64("doc_id"), "doc_id").limit(trusted_rows)).withColumn("trusted", F.lit(1))
     grams = docs.select("doc_id", gram_buckets(text_of(), buckets).alias("grams")).join(F.broadcast(trusted), "doc_id", "left")
     each = grams.select(F.coalesce("trusted", F.lit(0)).cast("bigint").alias("trusted"), F.explode("grams").alias("bucket"))
     counts = reliable_checkpoint(each.groupBy("bucket").agg(F.count("*").alias("corpus"), F.sum("trusted").alias("target")))

@@ -106,7 +106,8 @@ def training_rows(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) ->
     """(doc_id, text, label) of at most ``rows`` labelled documents outside the held-out third."""
     known = labels.where(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull() & ~held_out())
     one = known.groupBy("doc_id").agg(F.max("toxic").cast("double").alias("label"))
-    sample = one.orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
+    # Written first: a limit right below a broadcast would gather every partition's rows on the driver.
+    sample = reliable_checkpoint(one.orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows))
     return docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id")
 
 
