@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from plumbline.operators.snapshots import in_target_order, upsert
 from plumbline.sources.tabular import CSV_FORMAT, exists
 
 
+#: Parts of a keyed table that are written again one by one.
+BUCKETS = 64
+
+
 def write_csv(df: DataFrame, path: str, columns: list[str], mode: str = "overwrite", partition_by: list[str] | None = None) -> None:
     """Header CSV with a fixed column order."""
     writer = df.select(*columns).write.mode(mode).options(**CSV_FORMAT)
@@ -48,25 +53,40 @@ def _versions(spark: SparkSession, path: str) -> list[int]:
     return sorted(int(s.getPath().getParent().getName().split("=")[1]) for s in found)
 
 
-def read_latest(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """The newest complete version of a versioned table, empty when there is none."""
-    versions = _versions(spark, path)
-    if not versions:
+def _newest(spark: SparkSession, path: str) -> dict[int, int]:
+    """The newest complete version of every key bucket."""
+    complete = set(_versions(spark, path))
+    if not complete:
+        return {}
+    p = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/version=*/bucket=*")
+    found = [str(s.getPath()).split("/")[-2:] for s in p.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(p) or []]
+    pairs = [(int(bucket.split("=")[1]), int(version.split("=")[1])) for version, bucket in found]
+    return {bucket: version for bucket, version in sorted(pairs) if version in complete}
+
+
+def read_latest(spark: SparkSession, path: str, schema: str, buckets: list[int] | None = None) -> DataFrame:
+    """The newest rows of a versioned table, empty when there are none; of the given key buckets only."""
+    folders = [f"{path}/version={v}/bucket={b}" for b, v in _newest(spark, path).items() if buckets is None or b in buckets]
+    if not folders:
         return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).parquet(f"{path}/version={versions[-1]}")
+    return spark.read.schema(schema).parquet(*folders)
 
 
-def write_next(df: DataFrame, path: str) -> int:
-    """Write a whole new version; readers keep the old one until this one is complete."""
+def write_next(df: DataFrame, path: str, bucket: Column) -> int:
+    """Write the buckets that a batch touches as a new version; readers keep the old ones until it is complete."""
     versions = _versions(df.sparkSession, path)
     number = (versions[-1] + 1) if versions else 1
-    df.write.mode("overwrite").parquet(f"{path}/version={number}")
+    df.withColumn("bucket", bucket).write.mode("overwrite").partitionBy("bucket").parquet(f"{path}/version={number}")
     return number
 
 
-def upsert_table(spark: SparkSession, path: str, schema: str, incoming: DataFrame, keys: list[str], value: str, stamp: str) -> int:
-    """Latest row per key on plain files - old version plus incoming rows become the next version."""
-    return write_next(upsert(read_latest(spark, path, schema), incoming, keys, value, stamp), path)
+def upsert_table(spark: SparkSession, path: str, schema: str, incoming: DataFrame, keys: list[str], value: str, stamp: str, buckets: int = BUCKETS) -> int:
+    """Latest row per key on plain files; only the key buckets that a batch touches are written again."""
+    fields = StructType.fromDDL(schema).fields
+    rows = incoming.select(*[F.col(f.name).cast(f.dataType) for f in fields])
+    bucket = F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
+    touched = [r["bucket"] for r in rows.select(bucket.alias("bucket")).distinct().collect()]  # at most ``buckets``
+    return write_next(upsert(read_latest(spark, path, schema, touched), rows, keys, value, stamp), path, bucket)
 
 
 def write_snapshot(df: DataFrame, path: str, label: str, value: str) -> None:

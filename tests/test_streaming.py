@@ -2,7 +2,7 @@
 
 import datetime as dt
 
-from plumbline.sinks.tables import read_latest
+from plumbline.sinks.tables import read_latest, upsert_table
 from plumbline.streaming import ingest
 
 SCHEMA = "id bigint, ts timestamp, v string"
@@ -43,6 +43,19 @@ def test_upsert_keeps_the_latest(spark, tmp_path):
     assert {(r.id, r.v) for r in read_latest(spark, out, SCHEMA).collect()} == {(1, "new"), (2, "x")}
 
 
+def test_the_order_of_batches_changes_nothing(spark, tmp_path):
+    rows = [(i % 5, _at(1 + (i * 7) % 20), f"v{i}") for i in range(20)] + [(9, _at(3), "only"), (9, _at(4), " ")]
+    tables = []
+    for name, batches in (("one", [rows]), ("turned", [rows[::-1]]), ("many", [rows[i : i + 3] for i in range(0, len(rows), 3)]), ("late", [rows[12:], rows[:12]])):
+        for batch in batches:
+            upsert_table(spark, str(tmp_path / name), SCHEMA, spark.createDataFrame(batch, SCHEMA), ["id"], "v", "ts", buckets=4)
+        tables.append(sorted(map(tuple, read_latest(spark, str(tmp_path / name), SCHEMA).collect())))
+    assert len(tables[0]) == 6 and tables.count(tables[0]) == len(tables)
+    # A batch of one key writes one bucket again.
+    number = upsert_table(spark, str(tmp_path / "one"), SCHEMA, spark.createDataFrame([(9, _at(25), "x")], SCHEMA), ["id"], "v", "ts", buckets=4)
+    assert len(list((tmp_path / "one" / f"version={number}").glob("bucket=*"))) == 1
+
+
 def test_anomalies_go_to_their_own_table(spark, tmp_path):
     src, schema = str(tmp_path / "in"), "n bigint, city string, state string"
     spark.createDataFrame([(1, "Reno", "NV"), (2, "reno ", "UT"), (3, "Atlantis", "ZZ"), (4, None, "NV")], schema).write.parquet(f"{src}/b1")
