@@ -11,37 +11,41 @@ BLOCK = 65_536
 
 
 def in_blocks(df: DataFrame, keys: list[str], order: str, *, fills: dict[str, Column] | None = None,
-              sums: dict[str, Column] | None = None, width: int = BLOCK) -> DataFrame:
+              sums: dict[str, Column] | None = None, mins: dict[str, Column] | None = None, width: int = BLOCK) -> DataFrame:
     """Running values along ``order`` within ``keys``, worked out block by block.
 
-    ``fills`` carries the last non-null value forward, ``sums`` adds up so far (both up to and with
-    the current row). A window over a whole key would sort that key in one task; here a key is cut
+    ``fills`` carries the last non-null value forward, ``sums`` adds up so far, ``mins`` keeps the least
+    value so far (all up to and with the current row). A window over a whole key would sort that key in one task; here a key is cut
     into blocks of ``width`` order values, every block is a window of its own, and only one summary
     row per block crosses blocks. ``order`` is a whole number unique within a key.
     """
-    fills, sums = fills or {}, sums or {}
+    fills, sums, mins = fills or {}, sums or {}, mins or {}
     cut = df.withColumn("_block", F.floor(F.col(order) / width))
-    cut = cut.withColumns({**{f"_v_{n}": c for n, c in fills.items()}, **{f"_v_{n}": c for n, c in sums.items()}})
+    cut = cut.withColumns({**{f"_v_{n}": c for n, c in fills.items()}, **{f"_v_{n}": c for n, c in sums.items()}, **{f"_v_{n}": c for n, c in mins.items()}})
     inside = Window.partitionBy(*keys, "_block").orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
     local = cut.withColumns({
         **{n: F.last(f"_v_{n}", ignorenulls=True).over(inside) for n in fills},
         **{n: F.sum(f"_v_{n}").over(inside) for n in sums},
+        **{n: F.min(f"_v_{n}").over(inside) for n in mins},
     })
     per_block = cut.groupBy(*keys, "_block").agg(
         *[F.max_by(f"_v_{n}", F.when(F.col(f"_v_{n}").isNotNull(), F.col(order))).alias(f"_b_{n}") for n in fills],
         *[F.sum(f"_v_{n}").alias(f"_b_{n}") for n in sums],
+        *[F.min(f"_v_{n}").alias(f"_b_{n}") for n in mins],
     )
     before = Window.partitionBy(*keys).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
     carried = per_block.select(
         *keys, "_block",
         *[F.last(f"_b_{n}", ignorenulls=True).over(before).alias(f"_c_{n}") for n in fills],
         *[F.sum(f"_b_{n}").over(before).alias(f"_c_{n}") for n in sums],
+        *[F.min(f"_b_{n}").over(before).alias(f"_c_{n}") for n in mins],
     )
     joined = local.join(carried, [*keys, "_block"], "left").withColumns({
         **{n: F.coalesce(F.col(n), F.col(f"_c_{n}")) for n in fills},
         **{n: F.coalesce(F.col(n), F.lit(0)) + F.coalesce(F.col(f"_c_{n}"), F.lit(0)) for n in sums},
+        **{n: F.least(n, f"_c_{n}") for n in mins},
     })
-    names = [*fills, *sums]
+    names = [*fills, *sums, *mins]
     return joined.drop("_block", *[f"_v_{n}" for n in names], *[f"_c_{n}" for n in names])
 
 

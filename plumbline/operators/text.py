@@ -61,13 +61,13 @@ def line_items(lines: DataFrame, keys: list[str] | None = None, start_in_items:
     keys = keys or ["doc_id"]
     line = F.col("line")
     marked = lines.withColumn("line", F.trim("line")).withColumn("own_category", _category(line))
-    if not start_in_items:
-        marked = in_blocks(marked, keys, "line_no", sums={"started": F.when(F.col("own_category").isNotNull(), 1).otherwise(0)})
-        marked = marked.where(F.col("started") > 0).drop("started")
     stop = line.contains("Total Precast Weight") | line.contains("Opening Schedule")
-    marked = in_blocks(marked, keys, "line_no", fills={"raw_category": F.col("own_category")},
-                       sums={"stopped": F.when(stop, 1).otherwise(0)})
-    rows = marked.where(F.col("stopped") == 0)
+    # One pass: items are over when the last stop so far is not ahead of the first start.
+    marked = in_blocks(marked, keys, "line_no", fills={"raw_category": F.col("own_category"), "last_stop": F.when(stop, F.col("line_no"))},
+                       mins={} if start_in_items else {"first_start": F.when(F.col("own_category").isNotNull(), F.col("line_no"))})
+    running = F.lit(True) if start_in_items else F.col("first_start").isNotNull()
+    ahead = F.lit(False) if start_in_items else F.col("last_stop") < F.col("first_start")
+    rows = marked.where(running & (F.col("last_stop").isNull() | ahead))
     rows = rows.withColumn("body", F.when(F.col("own_category").isNotNull(), _without_category(line)).otherwise(line))
     rows = rows.where(F.col("body").rlike(r"^\d+\s+.+$"))
     rows = rows.withColumns({
@@ -271,11 +271,11 @@ def quote_header(lines: DataFrame, doc_id: str = "doc_id") -> DataFrame:
 def opening_schedule(lines: DataFrame, doc_id: str = "doc_id") -> DataFrame:
     """Rows between the schedule's title and the line-item header."""
     t = F.trim("line")
-    rows = in_blocks(lines, [doc_id], "line_no", sums={"opened": F.when(t.contains("Opening Schedule"), 1).otherwise(0)})
-    rows = rows.where((F.col("opened") > 0) & ~t.contains("Opening Schedule"))
-    rows = in_blocks(rows.drop("opened"), [doc_id], "line_no", sums={"closed": F.when(t.rlike(r"^Quantity\s+Part Number"), 1).otherwise(0)})
+    title, at = t.contains("Opening Schedule"), F.col("line_no")
+    header = t.rlike(r"^Quantity\s+Part Number") & ~title
+    rows = in_blocks(lines, [doc_id], "line_no", mins={"opened": F.when(title, at)}, fills={"closed": F.when(header, at)})
     shape = r"^(\d+)\s+(.+?)\s{2,}(.+?)\s{2,}(\S.*?)$"
-    rows = rows.where((F.col("closed") == 0) & t.rlike(shape))
+    rows = rows.where(F.col("opened").isNotNull() & ~title & (F.col("closed").isNull() | (F.col("closed") < F.col("opened"))) & t.rlike(shape))
     part = lambda i: F.trim(F.regexp_extract(t, shape, i))
     return rows.select(doc_id, "line_no", part(1).alias("quantity"), part(2).alias("pipe_size"), part(3).alias("connector"), part(4).alias("hole_size"))
 
