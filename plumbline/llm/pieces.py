@@ -28,11 +28,9 @@ MARK = "▁"
 BEST = 4
 UNKNOWN_PENALTY = 10.0
 #: Segments a worker's cache may hold, and the longest that goes into it.
-CACHE_SEGMENTS = 700_000
+CACHE_SEGMENTS = 1_100_000
 CACHE_CHARS = 64
 
-ABSENT = object()
-
 _OPEN: dict[str, Pieces] = {}
 
 
@@ -63,8 +61,7 @@ class Pieces:
         """``vocabulary``: (piece, score, kind) in id order; kinds are normal, unknown, control, byte, unused."""
         rows = self._of_file(path) if vocabulary is None else vocabulary
         self.scores = {p: (s, i) for i, (p, s, kind) in enumerate(rows) if kind == "normal"}
-        # Every beginning of a piece, with the score of those that are pieces themselves.
-        self.grown = {p[:n]: None for p in self.scores for n in range(1, len(p))} | {p: x[0] for p, x in self.scores.items()}
+        self.tree = self._tree()
         self.byte_ids = {int(p[3:5], 16): i for i, (p, _, kind) in enumerate(rows) if kind == "byte"}
         self.unknown_id = next((i for i, r in enumerate(rows) if r[2] == "unknown"), 0)
         self.unknown = min((s for s, _ in self.scores.values()), default=0.0) - UNKNOWN_PENALTY
@@ -103,10 +100,8 @@ class Pieces:
             at += n
             if piece in self.scores:
                 out.append(self.scores[piece][1])
-            elif self.byte_ids:
-                out.extend(self.byte_ids[b] for b in piece.encode("utf-8", "replace"))
             else:
-                out.append(self.unknown_id)
+                out.extend(self._without_piece(piece))
         return out.tobytes()
 
     def forward(self, segment: str) -> tuple[list[float], list[list[tuple[int, float]]]]:
@@ -122,18 +117,31 @@ class Pieces:
                     reach[j] = base + s
         return reach, ending
 
+    def _tree(self) -> dict[str, tuple]:
+        """Pieces by their characters: a node is (score or None, nodes by next character, id)."""
+        tree: dict = {}
+        for piece, (score, number) in self.scores.items():
+            nodes = tree
+            for c in piece[:-1]:
+                nodes = nodes.setdefault(c, [None, {}, None])[1]
+            nodes.setdefault(piece[-1], [None, {}, None])[::2] = score, number
+
+        def fixed(nodes: dict) -> dict[str, tuple]:
+            return {c: (score, fixed(after), number) for c, (score, after, number) in nodes.items()}
+
+        return fixed(tree)
+
     def _pieces_at(self, segment: str, i: int) -> list[tuple[int, float]]:
         """Ends and scores of the pieces that begin at a character; an unknown where no single one does."""
-        out, get, single = [], self.grown.get, False
-        for j in range(i + 1, len(segment) + 1):
-            s = get(segment[i:j], ABSENT)
-            if s is ABSENT:
+        out, j, node = [], i + 1, self.tree.get(segment[i])
+        if node is None or node[0] is None:
+            out.append((j, self.unknown))
+        while node is not None:
+            if node[0] is not None:
+                out.append((j, node[0]))
+            if j == len(segment):
                 break
-            if s is not None:
-                single |= j == i + 1
-                out.append((j, s))
-        if not single:
-            out.append((i + 1, self.unknown))
+            node, j = node[1].get(segment[j]), j + 1
         return out
 
     def solve(self, segment: str) -> tuple[bytes, float, float]:
@@ -142,38 +150,40 @@ class Pieces:
         The forward pass alone, with the two best scores of reaching every character; it runs once for
         every distinct segment, so its loop is written out.
         """
-        n, get, absent, unknown = len(segment), self.grown.get, ABSENT, self.unknown
-        least = float("-inf")
-        reach, second, back = [0.0] + [least] * n, [least] * (n + 1), [0] * (n + 1)
-        for i in range(n):
-            base, base_second, single = reach[i], second[i], False
-            for j in range(i + 1, n + 1):
-                s = get(segment[i:j], absent)
-                if s is absent:
-                    break
-                if s is None:
-                    continue
-                if j == i + 1:
-                    single = True
-                v, old = base + s, reach[j]
+        n, tree, unknown, least = len(segment), self.tree, self.unknown, float("-inf")
+        reach, second, back, number = [0.0] + [least] * n, [least] * (n + 1), [0] * (n + 1), [None] * (n + 1)
+        for i, c in enumerate(segment):
+            base, base_second, j, node = reach[i], second[i], i + 1, tree.get(c)
+            if node is None or node[0] is None:
+                v, old = base + unknown, reach[j]
                 if v >= old:
-                    other = base_second + s
+                    other = base_second + unknown
                     second[j] = old if old > other else other
-                    reach[j], back[j] = v, i
+                    reach[j], back[j], number[j] = v, i, None
                 elif v > second[j]:
                     second[j] = v
-            if not single:
-                v, old, j = base + unknown, reach[i + 1], i + 1
-                if v >= old:
-                    second[j] = max(old, base_second + unknown)
-                    reach[j], back[j] = v, i
-                elif v > second[j]:
-                    second[j] = v
-        lengths, at = [], n
+            while node is not None:
+                s, after, k = node
+                if s is not None:
+                    v, old = base + s, reach[j]
+                    if v >= old:
+                        other = base_second + s
+                        second[j] = old if old > other else other
+                        reach[j], back[j], number[j] = v, i, k
+                    elif v > second[j]:
+                        second[j] = v
+                if j == n:
+                    break
+                node, j = after.get(segment[j]), j + 1
+        out, at = [], n
         while at:
-            lengths.append(at - back[at])
+            k = number[at]
+            out.extend([k] if k is not None else self._without_piece(segment[back[at] : at])[::-1])
             at = back[at]
-        return self.ids(segment, lengths[::-1]), reach[n], reach[n] - second[n]
+        return array("I", out[::-1]).tobytes(), reach[n], reach[n] - second[n]
+
+    def _without_piece(self, character: str) -> list[int]:
+        return [self.byte_ids[b] for b in character.encode("utf-8", "replace")] if self.byte_ids else [self.unknown_id]
 
     def _learn(self, segment: str) -> tuple[bytes, float, float]:
         """``solve`` of a segment, kept for the next time."""
@@ -219,20 +229,20 @@ class Pieces:
             first.clear()
             self.ranked.clear()
         segments = self.segments(text)
-        solved = []
-        for segment in segments:
-            known = first.get(segment)
-            if known is None:
-                known = self._learn(segment)
-            solved.append(known)
-        ids = [s[0] for s in solved]
-        score = float(sum(s[1] for s in solved))
-        out = [(score, b"".join(ids))]
-        if best == 1 or not solved:
-            return out
-        losses = [s[2] for s in solved]
+        solved = list(map(first.get, segments))
+        if None in solved:
+            solved = [known or first.get(segment) or self._learn(segment) for segment, known in zip(segments, solved)]
+        if not solved:
+            return [(0.0, b"")]
+        parts, scores, losses = zip(*solved)
+        score = float(sum(scores))
+        if best == 1:
+            return [(score, b"".join(parts))]
+        ids = list(parts)
         # Later segments first, as ties compare the ranks from the last segment.
-        change = sorted((p for p in heapq.nsmallest(best - 1, range(len(losses)), key=losses.__getitem__) if losses[p] != float("inf")), reverse=True)
+        limit = heapq.nsmallest(best - 1, losses)[-1]
+        cheap = [p for p, loss in enumerate(losses) if loss <= limit and loss != float("inf")]
+        change = sorted(sorted(cheap, key=losses.__getitem__)[: best - 1], reverse=True)
         options = [self.alternatives(segments[p], best) for p in change]
         agenda, seen = [(0.0, (0,) * len(change))], set()
         out = []
