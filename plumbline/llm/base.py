@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 import uuid
 import zipfile
@@ -29,6 +31,7 @@ def ship(spark: SparkSession) -> None:
         return
     package = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
     folder = os.path.realpath(tempfile.mkdtemp(prefix="plumbline-code-"))
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
     archive = f"{folder}/plumbline-code-{uuid.uuid4().hex}.zip"
     with zipfile.ZipFile(archive, "w") as out:
         for top, _, names in os.walk(package):
