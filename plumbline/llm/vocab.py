@@ -12,7 +12,7 @@ import os
 import re
 from array import array
 #: Words a worker's cache may hold, and the longest word that goes into it.
-CACHE_WORDS = 800_000
+CACHE_WORDS = 1_600_000
 CACHE_CHARS = 64
 #: A space that ends one word and leads the next.
 CUT = re.compile(r"(?<=\S) (?=\S)")
