@@ -23,8 +23,6 @@ from plumbline.session import reliable_checkpoint
 BUCKETS = 1 << 14
 #: Weight of the corpus, in n-grams, that smooths the target.
 PRIOR = float(BUCKETS)
-#: Bound on the labelled rows that make up the target: those of the smallest digests.
-TRUSTED_ROWS = 20_000
 THRESHOLD = -0.2
 TOKEN = r"[\p{L}\p{M}\p{N}]+|[^\p{L}\p{M}\p{N}\s]+"
 SPACE = r"[\x20\x09-\x0D]+"
@@ -91,17 +89,20 @@ def gram_buckets(text: Column, buckets: int = BUCKETS) -> Column:
     return let(tokens, grams)
 
 
-def fit(docs: DataFrame, labels: DataFrame, buckets: int = BUCKETS, prior: float = PRIOR, trusted_rows: int = TRUSTED_ROWS) -> DataFrame:
+def fit(docs: DataFrame, labels: DataFrame, buckets: int = BUCKETS, prior: float = PRIOR) -> DataFrame:
     """(bucket, ratio): the log-likelihood ratio of every bucket seen.
 
-    Corpus counts cover all rows of ``docs`` (doc_id, text). The target are the documents whose
-    ``quality`` in ``labels`` is 1, at most ``trusted_rows`` of them.
+    Corpus counts cover all rows of ``docs`` (doc_id, text). The target are all the documents whose
+    ``quality`` in ``labels`` is 1.
     """
     good = labels.where(F.col("quality") == 1).where(F.col("doc_id").isNotNull()).select("doc_id").distinct()
-    # Written first: a limit right below a broadcast would gather every partition's rows on the driver.
-    trusted = reliable_checkpoint(good.orderBy(F.xxhash64("doc_id"), "doc_id").limit(trusted_rows)).withColumn("trusted", F.lit(1))
-    grams = docs.select("doc_id", gram_buckets(text_of(), buckets).alias("grams")).join(F.broadcast(trusted), "doc_id", "left")
-    each = grams.select(F.coalesce("trusted", F.lit(0)).cast("bigint").alias("trusted"), F.explode("grams").alias("bucket"))
+    # Texts are shuffled, not their n-grams, which take more room; the ids are the side that is hashed.
+    texts = docs.select("doc_id", text_of().alias("text"))
+    known = texts.where(F.col("doc_id").isNotNull()).join(good.withColumn("trusted", F.lit(1)).hint("shuffle_hash"), "doc_id", "left")
+    marked = known.select("text", F.coalesce("trusted", F.lit(0)).cast("bigint").alias("trusted"))
+    # Documents without an id are never trusted and need no partner.
+    marked = marked.unionByName(texts.where(F.col("doc_id").isNull()).select("text", F.lit(0).cast("bigint").alias("trusted")))
+    each = marked.select("trusted", F.explode(gram_buckets(F.col("text"), buckets)).alias("bucket"))
     counts = reliable_checkpoint(each.groupBy("bucket").agg(F.count("*").alias("corpus"), F.sum("trusted").alias("target")))
     totals = counts.agg(F.sum("corpus").alias("corpus_all"), F.sum("target").alias("target_all"))
     share = F.col("corpus") / F.lit(totals.select("corpus_all").scalar())
@@ -110,14 +111,14 @@ def fit(docs: DataFrame, labels: DataFrame, buckets: int = BUCKETS, prior: float
 
 
 def rate(docs: DataFrame, labels: DataFrame, buckets: int = BUCKETS, prior: float = PRIOR,
-         threshold: float = THRESHOLD, trusted_rows: int = TRUSTED_ROWS) -> DataFrame:
+         threshold: float = THRESHOLD) -> DataFrame:
     """All columns of ``docs`` and the struct ``quality_rules``: the base measures, base_failed, score, kept.
 
     A null or empty text has no words and fails the base rules. Without labels every score is 0. A
     text without n-grams scores 0. Equal rows are rated alike; an empty table stays empty.
     """
     spark = docs.sparkSession
-    model = fit(docs, labels, buckets, prior, trusted_rows)
+    model = fit(docs, labels, buckets, prior)
     # One row of a fixed number of values.
     every = spark.range(0, buckets, 1, 1).withColumnRenamed("id", "bucket").join(model, "bucket", "left")
     ratios = every.agg(F.transform(F.array_sort(F.collect_list(F.struct("bucket", F.coalesce("ratio", F.lit(0.0)).alias("ratio")))), lambda x: x["ratio"]).alias("ratios")).scalar()

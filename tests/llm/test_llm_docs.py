@@ -90,6 +90,13 @@ def test_scores_are_the_mean_ratio_of_hashed_grams(spark):
     assert quality.rate(docs, labels.limit(0)).where("abs(quality_rules.score) > 1e-9").count() == 0
 
 
+def test_every_trusted_document_counts_in_the_target(spark):
+    docs = spark.range(30_000).select(F.col("id").alias("doc_id"), F.concat(F.lit("w"), (F.col("id") % 7).cast("string")).alias("text"))
+    model = quality.fit(docs, docs.select("doc_id", F.lit(1).alias("quality")))
+    # All documents are trusted, so the target is the corpus.
+    assert all(abs(r.ratio) < 1e-12 for r in model.collect())
+
+
 # ---------------------------------------------------------------- 5: toxicity
 
 def test_held_out_toxicity(spark):
