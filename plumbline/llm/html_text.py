@@ -7,8 +7,8 @@ those pages, so what every page repeats counts little and what one page alone sa
 Branches far less important than their pages as a whole are removed from every page of the host,
 besides those whose role is plain from their tag or class. What is left is decoded block by block.
 
-Only paths on a hundredth of a host's pages or more can be removed, so the removed paths of one host
-number at most a hundred times the mean number of paths on a page, however large the site.
+Every path on a few pages is judged, whatever the size of its host. Verdicts are rows of (host, path) and
+are joined to the paths of each page, so what is gathered for a page is bounded by its own paths.
 """
 
 from __future__ import annotations
@@ -23,11 +23,10 @@ from pyspark.sql import functions as F
 from plumbline.llm.base import map_batches, query, table
 from plumbline.session import reliable_checkpoint
 
-#: Weight of content against presentation, least pages and share of a host's pages for a verdict,
-#: and the part of a whole page's importance below which a branch is removed.
+#: Weight of content against presentation, least pages for a verdict, and the part of a whole page's
+#: importance below which a branch is removed.
 CONTENT = 0.9
 PAGES = 8
-SHARE = 0.01
 LOW = 0.6
 
 # Tags of HTML.
@@ -150,6 +149,20 @@ class Page:
         for path, (tags, texts) in merged.items():
             yield path, "|".join(tags), "\n".join(texts)
 
+    def _kept(self) -> list[tuple[str, bool, bool, str]]:
+        """The blocks that stay by their role."""
+        return [b for b in self.blocks if not b[1] and (b[2] or not self.has_article)]
+
+    def paths(self) -> set[str]:
+        """The paths of the blocks that stay by their role, and all above them."""
+        out: set[str] = set()
+        for block in self._kept():
+            path = block[3]
+            while path and path not in out:
+                out.add(path)
+                path = path.rpartition("/")[0]
+        return out
+
     def text(self, low: frozenset[int], hashed) -> str:
         """The main text, without the branches whose path hash is in ``low``."""
         cache: dict[str, bool] = {}
@@ -159,8 +172,7 @@ class Page:
                 cache[path] = bool(path) and (hashed(path) in low or removed(path.rpartition("/")[0]))
             return cache[path]
 
-        kept = [b for b in self.blocks if not b[1] and (b[2] or not self.has_article)]
-        return "\n".join(b[0] for b in kept if not low or not removed(b[3]))
+        return "\n".join(b[0] for b in self._kept() if not low or not removed(b[3]))
 
 
 def _hash(text: str) -> int:
@@ -208,13 +220,34 @@ def style_tree(pages: DataFrame) -> DataFrame:
 
 
 def low_branches(tree: DataFrame) -> DataFrame:
-    """(host, low): the path hashes of the branches removed on each host, if any."""
+    """(host, path) of the branches removed, a row each."""
     tree = reliable_checkpoint(tree)
-    whole = tree.where("path = 0").select("host", F.col("n").alias("_pages"), F.col("importance").alias("_whole"))
-    low = tree.where("path <> 0").join(whole, "host").where(
-        (F.col("n") >= PAGES) & (F.col("n") >= SHARE * F.col("_pages")) & (F.col("importance") < LOW * F.col("_whole"))
-    )
-    return reliable_checkpoint(low.groupBy("host").agg(F.collect_set("path").alias("low")))
+    whole = tree.where("path = 0").select("host", F.col("importance").alias("_whole"))
+    judged = tree.where("path <> 0").where(F.col("n") >= PAGES).join(whole, "host")
+    return reliable_checkpoint(judged.where(F.col("importance") < LOW * F.col("_whole")).select("host", "path"))
+
+
+def page_branches(pages: DataFrame, low: DataFrame) -> DataFrame:
+    """(_host, _page, low): the hashes of the removed branches of every page that has any.
+
+    ``pages``: _host, _page and html, of which _page tells the pages of a host apart by their html.
+    """
+
+    def make():
+        def step(batch: dict[str, list]) -> dict[str, list]:
+            out: dict[str, list] = {"host": [], "_page": [], "path": []}
+            for host, key, source in zip(batch["_host"], batch["_page"], batch["html"]):
+                hashes = [_hash(path) for path in Page(source or "").paths()]
+                out["host"] += [host] * len(hashes)
+                out["_page"] += [key] * len(hashes)
+                out["path"] += hashes
+            return out
+
+        return step
+
+    paths = map_batches(pages.select("_host", "_page", "html"), make, "host string, _page bigint, path bigint")
+    found = paths.join(low, ["host", "path"]).groupBy(F.col("host").alias("_host"), "_page")
+    return found.agg(F.collect_set("path").alias("low"))
 
 
 def extract(pages: DataFrame) -> DataFrame:
@@ -225,7 +258,8 @@ def extract(pages: DataFrame) -> DataFrame:
     """
     low = low_branches(style_tree(pages))
     host = F.lower(F.coalesce(F.regexp_extract("url", r"^\s*(?:[a-zA-Z][a-zA-Z0-9_+.-]*:)?//(?:[^/?#@]*@)?([^/?#:]+)", 1), F.lit("")))
-    joined = pages.select("page_id", "url", "html", host.alias("_host")).join(low.withColumnRenamed("host", "_host"), "_host", "left")
+    keyed = pages.select("page_id", "url", "html", host.alias("_host"), F.xxhash64("html").alias("_page"))
+    joined = keyed.join(page_branches(keyed, low).hint("shuffle_hash"), ["_host", "_page"], "left")
 
     def make():
         sets: dict[tuple, frozenset[int]] = {}

@@ -265,6 +265,14 @@ def test_a_site_s_repeated_branches_go(spark):
     assert html_text.extract(df.limit(0)).count() == 0
 
 
+def test_branches_on_few_pages_of_a_large_site_go(spark):
+    rng = random.Random(8)
+    notice = "<div class='x'><p>The same unnamed words</p></div>"
+    pages = [(i, f"http://large.example/{i}", f"<body>{notice if i < 9 else ''}<div class='story'><p>{prose(rng, 12)}</p></div></body>") for i in range(1_000)]
+    got = {r.page_id: r.text for r in html_text.extract(spark.createDataFrame(pages, "page_id bigint, url string, html string")).collect()}
+    assert len(got) == 1_000 and not any("unnamed" in t for t in got.values()) and all(len(t.split()) == 12 for t in got.values())
+
+
 # ---------------------------------------------------------------- 6: chats
 
 def test_snapshots_collapse_into_maximal_conversations(spark):
