@@ -26,7 +26,7 @@ TREES = 32
 BITS = 32
 BLOCK_ROWS = 8_192
 QUERY_ROWS = 1_024
-RECALL = 0.93
+RECALL = 0.95
 
 
 class Forest:

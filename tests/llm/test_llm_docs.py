@@ -230,6 +230,17 @@ def test_neighbours_recall_ties_and_scores(spark):
         assert all(s == pytest.approx(float(vectors[i] @ vectors[q]), abs=1e-9) for q in found for i, s in found[q])
 
 
+def test_the_wanted_probability_finds_nearly_all():
+    rng = np.random.default_rng(3)
+    vectors = rng.standard_normal((300, 32))[rng.integers(0, 300, 3_000)] + 0.5 * rng.standard_normal((3_000, 32))
+    ids = np.arange(3_000)
+    want = brute(ids, vectors, 20)
+    asked = ids[::20]
+    got = neighbours.Forest(vectors).search(vectors[asked], 20, neighbours.RECALL, asked, ids)
+    hits = sum(len({i for i, _ in want[int(q)]} & set(f[0].tolist())) for q, f in zip(asked, got))
+    assert hits >= 0.99 * 20 * len(want)
+
+
 def test_odd_vectors_take_no_part(spark):
     nan, inf = float("nan"), float("inf")
     rows = [(0, [1.0, 0.0]), (20, [0.0, 0.0]), (40, None), (60, [nan, 1.0]), (80, [1.0, None]), (100, [inf, 1.0]), (1, [1.0, 1.0]), (1, [1.0, 1.0]), (2, [0.5, 0.0]), (3, [2.0]), (None, [1.0, 1.0]), (120, [])]
