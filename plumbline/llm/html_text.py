@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import html as entities
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
@@ -34,37 +35,91 @@ BLOCKS = frozenset(
     "address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure footer form frameset h1 h2 h3 h4 h5 h6 header hr html legend li main menu nav ol optgroup option p pre search section summary table caption tbody td tfoot th thead tr ul".split()
 )
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style noscript template textarea title iframe svg math select button object audio video canvas head".split())
+# Their text runs to their own end tag, whatever stands between.
+RAW = frozenset("script style textarea title iframe".split())
+# Elements in a line whose content is not text of the page.
+HIDDEN = frozenset("noscript template svg select button object audio video canvas annotation annotation-xml".split())
+CLOSED_BY_OWN = frozenset("button select".split())
 CLOSED_BY_BLOCK = frozenset("p h1 h2 h3 h4 h5 h6".split())
 CLOSED_BY_SAME = frozenset("li dt dd tr td th option thead tbody tfoot".split())
-JUNK_TAGS = frozenset("nav aside form menu dialog footer search".split())
+JUNK_TAGS = frozenset("nav aside menu dialog footer search".split())
 JUNK_WORDS = frozenset(
     "ad ads advert adverts advertisement advertising sponsor sponsored promo banner nav navbar navigation menu sidebar footer breadcrumb breadcrumbs cookie cookies consent notice popup modal newsletter subscribe share sharing social related comment comments respond replies disqus masthead toolbar widget login signup search pagination pager".split()
 )
-JUNK_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert menu menubar".split())
+JUNK_ROLES = frozenset("navigation banner contentinfo complementary search dialog alert menu menubar".split())
 
 TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?/][^>]*>", re.S)
 ATTRIBUTE = re.compile(r"\b(class|id|role|hidden|aria-hidden)\b(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.I)
 WORD = re.compile(r"[a-z]+")
 
 
+def _implied_end(open_tag: str, tag: str) -> bool:
+    """Whether an open element ends where ``tag`` begins."""
+    return open_tag in CLOSED_BY_BLOCK or tag in CLOSED_BY_SAME and open_tag == tag
+
+
+def tokens_of(source: str) -> tuple[list[tuple[int, int, str, bool, str]], dict[int, int]]:
+    """The tags as (start, end, name, closing, attributes), raw elements whole, and the end tag of each hidden element that has one.
+
+    A hidden element without an end tag inside its parent has none here, though one may follow further down.
+    """
+    tokens: list[tuple[int, int, str, bool, str]] = []
+    ends: dict[int, int] = {}
+    opened: list[tuple[str, int]] = []
+    times: Counter[str] = Counter()
+
+    def leave(tag: str) -> int:
+        while True:
+            last, at = opened.pop()
+            times[last] -= 1
+            if last == tag:
+                return at
+
+    at = 0
+    while m := TOKEN.search(source, at):
+        at = m.end()
+        tag, closing, attributes = (m[2] or "").lower(), bool(m[1]), m[3] or ""
+        if closing:
+            if times[tag]:
+                begun = leave(tag)
+                if tag in HIDDEN:
+                    ends[begun] = len(tokens)
+        elif tag in RAW:
+            if not (attributes.endswith("/") and times["svg"]):
+                end = re.compile(rf"</{tag}(?=[\s/>])[^>]*>", re.I).search(source, at)
+                at = end.end() if end else len(source)
+        elif tag in HIDDEN:
+            if not attributes.endswith("/"):
+                if tag in CLOSED_BY_OWN and times[tag]:
+                    leave(tag)
+                opened.append((tag, len(tokens)))
+                times[tag] += 1
+        elif tag in BLOCKS and tag not in VOID:
+            if opened and _implied_end(opened[-1][0], tag):
+                leave(opened[-1][0])
+            opened.append((tag, len(tokens)))
+            times[tag] += 1
+        tokens.append((m.start(), at, tag, closing, attributes))
+    return tokens, ends
+
+
 class Element:
-    """An open element: its path in the site's tree, whether it is removed, its child tags, its first block."""
+    """An open element: its path in the site's tree, whether it is removed, or only stands in a form, its child tags, its first block."""
 
-    __slots__ = ("tag", "path", "junk", "children", "first", "inside")
+    __slots__ = ("tag", "path", "junk", "form", "children", "first", "inside")
 
-    def __init__(self, tag: str, path: str, junk: bool, first: int, inside: bool):
-        self.tag, self.path, self.junk, self.children, self.first, self.inside = tag, path, junk, [], first, inside
+    def __init__(self, tag: str, path: str, junk: bool, form: bool, first: int, inside: bool):
+        self.tag, self.path, self.junk, self.form, self.children, self.first, self.inside = tag, path, junk, form, [], first, inside
 
 
 class Page:
     """Blocks of a page in order with their verdict by role, and the elements with the blocks they span."""
 
     def __init__(self, source: str):
-        self.blocks: list[tuple[str, bool, bool, str]] = []  # text, junk, inside the article, path
+        self.blocks: list[tuple[str, bool, bool, str, bool]] = []  # text, junk, inside the article, path, in a form
         self.elements: list[tuple[str, str, int, int]] = []  # path, child tags, first block, end
         self.has_article = False
-        self._stack = [Element("", "", False, 0, False)]
+        self._stack = [Element("", "", False, False, 0, False)]
         self._text: list[str] = []
         self._read(source)
 
@@ -74,7 +129,7 @@ class Page:
             self._text = []
             if text:
                 top = self._stack[-1]
-                self.blocks.append((text, top.junk, top.inside, top.path))
+                self.blocks.append((text, top.junk, top.inside, top.path, top.form))
 
     def _pop(self) -> None:
         self._flush()
@@ -83,10 +138,10 @@ class Page:
 
     def _open(self, tag: str, attributes: str) -> None:
         self._flush()
-        if self._stack[-1].tag in CLOSED_BY_BLOCK or tag in CLOSED_BY_SAME and self._stack[-1].tag in CLOSED_BY_SAME and self._stack[-1].tag == tag:
+        if _implied_end(self._stack[-1].tag, tag):
             self._pop()
         top = self._stack[-1]
-        names, junk = [], tag in JUNK_TAGS or tag == "header" and not top.inside
+        names, junk, form = [], tag in JUNK_TAGS or tag == "header" and not top.inside, tag == "form"
         for name, *values in ATTRIBUTE.findall(attributes) if attributes else ():
             value, name = "".join(values).lower(), name.lower()
             if name in ("class", "id"):
@@ -95,13 +150,16 @@ class Page:
                 junk |= not JUNK_WORDS.isdisjoint(words) and tag not in ("body", "html", "article", "main")
             elif name == "role":
                 junk |= value in JUNK_ROLES
+                form |= value == "form"
             else:
                 junk |= name == "hidden" or value == "true"
         step = ".".join([tag, *sorted(set(names))])
         top.children.append(step)
         article = tag in ("article", "main") and not junk and not top.junk
         self.has_article |= article
-        self._stack.append(Element(tag, f"{top.path}/{step}", junk or top.junk, len(self.blocks), top.inside or article))
+        # A form around the article does not make it one of its fields.
+        form = form or top.form and not article
+        self._stack.append(Element(tag, f"{top.path}/{step}", junk or top.junk, form, len(self.blocks), top.inside or article))
 
     def _close(self, tag: str) -> None:
         if any(e.tag == tag for e in self._stack):
@@ -112,28 +170,37 @@ class Page:
             self._flush()
 
     def _read(self, source: str) -> None:
-        at = 0
-        while m := TOKEN.search(source, at):
-            self._text.append(source[at : m.start()])
-            at = m.end()
-            tag = (m[2] or "").lower()
-            if tag in RAW and not m[1]:
-                if m[3].endswith("/") and tag in ("svg", "math"):
-                    continue
-                end = re.compile(rf"</{tag}\s*>", re.I).search(source, at)
-                if tag == "head" and not end:
-                    continue
-                at = end.end() if end else len(source)
+        tokens, ends = tokens_of(source)
+        at = i = 0
+        # Below a hidden element that is never closed: nothing counts up to the next block.
+        quiet = False
+        while i < len(tokens):
+            start, end, tag, closing, attributes = tokens[i]
+            if not quiet:
+                self._text.append(source[at:start])
+            if tag in HIDDEN:
+                self._text.append(" ")
+                if i in ends:
+                    i = ends[i]
+                    end = tokens[i][1]
+                elif not closing and not attributes.endswith("/"):
+                    quiet = True
+            elif tag in RAW:
                 self._text.append(" ")
             elif tag in BLOCKS:
-                if m[1]:
+                quiet &= tag in ("option", "optgroup")
+                if closing:
                     self._close(tag)
                 elif tag in VOID:
                     self._flush()
                 else:
-                    self._open(tag, m[3])
+                    self._open(tag, attributes)
             elif tag == "br":
                 self._text.append(" ")
+            at = end
+            i += 1
+        if quiet:
+            at = len(source)
         self._text.append(source[at:])
         self._flush()
         while len(self._stack) > 1:
@@ -149,9 +216,10 @@ class Page:
         for path, (tags, texts) in merged.items():
             yield path, "|".join(tags), "\n".join(texts)
 
-    def _kept(self) -> list[tuple[str, bool, bool, str]]:
-        """The blocks that stay by their role."""
-        return [b for b in self.blocks if not b[1] and (b[2] or not self.has_article)]
+    def _kept(self) -> list[tuple[str, bool, bool, str, bool]]:
+        """The blocks that stay by their role; those in forms do if there are no others."""
+        stay = [b for b in self.blocks if not b[1] and (b[2] or not self.has_article)]
+        return [b for b in stay if not b[4]] or stay
 
     def paths(self) -> set[str]:
         """The paths of the blocks that stay by their role, and all above them."""

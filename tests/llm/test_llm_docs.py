@@ -263,6 +263,21 @@ def test_blocks_references_and_roles():
     assert html_text.Page("</div></p>a<p>b</div>c").text(frozenset(), hash).split("\n") == ["a", "b", "c"]
 
 
+@pytest.mark.parametrize(("source", "want"), [
+    ("<body><video src=x/><canvas/><article><p>one</p></article></body>", ["one"]),
+    ("<article><p>one</p><div><button>Share</div><p>two</p><video src='x'><p>three</p></article>", ["one", "two", "three"]),
+    ("<main><p>one <button>Share<p>two</p><button>Like</button> three</main>", ["one", "two", "three"]),
+    ("<main><p>a<svg><title/><path/></svg>b <select><option>x<option>y</select>c</p><noscript><p>none</p></noscript><object><div>none</div></object><p>d</p></main>", ["a b c", "d"]),
+    ("<p><canvas></p><p>far</p></canvas><p>below</p>", ["far", "below"]),
+    ("<main><p>let <math><mi>x</mi><mo>=</mo><mn>2</mn><annotation encoding='t'>x=2</annotation></math></p></main>", ["let x=2"]),
+    ("<body><form id=aspnet><nav>Home</nav><article><p>one</p><form>Sign</form></article></form></body>", ["one"]),
+    ("<body><form><div><p>one</p><p>two</p></div></form><footer>Foot</footer></body>", ["one", "two"]),
+    ("<head><title>T</title><body><p>one</p>", ["one"]),
+])
+def test_no_tag_swallows_the_article(source, want):
+    assert html_text.Page(source).text(frozenset(), hash).split("\n") == want
+
+
 def test_a_site_s_repeated_branches_go(spark):
     rng = random.Random(6)
     page = lambda i, host: (i, f"http://{host}/{i}", f"<body><div class='top'>Welcome to {host}</div><div class='story s{i}'><p>{prose(rng, 30)}</p><p>{prose(rng, 20)}</p></div><div class='end'>All rights</div></body>")
