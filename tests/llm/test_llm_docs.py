@@ -198,6 +198,16 @@ def test_trees_follow_from_the_recall():
     assert near_copies.trees_for(0.85, 0.9999) == 3 and near_copies.trees_for(0.8, 0.9999) == 4 and near_copies.trees_for(1.0, 0.99) == 1
 
 
+@pytest.mark.parametrize("percent", [80, 85, 95, 100])
+def test_a_pair_at_the_threshold_is_found_and_kept_with_the_recall(percent):
+    join, s = near_copies._Join(3, percent, 512, 6, 0.9999), percent / 100
+    at = lambda n, m: math.comb(n, m) * s**m * (1 - s) ** (n - m)
+    lost = sum(at(64, m) for m in range(join.least)) + sum(at(256, m) for m in range(join.least_fine))
+    for m in range(join.least, 65):
+        lost += at(64, m) * (1 - max(0, 2 * m / 64 - 1) / (m / 64) ** 2) ** join.trees
+    assert lost <= 1e-4
+
+
 # ---------------------------------------------------------------- 3: neighbours
 
 def brute(ids, vectors, k):
