@@ -54,7 +54,8 @@ CELL = "array<struct<Data:struct<_VALUE:string>,`_ss:Index`:bigint>>"
 def read_sheet_xml(spark: SparkSession, path: str) -> DataFrame:
     """Rows of the first worksheet of each spreadsheet-XML export as ``(source_file, row_no, raw_cells)``.
 
-    A worksheet is one record, so one task reads it; the files of an export are read side by side.
+    A worksheet is one record, so one task reads it, whose memory must hold it: by the format's limit
+    1,048,576 rows at most. The files of an export are read side by side.
     """
     schema = f"Table struct<Row:array<struct<Cell:{CELL}>>>"
     sheets = with_row_no(spark.read.format("xml").option("rowTag", "Worksheet").schema(schema).load(path))
