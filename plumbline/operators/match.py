@@ -8,7 +8,7 @@ from functools import reduce
 from itertools import combinations
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -16,7 +16,7 @@ from plumbline.functions import constants as K
 from plumbline.functions.classify import confidence_tier
 from plumbline.session import reliable_checkpoint
 
-from .scale import dense_index, join_null_safe, share, spread, top_per_key
+from .scale import join_null_safe, share, spread, top_per_key
 
 # ---------------------------------------------------------------- containment join
 
@@ -159,13 +159,71 @@ def _kept(subset) -> list[Column]:
     has = lambda c: c in subset
     return [
         F.lit(_id(subset)).alias("subset"), (F.col("cust") if has("Customer") else F.lit("")).alias("k_cust"),
-        (F.col("state") if has("State") else F.lit("")).alias("k_state"), (F.col("day") if has("Date") else F.lit(NO_DAY).cast("date")).alias("k_day")]
+        (F.col("state") if has("State") else F.lit("")).alias("k_state"), (_days("day") if has("Date") else F.lit(0)).alias("on_day")]
 
 
 def _given(column: str, criterion: str, subset) -> Column:
     return F.col(column).isNotNull() if criterion in subset else F.lit(True)
 
 
+def smallest_so_far(df: DataFrame, value: str, within: list[str], order: list[Column], out: str, k: int = _SMALLEST) -> DataFrame:
+    """Adds ``out``: the ``k`` smallest values of ``value`` up to each row, as an array in order.
+
+    A running minimum keeps the smallest; what it does not keep - the greater of a new value and the
+    minimum so far - goes on to the next running minimum, and so on ``k`` times. All windows share one
+    sort. ``order`` has to tell the rows of a window apart.
+    """
+    before = Window.partitionBy(*within).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    came = F.col(value)
+    for i in range(k):
+        df = df.withColumns({f"_came_{i}": came, f"_least_{i}": F.min(came).over(before)})
+        old, new = F.col(f"_least_{i}"), F.col(f"_came_{i}")
+        came = F.when(old.isNotNull() & new.isNotNull(), F.greatest(old, new))
+    kept = F.array_compact(F.array(*[F.least(f"_least_{i}", f"_came_{i}") for i in range(k)]))
+    return df.withColumn(out, kept).drop(*[f"_{c}_{i}" for i in range(k) for c in ("came", "least")])
+
+
+def windowed_counts(marks: DataFrame, wanted: DataFrame, group: list[str], window: int) -> DataFrame:
+    """n and first (the smallest codes) of each ``wanted`` (group, on_day, dated) over the marks around its day.
+
+    ``marks`` (group, day, n, code, place) have a row with the count and the smallest code of every day, and up
+    to four with its next codes. The days are cut into blocks as long as the span of 2 * window + 1 days, so a span is the end of one
+    block and the beginning of the next: running counts and running smallest codes from both ends of the
+    blocks, read off at the span's two bounds, make up its count and its codes. Nothing is repeated day by
+    day, and a block has a bounded number of rows whatever the size of its group. Undated groups lie on day 0.
+    """
+    span = 2 * window + 1
+    first, last = F.when(F.col("dated"), F.col("on_day") - window), F.when(F.col("dated"), F.col("on_day") + window).otherwise(F.col("on_day"))
+    # Where the span is one whole block its end says it all.
+    starts = F.when(F.col("dated") & (F.pmod(F.col("on_day") - window, F.lit(span)) != 0), F.struct(first.alias("day"), F.lit(True).alias("backward")))
+    asks = F.array_compact(F.array(F.struct(last.alias("day"), F.lit(False).alias("backward")), starts))
+    bounds = wanted.select(*group, "on_day", F.explode(asks).alias("a")).select(*group, "on_day", F.col("a.day").alias("day"), F.col("a.backward").alias("backward"))
+    none = lambda kind: F.lit(None).cast(kind)
+    rows = marks.select(*group, "day", "n", "code", "place", none("int").alias("on_day"), none("boolean").alias("backward")).unionByName(
+        bounds.select(*group, "day", none("bigint").alias("n"), none("string").alias("code"), F.lit(_SMALLEST + 1).alias("place"), "on_day", "backward"))
+    rows = rows.withColumn("_block", F.floor(F.col("day") / span))
+    within = [*group, "_block"]
+    ends = []
+    for backward in (False, True):
+        # A bound asks in one direction; bounds of the other are left out before the shuffle.
+        own = rows.where(F.col("backward").isNull() | (F.col("backward") == backward)).drop("backward")
+        order = [F.desc("day") if backward else F.asc("day"), F.asc("place"), F.asc("code"), F.asc("on_day")]
+        upto = Window.partitionBy(*within).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+        run = smallest_so_far(own.withColumn("total", F.sum("n").over(upto)), "code", within, order, "few")
+        ends.append(run.where(F.col("on_day").isNotNull()).select(*group, "on_day", "total", "few"))
+    both = ends[0].unionByName(ends[1])
+    # One or two rows each, so the lists that meet are bounded.
+    return both.groupBy(*group, "on_day").agg(
+        F.sum("total").alias("n"), F.slice(F.array_sort(F.flatten(F.collect_list("few"))), 1, _SMALLEST).alias("first")).where("n > 0")
+
+
+def _marks(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """Of ``rows`` (keys, n, code) a row per key with the sum of n and the smallest code, and up to four with the next codes."""
+    counts = rows.groupBy(*keys).agg(F.sum("n").alias("n"), F.min("code").alias("code"))
+    few = top_per_key(rows.select(*keys, "code"), keys, [F.asc("code")], _SMALLEST, "place").where("place > 1")
+    return counts.select(*keys, "n", "code", F.lit(1).alias("place")).unionByName(few.select(*keys, F.lit(None).cast("bigint").alias("n"), "code", "place"))
+
+
 def best_candidates(requests: DataFrame, codes: DataFrame, names: DataFrame, window: int = K.DATE_WINDOW_DAYS) -> DataFrame:
     """Best code, score, tie count and first tied codes for every distinct request.
 
@@ -173,7 +231,9 @@ def best_candidates(requests: DataFrame, codes: DataFrame, names: DataFrame, win
     the codes are counted once per set of criteria - say all codes of a customer in a state - and a
     request looks its own values up in each of these counts. When no code meets all three criteria,
     the codes that meet two of them cannot be in two of the counts, so the counts simply add up;
-    the same holds one level down. Work grows with requests plus codes, not with their product.
+    the same holds one level down. Work grows with requests plus codes, not with their product:
+    codes of one prefix, customer, state and day are one count and a few codes before they meet the
+    pairs of names or the requests (U08), and a span of days is read off at its bounds (J13).
 
     ``requests``: ``prefix, cust, state, day``; ``codes``: ``prefix, code, customer, state, day``;
     ``names``: pairs (cust, customer) that match. With a prefix every code that has it is a
@@ -188,34 +248,31 @@ def best_candidates(requests: DataFrame, codes: DataFrame, names: DataFrame, win
         for s in SUBSETS])
     keyed = asked.select("prefix", "cust", "state", "day", F.explode(looked_up).alias("k")).where(F.col("k").isNotNull())
     keyed = reliable_checkpoint(keyed.select("prefix", "cust", "state", "day", "k.*"))
-    # A count is one group on one day.
-    groups = reliable_checkpoint(dense_index(keyed, _GROUP, "group_no"))
-    keyed = keyed.join(groups, _GROUP).withColumn("on_day", _days("k_day")).select("prefix", "cust", "state", "day", "subset", "group_no", "on_day")
-    wanted = keyed.select("group_no", "on_day").distinct()
-    released = _days("released")
-
-    def listed(source, subsets):
-        """One row per code and asked-for group, with the day of release for counts by date and day 0 for others."""
-        tags = F.array(*[F.struct(F.lit("Date" in s).alias("dated"), F.lit(_id(s)).alias("subset"), F.lit("State" in s).alias("by_state")) for s in subsets])
-        rows = source.select("prefix", "code", F.col("cust").alias("k_cust"), "state", "released", F.inline(tags))
-        rows = rows.where((~F.col("dated") | F.col("released").isNotNull()) & (~F.col("by_state") | F.col("state").isNotNull()))
-        rows = rows.withColumn("k_state", F.when(F.col("by_state"), F.col("state")).otherwise(F.lit(""))).join(groups, _GROUP)
-        return rows.select("group_no", "dated", F.when(F.col("dated"), released).otherwise(0).alias("released_on"), "code")
-
-    facts = codes.select("prefix", "code", "customer", "state", F.col("day").alias("released"))
-    named = facts.join(names, "customer").drop("customer")
-    plain = facts.drop("customer").withColumn("cust", F.lit(""))
+    dated = F.col("subset").contains("Date")
+    wanted = keyed.select(*_GROUP, "on_day").distinct().withColumn("dated", dated)
+
+    fact = ["prefix", "customer", "state", "released"]
+    facts = codes.select("prefix", "customer", "state", F.col("day").alias("released"), "code", F.lit(1).cast("bigint").alias("n"))
+    base = reliable_checkpoint(_marks(facts, fact))
+
+    def listed(source: DataFrame, subsets: list) -> DataFrame:
+        """One row per mark and set of criteria, with the day of release for counts by date and day 0 for others."""
+        tags = F.array(*[F.struct(F.lit("Date" in s).alias("by_day"), F.lit(_id(s)).alias("subset"), F.lit("State" in s).alias("by_state")) for s in subsets])
+        rows = source.select("prefix", "k_cust", "state", "released", "n", "code", F.inline(tags))
+        rows = rows.where((~F.col("by_day") | F.col("released").isNotNull()) & (~F.col("by_state") | F.col("state").isNotNull()))
+        return rows.select(
+            "subset", "prefix", "k_cust", F.when(F.col("by_state"), F.col("state")).otherwise(F.lit("")).alias("k_state"),
+            F.when(F.col("by_day"), _days("released")).otherwise(F.lit(0)).alias("day"), "n", "code")
+
+    named = base.join(names, "customer").withColumnRenamed("cust", "k_cust")
+    plain = base.withColumn("k_cust", F.lit(""))
     rows = listed(named, [s for s in SUBSETS if "Customer" in s]).unionByName(listed(plain, [s for s in SUBSETS if "Customer" not in s]))
-    # Codes of one group and day become one row with their number and the smallest few, before any row is repeated over a window.
-    one = ["group_no", "dated", "released_on"]
-    rows = reliable_checkpoint(rows)
-    few = top_per_key(rows, one, [F.asc("code")], _SMALLEST).groupBy(*one).agg(F.collect_list("code").alias("few"))
-    daily = rows.groupBy(*one).agg(F.count("*").alias("n")).join(few, one)
-    days = F.when(F.col("dated"), F.sequence(F.col("released_on") - window, F.col("released_on") + window)).otherwise(F.array(F.lit(0)))
-    around = spread(daily.select("group_no", "n", "few", days.alias("days")), "group_no", "days").select("group_no", "n", "few", F.explode("days").alias("on_day"))
-    counted = around.join(wanted, ["group_no", "on_day"], "left_semi").groupBy("group_no", "on_day").agg(
-        F.sum("n").alias("n"), F.slice(F.array_sort(F.flatten(F.collect_list("few"))), 1, _SMALLEST).alias("first"))
-    found = keyed.join(counted, ["group_no", "on_day"])
+    rows = rows.join(wanted.select(*_GROUP).distinct(), _GROUP, "left_semi")
+    marks = reliable_checkpoint(_marks(rows, [*_GROUP, "day"]))
+    # Nobody has to look where no code lies.
+    wanted = reliable_checkpoint(wanted.join(marks.select(*_GROUP).distinct(), _GROUP, "left_semi"))
+    counted = windowed_counts(marks, wanted, _GROUP, window)
+    found = keyed.join(counted, [*_GROUP, "on_day"])
     wide = found.groupBy("prefix", "cust", "state", "day").agg(
         *[F.max(F.when(F.col("subset") == _id(s), F.col("n"))).alias(_n(s)) for s in SUBSETS],
         *[F.max(F.when(F.col("subset") == _id(s), F.col("first"))).alias(_t(s)) for s in SUBSETS])

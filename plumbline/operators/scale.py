@@ -4,76 +4,126 @@ from __future__ import annotations
 
 from functools import reduce
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from plumbline.session import reliable_checkpoint
+
+#: Rows of a block, and the most ranges a column is cut into.
 BLOCK = 65_536
+RANGES = 4_096
+
+
+def range_of(df: DataFrame, order: str, rows: int = BLOCK, most: int = RANGES) -> Column | None:
+    """The number of a row's range when ``order`` is cut into ranges of about ``rows`` rows; null goes to the first.
+
+    The bounds are quantiles, so gaps between the values make no difference, and a key that holds a third
+    of all rows has about a third of every range it lies in. They are worked out once, in one aggregation,
+    and are at most ``most`` numbers. None if one range is enough.
+    """
+    steps = [i / most for i in range(1, most)]
+    value = F.col(order).cast("bigint")
+    found = df.agg(F.count("*").alias("n"), F.percentile_approx(value, steps, 8 * most).alias("q")).first()
+    parts = min(most, -(-found["n"] // rows))
+    if parts < 2 or not found["q"]:
+        return None
+    bounds = sorted({found["q"][min(most - 2, i * most // parts - 1)] for i in range(1, parts)})
+    listed, halves = F.lit(np.array(bounds, dtype="int64")), F.lit(np.array([1 << i for i in range(len(bounds).bit_length() - 1, -1, -1)], dtype="int32"))
+    # Binary search: how many bounds lie at or below the value.
+    return F.aggregate(halves, F.lit(0), lambda low, half: F.when(F.get(listed, low + half - 1) <= value, low + half).otherwise(low))
 
 
 def in_blocks(df: DataFrame, keys: list[str], order: str, *, fills: dict[str, Column] | None = None,
-              sums: dict[str, Column] | None = None, mins: dict[str, Column] | None = None, width: int = BLOCK) -> DataFrame:
-    """Running values along ``order`` within ``keys``, worked out block by block.
+              sums: dict[str, Column] | None = None, mins: dict[str, Column] | None = None, width: int | None = None, rows: int = BLOCK) -> DataFrame:
+    """Running values along ``order`` within ``keys``, worked out block by block.
 
     ``fills`` carries the last non-null value forward, ``sums`` adds up so far, ``mins`` keeps the least
-    value so far (all up to and with the current row). A window over a whole key would sort that key in one task; here a key is cut
-    into blocks of ``width`` order values, every block is a window of its own, and only one summary
-    row per block crosses blocks. ``order`` is a whole number unique within a key.
+    value so far (all up to and with the current row). A window over a whole key would sort that key in one task;
+    here ``order`` is cut into balanced ranges of about ``rows`` rows, every key's part of a range is a window
+    of its own, and only one summary row per key and range crosses ranges: a prefix scan. ``order`` is a
+    whole number unique within a key, of any density. Where it is known to be dense, ``width`` cuts it every
+    so many values without looking at the rows first.
     """
     fills, sums, mins = fills or {}, sums or {}, mins or {}
-    cut = df.withColumn("_block", F.floor(F.col(order) / width))
+    block = F.floor(F.col(order) / width) if width else range_of(df, order, rows)
+    cut = df.withColumn("_block", F.lit(0) if block is None else block)
     cut = cut.withColumns({**{f"_v_{n}": c for n, c in fills.items()}, **{f"_v_{n}": c for n, c in sums.items()}, **{f"_v_{n}": c for n, c in mins.items()}})
-    inside = Window.partitionBy(*keys, "_block").orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
+    names = [*fills, *sums, *mins]
+    inside = Window.partitionBy(*keys, *([] if block is None else ["_block"])).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
     local = cut.withColumns({
         **{n: F.last(f"_v_{n}", ignorenulls=True).over(inside) for n in fills},
         **{n: F.sum(f"_v_{n}").over(inside) for n in sums},
         **{n: F.min(f"_v_{n}").over(inside) for n in mins},
     })
+    if block is None:
+        return local.withColumns({n: F.coalesce(F.col(n), F.lit(0)) for n in sums}).drop("_block", *[f"_v_{n}" for n in names])
+    carried = carry(cut, keys, order, fills, sums, mins)
+    joined = join_null_safe(local, carried, [*keys, "_block"]).withColumns({
+        **{n: F.coalesce(F.col(n), F.col(f"_c_{n}")) for n in fills},
+        **{n: F.coalesce(F.col(n), F.lit(0)) + F.coalesce(F.col(f"_c_{n}"), F.lit(0)) for n in sums},
+        **{n: F.least(n, f"_c_{n}") for n in mins},
+    })
+    return joined.drop("_block", *[f"_v_{n}" for n in names], *[f"_c_{n}" for n in names])
+
+
+def carry(cut: DataFrame, keys: list[str], order: str, fills, sums, mins) -> DataFrame:
+    """What the ranges before hand on to each (keys, _block): one row each, with the columns ``_c_...``."""
     per_block = cut.groupBy(*keys, "_block").agg(
         *[F.max_by(f"_v_{n}", F.when(F.col(f"_v_{n}").isNotNull(), F.col(order))).alias(f"_b_{n}") for n in fills],
         *[F.sum(f"_v_{n}").alias(f"_b_{n}") for n in sums],
         *[F.min(f"_v_{n}").alias(f"_b_{n}") for n in mins],
     )
     before = Window.partitionBy(*keys).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
-    carried = per_block.select(
+    return per_block.select(
         *keys, "_block",
         *[F.last(f"_b_{n}", ignorenulls=True).over(before).alias(f"_c_{n}") for n in fills],
         *[F.sum(f"_b_{n}").over(before).alias(f"_c_{n}") for n in sums],
         *[F.min(f"_b_{n}").over(before).alias(f"_c_{n}") for n in mins],
     )
-    joined = local.join(carried, [*keys, "_block"], "left").withColumns({
-        **{n: F.coalesce(F.col(n), F.col(f"_c_{n}")) for n in fills},
-        **{n: F.coalesce(F.col(n), F.lit(0)) + F.coalesce(F.col(f"_c_{n}"), F.lit(0)) for n in sums},
-        **{n: F.least(n, f"_c_{n}") for n in mins},
-    })
-    names = [*fills, *sums, *mins]
-    return joined.drop("_block", *[f"_v_{n}" for n in names], *[f"_c_{n}" for n in names])
 
 
-def rank_in_blocks(df: DataFrame, keys: list[str], order: str, out: str, width: int = BLOCK) -> DataFrame:
+def rank_in_blocks(df: DataFrame, keys: list[str], order: str, out: str, rows: int = BLOCK) -> DataFrame:
     """Position 1, 2, ... along ``order`` within ``keys``, without one window per whole key."""
-    return in_blocks(df, keys, order, sums={out: F.lit(1).cast("bigint")}, width=width)
+    return in_blocks(df, keys, order, sums={out: F.lit(1).cast("bigint")}, rows=rows)
 
 
-def dense_index(values: DataFrame, columns: list[str], out: str, digits: int = 3) -> DataFrame:
-    """Dense ids 0, 1, ... for distinct rows, in the order of their digest.
+def shifts(counts: DataFrame, bucket: str, n: str, out: str, group: int = 1_024) -> DataFrame:
+    """(bucket, out): the sum of ``n`` over the buckets before, by a scan in two levels.
+
+    Buckets are added up within groups of neighbours, the groups' sums among themselves; no task sorts all buckets.
+    """
+    grouped = counts.select(F.col(bucket), F.col(n), F.floor(F.col(bucket) / group).alias("_g"))
+    before = lambda w: w.rowsBetween(Window.unboundedPreceding, -1)
+    within = grouped.withColumn("_in", F.sum(n).over(before(Window.partitionBy("_g").orderBy(bucket))))
+    above = grouped.groupBy("_g").agg(F.sum(n).alias("_sum")).select("_g", F.sum("_sum").over(before(Window.orderBy("_g"))).alias("_over"))
+    return within.join(above, "_g").select(bucket, (F.coalesce("_in", F.lit(0)) + F.coalesce("_over", F.lit(0))).alias(out))
+
+
+def digest_buckets(values: DataFrame, columns: list[str], rows: int) -> DataFrame:
+    """The distinct rows of ``columns`` with their digest and a bucket, about ``rows`` of them in each.
 
-    The leading digits of the digest spread the rows evenly over 16**digits buckets, so each bucket
-    is numbered on its own and shifted by the rows before it; only the bucket counts (at most
-    16**digits rows) meet in one place.
+    Buckets cut the range of digests evenly, so a bucket's number grows with the digest however many there are.
     """
-    distinct = values.select(*columns).distinct()
     parts = [F.coalesce(F.col(c).cast("string"), F.lit("\u0000")) for c in columns]
     digest = F.md5(F.concat_ws("|", *parts))
-    keyed = distinct.withColumn("_digest", digest).withColumn("_bucket", F.substring("_digest", 1, digits))
-    before = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    shifts = keyed.groupBy("_bucket").count().select(
-        "_bucket", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("_shift")
-    )
+    distinct = reliable_checkpoint(values.select(*columns).distinct().withColumn("_digest", digest))
+    buckets = max(1, -(-distinct.count() // rows))
+    head = F.conv(F.substring("_digest", 1, 8), 16, 10).cast("bigint")
+    return distinct.withColumn("_bucket", F.shiftright(head * buckets, 32))
+
+
+def dense_index(values: DataFrame, columns: list[str], out: str, rows: int = BLOCK // 2) -> DataFrame:
+    """Dense ids 0, 1, ... for distinct rows, in the order of their digest.
+
+    The digests spread the rows evenly over buckets of about ``rows`` rows, whatever their number; each
+    bucket is numbered on its own and shifted by the rows before it. The ids do not depend on ``rows``.
+    """
+    keyed = digest_buckets(values, columns, rows)
+    before = shifts(keyed.groupBy("_bucket").count(), "_bucket", "count", "_shift")
     inside = Window.partitionBy("_bucket").orderBy("_digest", *columns)
     numbered = keyed.withColumn("_n", F.row_number().over(inside))
-    return numbered.join(F.broadcast(shifts), "_bucket").select(
-        *columns, (F.col("_n") - 1 + F.col("_shift")).alias(out)
-    )
+    return numbered.join(before, "_bucket").select(*columns, (F.col("_n") - 1 + F.col("_shift")).alias(out))
 
 
 def spread(df: DataFrame, *columns: str) -> DataFrame:

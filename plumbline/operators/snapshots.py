@@ -35,13 +35,23 @@ def in_target_order(rows: DataFrame, target_columns: list[str]) -> DataFrame:
     return rows.select(*[F.col(c) if c in rows.columns else F.lit("").alias(c) for c in target_columns])
 
 
+def latest(rows: DataFrame, keys: list[str], value: str, stamp: str) -> DataFrame:
+    """K05, ST02: the row of the latest stamp per key; rows without a value set nothing.
+
+    Of one stamp the greatest value counts, so the outcome does not depend on the order in which rows came.
+    """
+    cols = [c for c in rows.columns if c not in keys]
+    found = rows.where(F.trim(F.col(value)) != "").groupBy(*keys).agg(F.max_by(F.struct(*cols), F.struct(stamp, value)).alias("r"))
+    return found.select(*[F.col(c) if c in keys else F.col(f"r.{c}").alias(c) for c in rows.columns])
+
+
 def upsert(existing: DataFrame, incoming: DataFrame, keys: list[str], value: str, stamp: str) -> DataFrame:
     """The row of the latest stamp per key, whichever batch brought it; rows without a value change nothing."""
     given = incoming.where(F.trim(F.col(value)) != "")
     both = existing.withColumn("_new", F.lit(0)).unionByName(given.withColumn("_new", F.lit(1)))
     cols = [c for c in existing.columns if c not in keys]
-    latest = both.groupBy(*keys).agg(F.max_by(F.struct(*cols), F.struct(stamp, "_new", value)).alias("r"))
-    return latest.select(*keys, "r.*")
+    newest = both.groupBy(*keys).agg(F.max_by(F.struct(*cols), F.struct(stamp, "_new", value)).alias("r"))
+    return newest.select(*keys, "r.*")
 
 
 def difference(before: DataFrame, after: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:

@@ -92,12 +92,46 @@ def _(spark, sf):
     return spark.read.parquet(path).groupBy("quarter").agg(F.count("*").alias("pieces"))
 
 
-@query("k08_clustered_table", "SELECT l_suppkey, l_partkey, count(*) AS n FROM lineitem GROUP BY 1, 2")
+@query("k08_clustered_table", "SELECT l_suppkey, l_partkey, l_orderkey, l_quantity FROM lineitem WHERE l_orderkey IN (SELECT o_orderkey FROM orders WHERE o_orderkey % 997 = 5) OR l_suppkey = 7")
 def _(spark, sf):
-    """A table clustered by its lookup keys, read back."""
-    path = scratch(spark, "k08")
-    tables.write_clustered(table(spark, sf, "lineitem").select("l_suppkey", "l_partkey"), path, ["l_suppkey", "l_partkey"])
-    return spark.read.parquet(path).groupBy("l_suppkey", "l_partkey").agg(F.count("*").alias("n"))
+    """A table clustered by supplier and part, with a Bloom filter of the orders; both serve lookups."""
+    path, lines = scratch(spark, "k08"), table(spark, sf, "lineitem").select("l_suppkey", "l_partkey", "l_orderkey", "l_quantity")
+    tables.write_clustered(lines, path, ["l_suppkey", "l_partkey"], indexed=["l_orderkey"])
+    kept = spark.read.schema(lines.schema).parquet(path)
+    wanted = table(spark, sf, "orders").where(F.col("o_orderkey") % 997 == 5).select(F.col("o_orderkey").alias("l_orderkey"))
+    by_order = kept.join(wanted, "l_orderkey", "left_semi").where(F.col("l_suppkey") != 7)
+    return by_order.unionByName(kept.where(F.col("l_suppkey") == 7)).select("l_suppkey", "l_partkey", "l_orderkey", "l_quantity")
+
+
+@query("s06_sheet_scan", "SELECT CAST(l_orderkey AS VARCHAR) AS l_orderkey, CASE WHEN l_linenumber % 3 > 0 THEN l_linestatus ELSE '' END AS status, l_returnflag || '<&>' AS flag, CAST(l_linenumber AS VARCHAR) AS l_linenumber, '' AS absent FROM lineitem")
+def _(spark, sf):
+    """Workbooks of line items, cells left out here and there, read back by header name in many tasks; second sheets do not count."""
+    path, lines = scratch(spark, "sheets"), table(spark, sf, "lineitem")
+    rows = lines.select("l_orderkey", F.when(F.col("l_linenumber") % 3 > 0, F.col("l_linestatus")).alias("status"), F.concat("l_returnflag", F.lit("<&>")).alias("flag"), "l_linenumber")
+    tables.write_sheet_xml(rows, path, rows.columns, ["l_orderkey", "l_linenumber"])
+    names = ["l_orderkey", "status", "flag", "l_linenumber", "absent"]
+    return files.sheet_records(files.read_sheet_xml(spark, f"{path}/*"), names).select(*names)
+
+
+@query("s02_csv_mark", "SELECT CAST(c_custkey AS VARCHAR) AS code, c_name AS name FROM customer")
+def _(spark, sf):
+    """Files that begin with a byte-order mark; it belongs to no name."""
+    path, rows = scratch(spark, "mark"), table(spark, sf, "customer").select(F.col("c_custkey").alias("\ufeffJob Code"), F.col("c_name").alias(" Name "))
+    tables.write_csv(rows, path, rows.columns)
+    return tabular.resolve_headers(tabular.read_csv(spark, path), {"code": ["job code"], "name": ["name"]}).select("code", "name")
+
+
+@query("s07_gazetteer_file", """SELECT lpad(CAST(s_suppkey % 60 AS VARCHAR), 5, '0') AS zip, n_name AS city, 'R' || n_regionkey AS state, n_name || ' COUNTY' AS county, round(20 + (s_suppkey % 97) / 4, 2) AS lat, round(-60 - (s_suppkey % 89) / 4, 2) AS lng
+FROM supplier JOIN nation ON s_nationkey = n_nationkey WHERE n_regionkey < 3 AND s_suppkey % 7 > 0""")
+def _(spark, sf):
+    """A tab-separated postal file; rows without a latitude, and those of other states, go."""
+    rows = table(spark, sf, "supplier").join(table(spark, sf, "nation"), F.col("s_nationkey") == F.col("n_nationkey"))
+    lat = F.when(F.col("s_suppkey") % 7 > 0, (20 + (F.col("s_suppkey") % 97) / 4).cast("string")).otherwise(F.lit("n/a"))
+    fields = [F.lit("US"), F.lpad((F.col("s_suppkey") % 60).cast("string"), 5, "0"), F.initcap("n_name"), F.lit("State"), F.concat(F.lit("R"), F.col("n_regionkey")),
+              F.concat(F.initcap("n_name"), F.lit(" County")), F.lit("1"), F.lit(""), F.lit(""), lat, (-60 - (F.col("s_suppkey") % 89) / 4).cast("string"), F.lit("1")]
+    path = scratch(spark, "gazetteer")
+    rows.select(F.concat_ws("\t", *fields).alias("value")).write.text(path)
+    return tabular.read_gazetteer(spark, path, ["R0", "R1", "R2"]).select("zip", "city", "state", "county", F.round("lat", 2).alias("lat"), F.round("lng", 2).alias("lng"))
 
 
 @query("s06_sheet_cells", "SELECT c_custkey, CASE WHEN c_custkey % 2 = 0 THEN c_mktsegment ELSE '' END AS a, '' AS b, c_name AS c, '' AS d FROM customer")

@@ -30,11 +30,19 @@ def _history(spark, sf):
     return _events(spark, sf).where(F.col("ts") <= F.lit(CUTOFF).cast("timestamp_ntz"))
 
 
+def _kept_history(spark, sf):
+    path, rows = scratch(spark, "history"), _history(spark, sf)
+    for half in (0, 1):
+        tables.append_history(rows.where(F.col("event_id") % 2 == half), path, "ts")
+    return path
+
+
 # ---------------------------------------------------------------- incremental
 
 @query("a31_high_water", f"SELECT CAST(max(ts) AS VARCHAR) AS cutoff FROM events WHERE ts <= TIMESTAMP '{CUTOFF}'")
 def _(spark, sf):
-    return snapshots.high_water(_history(spark, sf), "ts").select(F.col("cutoff").cast("string").alias("cutoff"))
+    """From the footers of a history written in two batches."""
+    return tables.high_water_of(spark, _kept_history(spark, sf)).select(F.col("cutoff").cast("timestamp_ntz").cast("string").alias("cutoff"))
 
 
 _BATCH_SQL = f"""h AS (SELECT max(ts) AS cutoff FROM events WHERE ts <= TIMESTAMP '{CUTOFF}'), b AS (SELECT *, CASE WHEN event_type <> 'error' THEN ts END AS moment FROM events),
@@ -44,7 +52,8 @@ m AS (SELECT b.*, CASE WHEN moment IS NULL THEN 'bad_date' WHEN moment <= (SELEC
 def _batch(spark, sf):
     """A batch that overlaps the history; errors came without a usable date."""
     batch = _events(spark, sf).withColumn("moment", F.when(F.col("event_type") != "error", F.col("ts")))
-    return snapshots.after_cutoff(batch, _history(spark, sf).withColumnRenamed("ts", "moment"), "moment")
+    cutoff = tables.high_water_of(spark, _kept_history(spark, sf)).select(F.col("cutoff").cast("timestamp_ntz").alias("moment"))
+    return snapshots.after_cutoff(batch, cutoff, "moment")
 
 
 @query("i01_incremental", f"WITH {_BATCH_SQL} SELECT event_id, user_id, event_type FROM m WHERE batch_state = 'new'")
@@ -92,13 +101,15 @@ def _(spark, sf):
 @query("k05_upsert", f"""WITH e AS (SELECT CAST(user_id AS VARCHAR) AS entity_key, event_type AS field, CAST(value AS VARCHAR) AS chosen_value, event_id AS stamp, ts FROM events)
 SELECT entity_key, field, CAST(arg_max(chosen_value, stamp) AS DOUBLE) AS chosen_value, max(stamp) AS stamp FROM e WHERE chosen_value IS NOT NULL GROUP BY 1, 2""")
 def _(spark, sf):
-    """The later half of the events upserted into the earlier half."""
+    """The later half of the events written ahead of the earlier half, one of them twice."""
     rows = _events(spark, sf).select(F.col("user_id").cast("string").alias("entity_key"), F.col("event_type").alias("field"), F.col("value").cast("string").alias("chosen_value"), F.col("event_id").alias("stamp"), "ts")
     early = rows.where(F.col("ts") <= F.lit(CUTOFF).cast("timestamp_ntz")).drop("ts")
     late = rows.where(F.col("ts") > F.lit(CUTOFF).cast("timestamp_ntz")).drop("ts")
-    empty = early.where(F.lit(False))
-    first = snapshots.upsert(empty, early, ["entity_key", "field"], "chosen_value", "stamp")
-    return snapshots.upsert(first, late, ["entity_key", "field"], "chosen_value", "stamp").withColumn("chosen_value", F.col("chosen_value").cast("double"))
+    path, keyed = scratch(spark, "k05"), (["entity_key", "field"], "chosen_value", "stamp")
+    for name, batch in (("late", late), ("early", early), ("late", late)):
+        tables.write_changes(batch, path, name, *keyed)
+    schema = "entity_key string, field string, chosen_value string, stamp bigint"
+    return tables.read_latest(spark, path, schema, *keyed).withColumn("chosen_value", F.col("chosen_value").cast("double"))
 
 
 def _labels(spark, sf):
@@ -114,7 +125,10 @@ _SNAP_SQL = "s AS (SELECT DISTINCT CASE WHEN day(ts) <= 15 THEN '2024-01a' ELSE
 UNION ALL SELECT 'removed', piece_id FROM s WHERE label = '2024-01a' AND piece_id NOT IN (SELECT piece_id FROM s WHERE label = '2024-01b')""")
 def _(spark, sf):
     s = _labels(spark, sf)
-    new, gone = snapshots.difference(s.where(F.col("label") == "2024-01a"), s.where(F.col("label") == "2024-01b"), "piece_id")
+    path = scratch(spark, "u05")
+    for label in ("2024-01a", "2024-01b"):
+        tables.write_digested(s.where(F.col("label") == label).select("piece_id", "event_type"), path, label, ["piece_id"])
+    new, gone = tables.snapshot_difference(spark, path, "2024-01a", "2024-01b", "piece_id string, event_type string", "piece_id")
     return new.select(F.lit("new").alias("change"), "piece_id").unionByName(gone.select(F.lit("removed").alias("change"), "piece_id"))
 
 
@@ -353,9 +367,10 @@ def _(spark, sf):
 def _(spark, sf):
     """ST02: latest event per user and type kept by the stream."""
     out, mark, schema = scratch(spark, "st02"), scratch(spark, "st02-mark"), "entity_key string, field string, chosen_value string, stamp bigint"
+    keyed = ["entity_key", "field"], "chosen_value", "stamp"
     rows = _stream(spark, sf).select(F.col("user_id").cast("string").alias("entity_key"), F.col("event_type").alias("field"), F.col("value").cast("string").alias("chosen_value"), F.col("event_id").alias("stamp"))
-    ingest.upsert_stream(rows, out, schema, ["entity_key", "field"], "chosen_value", "stamp", mark).awaitTermination()
-    return tables.read_latest(spark, out, schema).withColumn("chosen_value", F.col("chosen_value").cast("double"))
+    ingest.upsert_stream(rows, out, *keyed, mark).awaitTermination()
+    return tables.read_latest(spark, out, schema, *keyed).withColumn("chosen_value", F.col("chosen_value").cast("double"))
 
 
 _ANOM_SQL = """e AS (SELECT event_id, n.n_name AS city, 'R' || (user_id % 5) AS state FROM events JOIN nation n ON user_id % 25 = n_nationkey)"""

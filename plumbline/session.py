@@ -17,6 +17,11 @@ RUNTIME_CONF = {
     # Split hot join keys even where that costs one more exchange above the join.
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # Small tables are heavy to work on here (texts, decoding, joins of texts): they too go to several tasks.
+    "spark.sql.files.openCostInBytes": "512k",
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "256k",
+    # Least and greatest values from file footers, where the reader can.
+    "spark.sql.parquet.aggregatePushdown": "true",
 }
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from plumbline.functions import constants as K
 from plumbline.functions.clean import as_col
-from plumbline.operators.scale import first_per_key, join_null_safe
+from plumbline.operators.scale import join_null_safe
 
 from .tabular import with_row_no
 
@@ -51,17 +51,31 @@ def latest_file(files: DataFrame, patterns: list[str], name: str = "file_name",
 CELL = "array<struct<Data:struct<_VALUE:string>,`_ss:Index`:bigint>>"
 
 
+_SHEET_END = "</Worksheet>"
+_SALTS = 64
+#: What a piece holds: empty rows, the end of a sheet, and last the row with cells that the piece ends with.
+_PARTS = r"(?s)<Row\b(?:[^>\"'/]|\"[^\"]*\"|'[^']*')*/>|</Worksheet>|<Row\b.*"
+
+
 def read_sheet_xml(spark: SparkSession, path: str) -> DataFrame:
-    """Rows of the first worksheet of each spreadsheet-XML export as ``(source_file, row_no, raw_cells)``.
+    """Rows of the first worksheet of each spreadsheet-XML export as ``(source_file, row_no, raw_cells)``.
 
-    A worksheet is one record, so one task reads it, whose memory must hold it: by the format's limit
-    1,048,576 rows at most. The files of an export are read side by side.
+    A file is cut at the ends of its rows, wherever its splits lie, so many tasks read one worksheet and none
+    holds more than a row at a time. Where a file's first sheet ends is one number, found among the same
+    pieces; rows from there on belong to other sheets. ``row_no`` grows along the sheet. Row ends inside
+    comments or character data are not told apart from others.
     """
-    schema = f"Table struct<Row:array<struct<Cell:{CELL}>>>"
-    sheets = with_row_no(spark.read.format("xml").option("rowTag", "Worksheet").schema(schema).load(path))
-    first = first_per_key(sheets, ["source_file"], [F.asc("row_no")])
-    rows = first.select("source_file", F.posexplode("Table.Row").alias("row_no", "r"))
-    return rows.select("source_file", F.col("row_no").cast("bigint").alias("row_no"), F.col("r.Cell").alias("raw_cells"))
+    pieces = spark.read.option("lineSep", "</Row>").text(path)
+    parts = pieces.select("_metadata", F.explode(F.regexp_extract_all("value", F.lit(_PARTS), F.lit(0))).alias("part"))
+    parts = with_row_no(parts).drop("_metadata")
+    ends = parts.where(F.col("part") == _SHEET_END).groupBy("source_file").agg(F.min("row_no").alias("end"))
+    # One file may hold most rows: its rows meet its number in several tasks.
+    ends = ends.select("source_file", "end", F.explode(F.sequence(F.lit(0), F.lit(_SALTS - 1)).cast("array<bigint>")).alias("_salt"))
+    rows = parts.where(F.col("part") != _SHEET_END).withColumn("_salt", F.pmod("row_no", F.lit(_SALTS).cast("bigint")))
+    rows = rows.join(ends, ["source_file", "_salt"], "left").where(F.col("end").isNull() | (F.col("row_no") < F.col("end")))
+    whole = F.when(F.endswith("part", F.lit("/>")) & ~F.col("part").contains("<Cell"), F.col("part")).otherwise(F.concat("part", F.lit("</Row>")))
+    cells = F.from_xml(whole, f"Cell {CELL}", {"rowTag": "Row"})["Cell"]
+    return rows.select("source_file", "row_no", F.coalesce(cells, F.array().cast(CELL)).alias("raw_cells"))
 
 
 def placed_cells(raw_cells) -> Column:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from plumbline.operators.geocode import suspect_rows
-from plumbline.sinks.tables import upsert_table
+from plumbline.operators.snapshots import latest
 
 
 def read_stream(spark: SparkSession, path: str, schema: str, file_format: str = "parquet", files_per_trigger: int = 1000, **options) -> DataFrame:
@@ -33,13 +33,24 @@ def _each_batch(stream: DataFrame, work: Callable[[DataFrame, int], None], check
     return stream.writeStream.foreachBatch(work).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
-def upsert_stream(stream: DataFrame, path: str, schema: str, keys: list[str], value: str, stamp: str, checkpoint: str) -> StreamingQuery:
-    """ST02: latest value per key. Repeating a batch after a failure leaves the table as it was."""
+ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
-    def work(batch: DataFrame, _: int) -> None:
-        upsert_table(batch.sparkSession, path, schema, batch, keys, value, stamp)
 
-    return _each_batch(stream, work, checkpoint)
+def upsert_stream(stream: DataFrame, path: str, keys: list[str], value: str, stamp: str, checkpoint: str) -> StreamingQuery:
+    """ST02: latest value per key, kept as the stream's own state.
+
+    The state holds one row per key and is checkpointed with the offsets; a batch puts out the keys it
+    touched with what is latest for them now, and writes them to a folder of its own (``tables.read_latest``
+    reads them). Repeating a batch after a failure replaces its folder. State lies in an embedded store on
+    disk, so it may outgrow the executors' memory.
+    """
+    stream.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKS)
+
+    def work(batch: DataFrame, number: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{path}/batch={number}")
+
+    kept = latest(stream, keys, value, stamp)
+    return kept.writeStream.outputMode("update").foreachBatch(work).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
 def ingest_with_anomalies(stream: DataFrame, gazetteer: DataFrame, city: str, state: str, rows_path: str, anomalies_path: str,

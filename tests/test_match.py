@@ -4,6 +4,8 @@ import datetime as dt
 import random
 from difflib import SequenceMatcher, get_close_matches
 
+from pyspark.sql import functions as F
+
 from plumbline.operators import geocode, match
 
 CITIES = ["SPRINGFIELD", "SPRINGFEILD", "SAINT PAUL", "ST PAUL", "RENO", "RENNO", "ELKO", "FORT WORTH", "FT WORTH", "LAS VEGAS", "LOS VEGAS",
@@ -95,6 +97,92 @@ def test_repair_equals_brute_force(spark):
                 assert (r.fixed_code, r.repair_status) == ("", "UNRESOLVABLE"), (n, r, best)
 
 
+def _brute_best(request, codes, names, window):
+    prefix, cust, state, day = request
+    met = []
+    for p, code, customer, st, released in codes:
+        if p != prefix:
+            continue
+        same, where = (cust, customer) in names, state is not None and state == st
+        if prefix or same or where:
+            met.append((same + where + (day is not None and released is not None and abs((day - released).days) <= window), code))
+    if not met:
+        return None
+    top = max(m for m, _ in met)
+    tied = sorted(c for m, c in met if m == top)
+    return tied[0], top, len(tied), tied[:5], len(met)
+
+
+def test_best_candidates_equal_brute_force_over_many_blocks(spark):
+    rng = random.Random(21)
+    for window in (0, 3, 180):
+        day = lambda: dt.date(2019, 1, 1) + dt.timedelta(days=rng.randrange(8 * window + 12))
+        codes = [(rng.choice(["", "A", "AB"]), f"C{rng.randrange(400):03d}", rng.choice(["x", "y", "z", None]), rng.choice(["NV", "CA", None]), rng.choice([day(), day(), None])) for _ in range(500)]
+        names = {("X", "x"), ("X", "y"), ("Y", "y"), ("Q", "q")}
+        requests = [(rng.choice(["", "A", "AB", "Z"]), rng.choice(["X", "Y", "Q", None]), rng.choice(["NV", "CA", "UT", None]), rng.choice([day(), None])) for _ in range(120)]
+        got = match.best_candidates(
+            spark.createDataFrame(requests, "prefix string, cust string, state string, day date"),
+            spark.createDataFrame(codes, "prefix string, code string, customer string, state string, day date"),
+            spark.createDataFrame(sorted(names), "cust string, customer string"), window)
+        got = {(r.prefix, r.cust, r.state, r.day): (r.best_code, r.met, r.tied, r.first_tied, r.pool) for r in got.collect() if r.best_code}
+        want = {r: _brute_best(r, codes, names, window) for r in requests}
+        assert got == {r: w for r, w in want.items() if w}
+
+
+def test_smallest_so_far(spark):
+    rng = random.Random(2)
+    rows = [(g, i, rng.choice([None, f"{rng.randrange(60):02d}"])) for g in range(4) for i in range(50)]
+    got = match.smallest_so_far(spark.createDataFrame(rows, "g int, i int, v string"), "v", ["g"], [F.asc("i")], "few", 3)
+    for r in got.collect():
+        assert r.few == sorted(v for g, i, v in rows if g == r.g and i <= r.i and v is not None)[:3]
+
+
+def _rows_made(df):
+    """The largest number of rows that any step of the plan put out."""
+    df.collect()
+    found, stack = 0, [df._jdf.queryExecution().executedPlan()]
+    while stack:
+        node = stack.pop()
+        if node.getClass().getSimpleName() == "AdaptiveSparkPlanExec":
+            stack.append(node.executedPlan())
+            continue
+        if node.getClass().getSimpleName().endswith("QueryStageExec"):
+            stack.append(node.plan())
+            continue
+        metric = node.metrics().get("numOutputRows")
+        if metric.isDefined():
+            found = max(found, metric.get().value())
+        stack += [node.children().apply(i) for i in range(node.children().size())]
+    return found
+
+
+def test_a_span_of_days_is_read_off_at_its_bounds(spark):
+    days, asked = 2_000, 500
+    at = lambda c: F.col(c).cast("int")
+    marks = spark.range(days).select(F.lit("g").alias("g"), (at("id") * 2).alias("day"), F.explode(F.array(
+        F.struct(F.lit(3).cast("bigint").alias("n"), F.lit(None).cast("string").alias("code"), F.lit(0).alias("place")),
+        F.struct(F.lit(None).cast("bigint").alias("n"), F.lpad(((at("id") * 7919) % days).cast("string"), 5, "0").alias("code"), F.lit(1).alias("place")))).alias("m")).select("g", "day", "m.*")
+    wanted = spark.range(asked).select(F.lit("g").alias("g"), (at("id") * 9 - 100).alias("on_day"), F.lit(True).alias("dated"))
+    counted = match.windowed_counts(marks, wanted, ["g"], 180)
+    assert _rows_made(counted) <= 2 * days + 2 * asked
+    for r in counted.collect():
+        inside = [i for i in range(days) if abs(2 * i - r.on_day) <= 180]
+        assert (r.n, r.first) == (3 * len(inside), sorted(f"{i * 7919 % days:05d}" for i in inside)[:5])
+
+
+def test_codes_are_counted_before_they_meet_names(spark):
+    codes = spark.range(20_000).select(F.lit("A").alias("prefix"), F.concat(F.lit("A"), F.col("id")).alias("code"), F.lit("hot").alias("customer"),
+                                       F.lit("NV").alias("state"), (F.date_add(F.lit(dt.date(2020, 1, 1)), (F.col("id") % 3).cast("int"))).alias("day"))
+    names = spark.range(300).select(F.concat(F.lit("n"), F.col("id")).alias("cust"), F.lit("hot").alias("customer"))
+    requests = names.select(F.lit("A").alias("prefix"), "cust", F.lit("NV").alias("state"), F.lit(dt.date(2020, 1, 2)).alias("day"))
+    facts = codes.select("prefix", "customer", "state", F.col("day").alias("released"), "code", F.lit(1).cast("bigint").alias("n"))
+    marks = match._marks(facts, ["prefix", "customer", "state", "released"])
+    # Three days with five codes each, for each of 300 names; not 20,000 codes for each.
+    assert marks.join(names, "customer").count() == 300 * 3 * 5
+    got = match.best_candidates(requests, codes, names).collect()
+    assert len(got) == 300 and {(r.best_code, r.met, r.tied) for r in got} == {("A0", 3, 20_000)}
+
+
 def test_geocode_uses_near_names_last(spark):
     gaz = spark.createDataFrame([
         (0, "89001", "ALAMO", "NV", "LINCOLN", 37.0, -115.0), (1, "89002", "HENDERSON", "NV", "CLARK", 36.0, -114.0), (2, "84001", "SAINT GEORGE", "UT", "WASHINGTON", 37.1, -113.5),

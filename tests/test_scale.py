@@ -14,33 +14,72 @@ def _rows(n=400, seed=3):
     return [("hot" if rng.random() < 0.7 else rng.choice("abc"), i * 7, rng.choice([None, None, None, "x", "y"]), rng.randint(0, 1)) for i in range(n)]
 
 
-@pytest.mark.parametrize("width", [1, 50, 333, 10_000])
-def test_running_values_do_not_depend_on_blocks(spark, width):
-    rows = _rows()
-    df = spark.createDataFrame(rows, "k string, o bigint, v string, f int").repartition(7)
-    got = scale.in_blocks(df, ["k"], "o", fills={"fill": F.col("v")}, sums={"total": F.col("f")}, width=width)
-    got = {(r.k, r.o): (r.fill, r.total) for r in got.collect()}
+def _expected(rows):
     state, want = {}, {}
-    for k, o, v, f in sorted(rows, key=lambda r: r[1]):
+    for k, o, v, f in sorted(rows, key=lambda r: (r[1] is not None, r[1])):
         last, total = state.get(k, (None, 0))
         state[k] = (v if v is not None else last, total + f)
         want[(k, o)] = state[k]
-    assert got == want
+    return want
+
+
+@pytest.mark.parametrize("cut", [{"width": 1}, {"width": 333}, {"rows": 1}, {"rows": 37}, {"rows": 399}, {"rows": 10_000}])
+def test_running_values_do_not_depend_on_blocks(spark, cut):
+    rows = _rows() + [(None, i * 11, "z" if i % 9 == 0 else None, i % 2) for i in range(60)]
+    df = spark.createDataFrame(rows, "k string, o bigint, v string, f int").repartition(7)
+    got = scale.in_blocks(df, ["k"], "o", fills={"fill": F.col("v")}, sums={"total": F.col("f")}, mins={"least": F.col("v")}, **cut)
+    got = {(r.k, r.o): (r.fill, r.total) for r in got.collect()}
+    assert got == _expected(rows)
+
+
+def test_sparse_numbers_of_one_key_cross_ranges_in_few_rows(spark):
+    n = 100_000
+    df = spark.range(n).select(F.lit("one").alias("k"), (F.col("id") * 1_000_000 - 7).alias("o"), F.when(F.col("id") % 1_000 == 0, F.col("id")).alias("v"))
+    ranged = df.withColumn("_block", scale.range_of(df, "o", rows=1_000))
+    sizes = [r["count"] for r in ranged.groupBy("_block").count().collect()]
+    assert 50 <= len(sizes) <= 200 and max(sizes) <= 3_000
+    carried = scale.carry(ranged.withColumn("_v_f", F.col("v")), ["k"], "o", {"f": F.col("v")}, {}, {})
+    assert carried.count() == len(sizes)
+    out = scale.in_blocks(df, ["k"], "o", fills={"f": F.col("v")}, sums={"s": F.lit(1)}, rows=1_000)
+    assert out.where("f <> floor((o + 7) / 1000000 / 1000) * 1000 OR s <> (o + 7) / 1000000 + 1").count() == 0 and out.count() == n
+
+
+def test_ranges_follow_rows_not_values(spark):
+    # Half of the rows share a handful of values, the others are far apart.
+    df = spark.range(40_000).select(F.when(F.col("id") % 2 == 0, F.col("id") % 20).otherwise(F.col("id") ** 2 * 1_000).cast("bigint").alias("o"))
+    sizes = sorted(r["count"] for r in df.groupBy(scale.range_of(df, "o", rows=500)).count().collect())
+    assert sizes[-1] <= 20_500 and sizes[len(sizes) // 2] <= 1_500 and len(sizes) >= 30
+    assert scale.range_of(df.where("false"), "o") is None and scale.range_of(df, "o", rows=40_000) is None
 
 
 def test_rank_in_blocks(spark):
     df = spark.createDataFrame(_rows(), "k string, o bigint, v string, f int")
-    got = scale.rank_in_blocks(df, ["k"], "o", "n", width=100)
+    got = scale.rank_in_blocks(df, ["k"], "o", "n", rows=50)
     for key in ("hot", "a"):
         assert [r.n for r in got.where(F.col("k") == key).orderBy("o").collect()] == list(range(1, df.where(F.col("k") == key).count() + 1))
 
 
 def test_dense_index_is_dense_and_stable(spark):
     values = spark.createDataFrame([(f"v{i % 700}", i % 7 if i % 5 else None) for i in range(3000)], "a string, b int")
-    first = {(r.a, r.b): r.id for r in scale.dense_index(values, ["a", "b"], "id").collect()}
-    again = {(r.a, r.b): r.id for r in scale.dense_index(values.repartition(13), ["a", "b"], "id", digits=2).collect()}
-    assert sorted(first.values()) == list(range(len(first)))
-    assert first == again
+    n = values.distinct().count()
+    ids = lambda df, rows: {(r.a, r.b): r.id for r in scale.dense_index(df, ["a", "b"], "id", rows).collect()}
+    first = ids(values, n // 2 + 1)
+    assert sorted(first.values()) == list(range(n))
+    # Two buckets, two hundred, one.
+    assert first == ids(values.repartition(13), n // 200) == ids(values, 10 * n)
+    assert scale.dense_index(values.where("false"), ["a", "b"], "id").count() == 0
+
+
+def test_buckets_of_dense_ids_grow_in_number_not_in_size(spark):
+    for n in (4_000, 40_000):
+        sizes = scale.digest_buckets(spark.range(n), ["id"], 500).groupBy("_bucket").count()
+        assert sizes.agg(F.max("count")).first()[0] < 650
+
+
+def test_shifts_are_sums_before(spark):
+    counts = [(i, (i * 37) % 11) for i in range(0, 500, 3)]
+    got = {r.b: r.s for r in scale.shifts(spark.createDataFrame(counts, "b bigint, n bigint"), "b", "n", "s", group=16).collect()}
+    assert got == {b: sum(n for c, n in counts if c < b) for b, _ in counts}
 
 
 def test_null_keys_survive_spread_joins(spark):

@@ -113,21 +113,115 @@ def test_pages_round_trip(spark, tmp_path):
     assert {r.file_name for r in spark.read.text(str(tmp_path / "some")).select("file_name").distinct().collect()} == {"A.md", "D.md"}
 
 
-def test_upsert_versions_and_snapshots(spark, tmp_path):
-    path, schema = str(tmp_path / "resolutions"), "entity_key string, field string, chosen_value string, confirmed_at string"
+def test_changes_fold_and_snapshots(spark, tmp_path):
+    path, schema, keyed = str(tmp_path / "resolutions"), "entity_key string, field string, chosen_value string, confirmed_at string", (["entity_key", "field"], "chosen_value", "confirmed_at")
     rows = lambda *r: spark.createDataFrame(list(r), schema)
-    assert tables.read_latest(spark, path, schema).count() == 0
-    tables.upsert_table(spark, path, schema, rows(("A", "city", "Reno", "1"), ("A", "state", "", "1")), ["entity_key", "field"], "chosen_value", "confirmed_at")
+    assert tables.read_latest(spark, path, schema, *keyed).count() == 0
+    tables.write_changes(rows(("A", "city", "Reno", "1"), ("A", "state", "", "1"), ("A", "city", "Old", "0")), path, "a", *keyed)
+    tables.write_changes(rows(), path, "none", *keyed)
     second = rows(("A", "city", "Elko", "2"), ("B", "city", "Ely", "2"))
     for _ in range(2):  # repeating a batch changes nothing
-        tables.upsert_table(spark, path, schema, second, ["entity_key", "field"], "chosen_value", "confirmed_at")
-    assert {tuple(r) for r in tables.read_latest(spark, path, schema).collect()} == {("A", "city", "Elko", "2"), ("B", "city", "Ely", "2")}
+        tables.write_changes(second, path, "b", *keyed)
+    want = {("A", "city", "Elko", "2"), ("B", "city", "Ely", "2")}
+    assert {tuple(r) for r in tables.read_latest(spark, path, schema, *keyed).collect()} == want
+    tables.fold_changes(spark, path, str(tmp_path / "folded"), schema, *keyed)
+    assert {tuple(r) for r in tables.read_latest(spark, str(tmp_path / "folded"), schema, *keyed).collect()} == want
     snap = str(tmp_path / "snap")
     for label, n in (("2024q1", 3), ("2024q2", 5), ("2024q1", 4)):
         tables.write_snapshot(spark.range(n), snap, "quarter", label)
     assert {(r.quarter, r["count"]) for r in spark.read.parquet(snap).groupBy("quarter").count().collect()} == {("2024q1", 4), ("2024q2", 5)}
 
 
+def _scanned(df):
+    """Rows that the file scans of a plan put out."""
+    df.collect()
+    total, stack = 0, [df._jdf.queryExecution().executedPlan()]
+    while stack:
+        node = stack.pop()
+        name = node.getClass().getSimpleName()
+        if name == "AdaptiveSparkPlanExec":
+            stack.append(node.executedPlan())
+        elif name.endswith("QueryStageExec"):
+            stack.append(node.plan())
+        else:
+            if name == "FileSourceScanExec":
+                total += node.metrics().get("numOutputRows").get().value()
+            stack += [node.children().apply(i) for i in range(node.children().size())]
+    return total
+
+
+def test_a_difference_reads_changed_buckets_only(spark, tmp_path):
+    path, schema, n = str(tmp_path), "id string, v string", 200_000
+    base = spark.range(n).select(F.col("id").cast("string"), F.md5(F.col("id").cast("string")).alias("v"))
+    one = base.where("id <> '77'").unionByName(spark.createDataFrame([("new", "1")], schema))
+    for label, df in (("a", base), ("b", one), ("same", base.repartition(3).orderBy(F.desc("id"))), ("value", base.withColumn("v", F.when(F.col("id") == "9", "x").otherwise(F.col("v"))))):
+        tables.write_digested(df, path, label, ["id"])
+    new, gone = tables.snapshot_difference(spark, path, "a", "b", schema, "id")
+    assert [r.id for r in new.collect()] == ["new"] and [r.id for r in gone.collect()] == ["77"]
+    changed = tables.changed_buckets(spark, path, "a", "b")
+    assert 1 <= len(changed) <= 2 and len(tables.changed_buckets(spark, path, "a", "value")) == 1
+    # One row of 200,000 changed: the row groups around its bucket are read, a third of the rows at most.
+    [bucket] = tables.changed_buckets(spark, path, "a", "value")
+    assert 0 < _scanned(tables.read_buckets(spark, path, "a", schema, [bucket])) <= n // 3
+    assert tables.changed_buckets(spark, path, "a", "same") == []
+    assert [x.count() for x in tables.snapshot_difference(spark, path, "a", "same", schema, "id")] == [0, 0]
+
+
+def test_lookups_read_few_row_groups(spark, tmp_path):
+    n, path = 400_000, str(tmp_path / "t")
+    rows = spark.range(n).select(F.col("id"), (F.xxhash64("id") % 1_000_000_007).alias("other"), F.md5(F.col("id").cast("string")).alias("text"))
+    tables.write_clustered(rows, path, ["id"], indexed=["other"], group_bytes=1 << 18)
+    kept = spark.read.parquet(path)
+    [hit] = rows.where("id = 123456").collect()
+    by_key, by_other = kept.where(F.col("id") == 123_456), kept.where(F.col("other") == hit.other)
+    assert by_key.collect() == by_other.collect() == [hit]
+    # A tenth of the rows at most are read; without the filters of the row groups a lookup by the other key reads all.
+    assert _scanned(by_key) <= n // 10 and _scanned(by_other) <= n // 10
+    rows.repartitionByRange("id").write.parquet(str(tmp_path / "plain"))
+    assert _scanned(spark.read.parquet(str(tmp_path / "plain")).where(F.col("other") == hit.other)) == n
+
+
+def test_high_water_comes_from_footers(spark, tmp_path):
+    path = str(tmp_path / "history")
+    for day in (3, 9, 5):
+        tables.append_history(spark.createDataFrame([(day, f"2024-01-0{day} 10:00:00.000007"), (0, None)], "n int, at string").withColumn("at", F.to_timestamp("at")), path, "at")
+    top = tables.high_water_of(spark, path)
+    assert top.first()["cutoff"].isoformat() == "2024-01-09T10:00:00.000007"
+    plan = top._jdf.queryExecution().toString()
+    assert "PushedAggregation: [MAX(_micros)]" in plan
+
+
+def test_one_sheet_is_read_by_many_tasks(spark, tmp_path):
+    path = str(tmp_path / "book")
+    rows = spark.range(30_000).select("id", F.when(F.col("id") % 4 > 0, F.concat(F.lit("v & <"), "id")).alias("v"), F.lit("x").alias("w"), F.lit("z" * 500).alias("long"))
+    tables.write_sheet_xml(rows, path, ["id", "v", "w", "long"], ["id"])
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(2**20))
+    try:
+        raw = files.read_sheet_xml(spark, f"{path}/*")
+        # Splits start a megabyte apart at least; the rows of one file are worked on in several tasks.
+        tasks = raw.select("source_file", F.spark_partition_id().alias("t")).groupBy("source_file").agg(F.countDistinct("t").alias("n")).collect()
+        assert max(t.n for t in tasks) >= 2
+        pieces = spark.read.option("lineSep", "</Row>").text(f"{path}/*")
+        assert pieces.rdd.getNumPartitions() >= 8 and pieces.agg(F.max(F.length("value"))).first()[0] < 2_000
+        got = files.sheet_records(raw, ["w", "id", "v"]).orderBy("source_file", "row_no").collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert sorted((int(r.id), r.v, r.w) for r in got) == [(i, f"v & <{i}" if i % 4 else "", "x") for i in range(30_000)]
+    for file in {r.source_file for r in got}:
+        ids = [int(r.id) for r in got if r.source_file == file]
+        assert ids == sorted(ids)
+
+
+def test_empty_rows_count_and_sheets_end(spark, tmp_path):
+    (tmp_path / "a.xml").write_text('<Workbook xmlns:ss="u"><Worksheet ss:Name="a/>"><Table><Row/><Row ss:Height="1"><Cell/><Cell><Data>B</Data></Cell></Row><Row ss:x="/>" />\n<Row></Row>'
+                                    '<Row/></Table></Worksheet><Worksheet><Table><Row/><Row><Cell><Data>no</Data></Cell></Row></Table></Worksheet></Workbook>')
+    (tmp_path / "b.xml").write_text("<Workbook><Worksheet><Table></Table></Worksheet><Worksheet><Table><Row><Cell><Data>no</Data></Cell></Row></Table></Worksheet></Workbook>")
+    (tmp_path / "c.xml").write_text("")
+    rows = files.read_sheet_xml(spark, str(tmp_path)).select("source_file", "row_no", files.cell_texts(files.placed_cells("raw_cells")).alias("t")).orderBy("row_no").collect()
+    assert [r.t for r in rows] == [[], ["", "B"], [], [], []]
+
+
 def test_plain_writers(spark, tmp_path):
     df = spark.createDataFrame([("1", "x", 2020), ("2", "y", 2021)], "b string, a string, year int")
     tables.write_csv(df, str(tmp_path / "csv"), ["a", "b", "year"], partition_by=["year"])
