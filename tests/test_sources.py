@@ -195,8 +195,10 @@ def test_one_sheet_is_read_by_many_tasks(spark, tmp_path):
     path = str(tmp_path / "book")
     rows = spark.range(30_000).select("id", F.when(F.col("id") % 4 > 0, F.concat(F.lit("v & <"), "id")).alias("v"), F.lit("x").alias("w"), F.lit("z" * 500).alias("long"))
     tables.write_sheet_xml(rows, path, ["id", "v", "w", "long"], ["id"])
-    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
-    spark.conf.set("spark.sql.files.maxPartitionBytes", str(2**20))
+    held = {"spark.sql.files.maxPartitionBytes": 2**20, "spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    before = {k: spark.conf.get(k) for k in held}
+    for k, v in held.items():
+        spark.conf.set(k, v)
     try:
         raw = files.read_sheet_xml(spark, f"{path}/*")
         # Splits start a megabyte apart at least; the rows of one file are worked on in several tasks.
@@ -206,7 +208,8 @@ def test_one_sheet_is_read_by_many_tasks(spark, tmp_path):
         assert pieces.rdd.getNumPartitions() >= 8 and pieces.agg(F.max(F.length("value"))).first()[0] < 2_000
         got = files.sheet_records(raw, ["w", "id", "v"]).orderBy("source_file", "row_no").collect()
     finally:
-        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+        for k, v in before.items():
+            spark.conf.set(k, v)
     assert sorted((int(r.id), r.v, r.w) for r in got) == [(i, f"v & <{i}" if i % 4 else "", "x") for i in range(30_000)]
     for file in {r.source_file for r in got}:
         ids = [int(r.id) for r in got if r.source_file == file]
