@@ -75,6 +75,17 @@ def text_of(column: Column | str = "text") -> Column:
     return F.coalesce(F.col(column) if isinstance(column, str) else column, F.lit(""))
 
 
+def fresh(df: DataFrame, *names: str) -> list[str]:
+    """The names, each with underscores before it until no column of ``df`` has it; names ignore case."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name = f"_{name}"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 def map_batches(df: DataFrame, make: Callable[[], Callable[[dict[str, list]], dict[str, list] | None]], schema: str) -> DataFrame:
     """Apply Python to Arrow batches as lists by column name.
 

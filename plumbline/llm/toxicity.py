@@ -22,7 +22,7 @@ from pyspark.ml.regression import IsotonicRegression
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plumbline.llm.base import map_batches, query, table, text_of
+from plumbline.llm.base import fresh, map_batches, query, table, text_of
 from plumbline.session import reliable_checkpoint
 
 #: Bound on the labelled rows that are learned from, and on the lexicon.
@@ -108,7 +108,9 @@ def training_rows(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) ->
     one = known.groupBy("doc_id").agg(F.max("toxic").cast("double").alias("label"))
     # Written first: a limit right below a broadcast would gather every partition's rows on the driver.
     sample = reliable_checkpoint(one.orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows))
-    return docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id")
+    texts = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id")
+    # Rows that share an id are one document to learn from, so the bound holds whatever repeats.
+    return texts.groupBy("doc_id", "label").agg(F.min_by("text", F.xxhash64("text")).alias("text"))
 
 
 def learn_lexicon(train: DataFrame, size: int = LEXICON, support: int = SUPPORT, share: float = SHARE, ratio: float = RATIO) -> list[str]:
@@ -132,40 +134,41 @@ def learn_lexicon(train: DataFrame, size: int = LEXICON, support: int = SUPPORT,
     return [r["entry"] for r in best.select("entry").collect()]
 
 
-def score(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS, cutoff: float = CUTOFF) -> DataFrame:
-    """All columns of ``docs`` (doc_id, text) and the struct ``toxicity``: held_out, score, predicted.
+def score(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS, cutoff: float = CUTOFF, out: str = "toxicity") -> DataFrame:
+    """All columns of ``docs`` (doc_id, text) and the struct ``out``: held_out, score, predicted.
 
     Null texts are empty and scored like any other; equal rows get equal scores; an empty table
     stays empty. Where the training rows hold one label only, or one part of them does, every score is
-    the share of toxic rows (0 without labels).
+    the share of toxic rows (0 without labels). No column of ``docs`` may be named ``out``; any other names are free.
     """
     train = reliable_checkpoint(training_rows(docs, labels, train_rows))
     lexicon = learn_lexicon(train)
     text = text_of()
-    # Few rows in a fixed order: the fit is the same whatever the partitions were.
+    vectors, klass, raw, likely, margins, fitted = fresh(docs, "_tox_features", "_tox_class", "_tox_raw", "_tox_share", "_tox_margin", "_tox_score")
     part = F.pmod(F.xxhash64(F.lit(5), "doc_id"), F.lit(3)).alias("part")
-    sample = train.select("doc_id", part, "label", text.alias("text")).orderBy(F.xxhash64("doc_id"), "text").limit(train_rows)
-    sample = reliable_checkpoint(sample.select("part", "label", features("text", lexicon).alias("values")))
+    sample = reliable_checkpoint(train.select(F.xxhash64("doc_id").alias("digest"), part, "label", features(text, lexicon).alias("values")))
+    # At most ``train_rows`` rows of numbers, in a fixed order: the fit is the same whatever the partitions were.
+    sample = reliable_checkpoint(sample.coalesce(1).sortWithinPartitions("digest", "values").drop("digest"))
     counts = {(r["first"], r["label"]): r["n"] for r in sample.groupBy((F.col("part") == 0).alias("first"), "label").agg(F.count("*").alias("n")).collect()}
     if set(counts) != {(p, y) for p in (True, False) for y in (0.0, 1.0)}:
         share = sum(n for (_, y), n in counts.items() if y == 1.0) / max(1, sum(counts.values()))
-        scored = docs.withColumn("_tox_score", F.lit(float(share)))
+        scored = docs.withColumn(fitted, F.lit(float(share)))
     else:
-        vector = lambda df, values: df.withColumn("_tox_features", array_to_vector(values))
-        margin = vector_to_array("_tox_raw")[1]
+        vector = lambda df, values: df.withColumn(vectors, array_to_vector(values))
+        margin = vector_to_array(raw)[1]
         ready = vector(sample, "values")
-        names = {"featuresCol": "_tox_features", "predictionCol": "_tox_class", "rawPredictionCol": "_tox_raw", "probabilityCol": "_tox_share"}
+        names = {"featuresCol": vectors, "predictionCol": klass, "rawPredictionCol": raw, "probabilityCol": likely}
         boosting = GBTClassifier(labelCol="label", maxIter=TREES, maxDepth=DEPTH, stepSize=0.2, seed=7)
         for name, column in names.items():
             boosting.set(boosting.getParam(name), column)
         trees = boosting.fit(ready.where("part <> 0"))
-        calibration = trees.transform(ready.where("part = 0")).select(margin.alias("_tox_margin"), "label")
-        isotonic = IsotonicRegression(featuresCol="_tox_margin", labelCol="label", predictionCol="_tox_score").fit(calibration)
-        judged = trees.transform(vector(docs, features(text, lexicon))).withColumn("_tox_margin", margin)
+        calibration = trees.transform(ready.where("part = 0")).select(margin.alias(margins), "label")
+        isotonic = IsotonicRegression(featuresCol=margins, labelCol="label", predictionCol=fitted).fit(calibration)
+        judged = trees.transform(vector(docs, features(text, lexicon))).withColumn(margins, margin)
         scored = isotonic.transform(judged)
-    clipped = F.greatest(F.lit(0.0), F.least(F.lit(1.0), F.col("_tox_score")))
+    clipped = F.greatest(F.lit(0.0), F.least(F.lit(1.0), F.col(fitted)))
     verdict = F.struct(held_out().alias("held_out"), clipped.alias("score"), (clipped >= cutoff).cast("int").alias("predicted"))
-    return scored.select(*[F.col(f"`{c}`") for c in docs.columns if c != "toxicity"], verdict.alias("toxicity"))
+    return scored.select(*[F.col(f"`{c}`") for c in docs.columns], verdict.alias(out))
 
 
 @query("op5_boosted_toxicity")
