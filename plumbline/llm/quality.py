@@ -17,7 +17,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plumbline.llm.base import query, table, text_of
+from plumbline.llm.base import fresh, query, table, text_of
 from plumbline.session import reliable_checkpoint
 
 BUCKETS = 1 << 14
@@ -111,8 +111,10 @@ def fit(docs: DataFrame, labels: DataFrame, buckets: int = BUCKETS, prior: float
 
 
 def rate(docs: DataFrame, labels: DataFrame, buckets: int = BUCKETS, prior: float = PRIOR,
-         threshold: float = THRESHOLD) -> DataFrame:
-    """All columns of ``docs`` and the struct ``quality_rules``: the base measures, base_failed, score, kept.
+         threshold: float = THRESHOLD, out: str = "quality_rules") -> DataFrame:
+    """All columns of ``docs`` and the struct ``out``: the base measures, base_failed, kept, score.
+
+    No column of ``docs`` may be named ``out``; any other names are free.
 
     A null or empty text has no words and fails the base rules. Without labels every score is 0. A
     text without n-grams scores 0. Equal rows are rated alike; an empty table stays empty.
@@ -123,16 +125,17 @@ def rate(docs: DataFrame, labels: DataFrame, buckets: int = BUCKETS, prior: floa
     every = spark.range(0, buckets, 1, 1).withColumnRenamed("id", "bucket").join(model, "bucket", "left")
     ratios = every.agg(F.transform(F.array_sort(F.collect_list(F.struct("bucket", F.coalesce("ratio", F.lit(0.0)).alias("ratio")))), lambda x: x["ratio"]).alias("ratios")).scalar()
     text = text_of()
+    values, base, rated = fresh(docs, "_ratios", "_base", "_score")
 
     def mean(g: Column) -> Column:
-        total = F.aggregate(g, F.lit(0.0), lambda s, x: s + F.get(F.col("_ratios"), x))
+        total = F.aggregate(g, F.lit(0.0), lambda s, x: s + F.get(F.col(values), x))
         return F.when(F.size(g) == 0, F.lit(0.0)).otherwise(total / F.size(g))
 
-    measured = docs.withColumn("_ratios", ratios).withColumn("_base", base_measures(text)).withColumn("_score", let(gram_buckets(text, buckets), mean))
-    failed = (F.col("_base.n_words") < 50) | (100 * F.col("_base.n_repeat_words") > 50 * F.col("_base.n_words"))
-    parts = [F.col(f"_base.{c}").alias(c) for c in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")]
-    rules = F.struct(*parts, failed.alias("base_failed"), F.col("_score").alias("score"), (~failed & (F.col("_score") >= threshold)).alias("kept"))
-    return measured.withColumn("quality_rules", rules).drop("_ratios", "_base", "_score")
+    measured = docs.withColumn(values, ratios).withColumn(base, base_measures(text)).withColumn(rated, let(gram_buckets(text, buckets), mean))
+    failed = (F.col(f"{base}.n_words") < 50) | (100 * F.col(f"{base}.n_repeat_words") > 50 * F.col(f"{base}.n_words"))
+    parts = [F.col(f"{base}.{c}").alias(c) for c in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")]
+    rules = F.struct(*parts, failed.alias("base_failed"), (~failed & (F.col(rated) >= threshold)).alias("kept"), F.col(rated).alias("score"))
+    return measured.withColumn(out, rules).drop(values, base, rated)
 
 
 @query("op2_ngram_ratio_rules")
