@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from plumbline.llm.base import QUERIES, settle, table
+from plumbline.llm.base import QUERIES, fresh, settle, table
 from plumbline.llm.near_copies import near_copies
 from plumbline.llm.packing import pack
 from plumbline.llm.quality import rate
@@ -24,15 +24,17 @@ SHINGLE_WORDS, PERCENT = 5, 80
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules keep; those without a text go."""
     settle(spark)
-    rated = rate(docs.drop("quality_rules"), table(spark, sf_dir, "labels"))
-    return rated.where("quality_rules.kept").select(*[f"`{c}`" for c in docs.columns])
+    [verdict] = fresh(docs, "quality_rules")
+    rated = rate(docs, table(spark, sf_dir, "labels"), out=verdict)
+    return rated.where(f"{verdict}.kept").select(*[f"`{c}`" for c in docs.columns])
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents not predicted to be toxic."""
     settle(spark)
-    judged = score(docs.drop("toxicity"), table(spark, sf_dir, "labels"))
-    return judged.where("toxicity.predicted = 0").select(*[f"`{c}`" for c in docs.columns])
+    [verdict] = fresh(docs, "toxicity")
+    judged = score(docs, table(spark, sf_dir, "labels"), out=verdict)
+    return judged.where(f"{verdict}.predicted = 0").select(*[f"`{c}`" for c in docs.columns])
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -42,16 +44,16 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     one stays. Documents without words are no copies of each other.
     """
     settle(spark)
-    row = F.xxhash64("doc_id", F.col("doc_id").isNull(), "text", F.col("text").isNull())
-    keyed = docs.withColumn("_row", row)
-    groups = near_copies(keyed.select(F.col("_row").alias("doc_id"), "text"), SHINGLE_WORDS, PERCENT)
-    ids = reliable_checkpoint(keyed.select("_row", "doc_id"))
-    first = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_row")
-    members = ids.join(groups.select(F.col("doc_id").alias("_row"), "component_id").distinct(), "_row")
-    winners = members.groupBy("component_id").agg(F.min(first).alias("first")).select("first._row")
-    kept = keyed.join(winners, "_row", "left_semi")
-    one = F.row_number().over(Window.partitionBy("_row").orderBy(F.lit(1)))
-    return kept.withColumn("_copy", one).where("_copy = 1").select(*[f"`{c}`" for c in docs.columns])
+    row, copy = fresh(docs, "_row", "_copy")
+    keyed = docs.withColumn(row, F.xxhash64("doc_id", F.col("doc_id").isNull(), "text", F.col("text").isNull()))
+    groups = near_copies(keyed.select(F.col(row).alias("doc_id"), "text"), SHINGLE_WORDS, PERCENT)
+    ids = reliable_checkpoint(keyed.select(F.col(row).alias("row"), "doc_id"))
+    first = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row")
+    members = ids.join(groups.select(F.col("doc_id").alias("row"), "component_id").distinct(), "row")
+    winners = members.groupBy("component_id").agg(F.min(first).alias("first")).select(F.col("first.row").alias(row))
+    kept = keyed.join(winners, row, "left_semi")
+    one = F.row_number().over(Window.partitionBy(row).orderBy(F.lit(1)))
+    return kept.withColumn(copy, one).where(F.col(copy) == 1).select(*[f"`{c}`" for c in docs.columns])
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
