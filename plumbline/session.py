@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import atexit
+import contextlib
 import shutil
 import tempfile
+import time
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -61,12 +63,45 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return folder
 
 
+_RUNS: dict[str, str] = {}
+
+
+def _remove(spark: SparkSession, folder: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def _run_folder(spark: SparkSession) -> str:
+    """The folder of this application's kept tables, removed when its driver ends."""
+    app = spark.sparkContext.applicationId
+    if app not in _RUNS:
+        _RUNS[app] = f"{checkpoint_dir(spark)}/kept-{app}-{uuid.uuid4().hex}"
+
+        def clean() -> None:
+            with contextlib.suppress(Exception):  # the gateway may be gone
+                _remove(spark, _RUNS[app])
+
+        atexit.register(clean)
+    return _RUNS[app]
+
+
+def sweep_kept(spark: SparkSession, hours: float) -> int:
+    """Remove what drivers that were killed have left in the shared folder: kept tables not written to for ``hours``."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{checkpoint_dir(spark)}/kept-*")
+    own = _RUNS.get(spark.sparkContext.applicationId, "").rpartition("/")[2]
+    found = path.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(path) or []
+    old = [s for s in found if s.getModificationTime() < (time.time() - hours * 3600) * 1000 and s.getPath().getName() != own]
+    for status in old:
+        _remove(spark, status.getPath().toString())
+    return len(old)
+
+
 def reliable_checkpoint(df: DataFrame) -> DataFrame:
     """Cut lineage through a table in the shared folder, so a lost executor costs no recomputation.
 
     A table rather than ``checkpoint()``: it keeps its columns and its size, so later joins can
-    still prune columns and pick a side to broadcast.
+    still prune columns and pick a side to broadcast. It lasts as long as the driver.
     """
-    folder = f"{checkpoint_dir(df.sparkSession)}/kept-{uuid.uuid4().hex}"
+    folder = f"{_run_folder(df.sparkSession)}/{uuid.uuid4().hex}"
     df.write.parquet(folder)
     return df.sparkSession.read.schema(df.schema).parquet(folder)

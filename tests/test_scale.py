@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from plumbline.operators import ledger, scale
+from plumbline.session import checkpoint_dir, reliable_checkpoint, sweep_kept
 
 
 def _rows(n=400, seed=3):
@@ -125,3 +126,11 @@ def test_spread_joins_keep_the_salt_among_the_join_keys(spark):
             assert joined.where(F.col("k").isNull()).count() == 100
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_kept_tables_of_dead_drivers_are_swept(spark, tmp_path):
+    folder = checkpoint_dir(spark)
+    kept = reliable_checkpoint(spark.range(5))
+    spark.range(3).write.parquet(f"{folder}/kept-dead-1/x")
+    assert sweep_kept(spark, 1) == 0
+    assert sweep_kept(spark, -1) == 1 and kept.count() == 5
