@@ -63,41 +63,73 @@ def names_either_way(left: DataFrame, right: DataFrame) -> DataFrame:
 
 # ---------------------------------------------------------------- near-equal texts
 
-def _segments(length: Column, k: Column) -> Column:
-    """Even cut of a text into k + 1 pieces: array of (piece number, start from 0, length)."""
-    parts = k + 1
-    at = lambda i: F.floor(i * length / parts).cast("int")
-    return F.transform(F.sequence(F.lit(0), k), lambda i: F.struct(i.alias("i"), at(i).alias("start"), (at(i + 1) - at(i)).alias("len")))
+_PAD = "\u0001"
+
+
+def _tokens(text: Column, q: int) -> Column:
+    """The q-letter pieces of a text, padded at both ends, each with the number of its occurrence: a multiset as a set."""
+    padded = F.concat(F.lit(_PAD * (q - 1)), text, F.lit(_PAD * (q - 1)))
+    grams = F.transform(F.sequence(F.lit(1), F.length(text) + (q - 1)), lambda i: F.substring(padded, i, F.lit(q)))
+    once = lambda g: F.transform(g, lambda x, i: F.concat(x, F.lit(_PAD), F.size(F.filter(F.slice(g, F.lit(1), i + 1), lambda y: y == x))))
+    return F.transform(F.array(grams), once)[0]
+
+
+def _shared(n: Column, m: Column, edits: Column, q: int) -> Column:
+    """Tokens that two texts of these lengths share at least: an edit touches ``q`` of them."""
+    return (F.greatest(n, m) + (q - 1) - edits * q).cast("int")
+
+
+def prefix_keys(texts: DataFrame, text: str, group: list[str], lengths, max_edits, frequency: DataFrame) -> DataFrame:
+    """(group, text, q, n, place, token): the rarest tokens of every text, as many as a partner has to share one of.
+
+    Of two texts that share T of their n and m tokens, the rarest n - T + 1 and m - T + 1 share one. Pieces of
+    two letters serve pairs of lengths that have to share one, single letters the others.
+    """
+    low, high = lengths(F.col("_n"))
+    sized = texts.withColumn("_n", F.length(text)).where(F.col("_n") > 0)
+    partners = F.sequence(F.greatest(low, F.lit(1)).cast("int"), high.cast("int"))
+    two = lambda m: _shared(F.col("_n"), m, max_edits(F.col("_n"), m), 2)
+    one = lambda m: _shared(F.col("_n"), m, max_edits(F.col("_n"), m), 1)
+    least = {2: F.array_min(F.filter(F.transform(partners, two), lambda t: t >= 1)), 1: F.array_min(F.transform(F.filter(partners, lambda m: two(m) < 1), one))}
+    kinds = F.array(*[F.when(least[q].isNotNull(), F.struct(F.lit(q).alias("q"), least[q].alias("need"), _tokens(F.col(text), q).alias("tokens"))) for q in (2, 1)])
+    rows = sized.select(*group, text, F.inline(F.array_compact(kinds)))
+    # A text that need share nothing with some partner meets all such texts in a token that no text has.
+    rows = rows.withColumn("tokens", F.when(F.col("need") < 1, F.concat("tokens", F.array(F.lit("")))).otherwise(F.col("tokens")))
+    each = rows.select(*group, text, "q", "need", F.size("tokens").alias("n"), F.explode("tokens").alias("token"))
+    ranked = each.join(frequency, ["q", "token"], "left").groupBy(*group, text, "q", "need", "n").agg(F.array_sort(F.collect_list(F.struct(F.coalesce("count", F.lit(0)).alias("c"), "token"))).alias("t"))
+    kept = F.slice("t", F.lit(1), F.greatest(F.lit(0), F.least(F.col("n"), F.col("n") - F.col("need") + 1)))
+    return ranked.select(*group, text, "q", "n", F.posexplode(kept).alias("place", "t")).select(*group, text, "q", "n", "place", F.col("t.token").alias("token"))
+
+
+def token_frequency(texts: list[tuple[DataFrame, str]]) -> DataFrame:
+    """(q, token, count) over all texts; any one order of tokens will do, the rarest first makes the fewest candidates."""
+    parts = [df.where(F.length(c) > 0).select(F.lit(q).alias("q"), F.explode(_tokens(F.col(c), q)).alias("token")) for df, c in texts for q in (2, 1)]
+    return reduce(lambda a, b: a.unionByName(b), parts).groupBy("q", "token").agg(F.count("*").alias("count"))
 
 
 def near_pairs(left: DataFrame, right: DataFrame, group: list[str], lengths: Callable[[Column], tuple[Column, Column]],
                max_edits: Callable[[Column, Column], Column]) -> DataFrame:
     """Candidate pairs (left_text, right_text) within an edit bound, none missed.
 
-    The right text is cut into one piece more than the allowed edits; at least one piece then
-    survives unchanged in the left text, shifted by no more than the edits. So candidates come from
-    an equi-join on (group, lengths, piece), and its cost follows shared pieces, not group size.
-    ``lengths`` gives the partner lengths worth trying, ``max_edits`` the edits for two lengths.
+    Candidates share one of their rarest pieces, at places in the order of rarity that leave enough pieces
+    for what the pair has to share; those that stay must share that many pieces, counted with repeats. All of
+    it is built-in functions. ``lengths`` gives the partner lengths worth trying, ``max_edits`` the edits for two
+    lengths, an edit being one letter put in, left out or replaced.
     """
-    a = spread(left.select(*group, "left_text").distinct()).withColumn("la", F.length("left_text"))
-    b = spread(right.select(*group, "right_text").distinct()).withColumn("lb", F.length("right_text"))
-
-    def span(n):
-        low, high = lengths(F.col(n))
-        return F.explode(F.sequence(F.greatest(low, F.lit(1)).cast("int"), high.cast("int")))
-
-    b_keys = b.withColumn("la", span("lb")).withColumn("k", max_edits(F.col("la"), F.col("lb")).cast("int"))
-    b_keys = b_keys.withColumn("s", F.explode(_segments(F.col("lb"), F.col("k"))))
-    b_keys = b_keys.select(*group, "right_text", "la", "lb", F.col("s.i").alias("i"),
-                           F.substring("right_text", F.col("s.start") + 1, F.col("s.len")).alias("piece"))
-    a_keys = a.withColumn("lb", span("la")).withColumn("k", max_edits(F.col("la"), F.col("lb")).cast("int"))
-    a_keys = a_keys.withColumn("s", F.explode(_segments(F.col("lb"), F.col("k"))))
-    low = F.greatest(F.lit(0), F.col("s.start") - F.col("k"))
-    high = F.least(F.col("la") - F.col("s.len"), F.col("s.start") + F.col("k"))
-    starts = F.when(low <= high, F.sequence(low, high)).otherwise(F.array().cast("array<int>"))
-    pieces = F.array_distinct(F.transform(starts, lambda p: F.substring("left_text", p + 1, F.col("s.len"))))
-    a_keys = a_keys.select(*group, "left_text", "la", "lb", F.col("s.i").alias("i"), F.explode(pieces).alias("piece"))
-    return a_keys.join(b_keys, [*group, "la", "lb", "i", "piece"]).select(*group, "left_text", "right_text").distinct()
+    a, b = spread(left.select(*group, "left_text").distinct()), spread(right.select(*group, "right_text").distinct())
+    frequency = reliable_checkpoint(token_frequency([(a, "left_text"), (b, "right_text")]))
+    a_keys = prefix_keys(a, "left_text", group, lengths, max_edits, frequency).withColumnsRenamed({"n": "n_a", "place": "at_a"})
+    b_keys = prefix_keys(b, "right_text", group, lengths, max_edits, frequency).withColumnsRenamed({"n": "n_b", "place": "at_b"})
+    la, lb = F.length("left_text"), F.length("right_text")
+    need = {q: _shared(la, lb, max_edits(la, lb), q) for q in (1, 2)}
+    low, high = lengths(la)
+    fits = (lb >= low) & (lb <= high) & (F.when(need[2] >= 1, 2).otherwise(1) == F.col("q"))
+    wanted = F.when(F.col("q") == 2, need[2]).otherwise(need[1])
+    met = a_keys.join(b_keys, [*group, "q", "token"]).where(fits & (F.least(F.col("n_a") - F.col("at_a"), F.col("n_b") - F.col("at_b")) >= wanted))
+    pairs = met.select(*group, "left_text", "right_text", "q").distinct()
+    both = lambda q: F.size(F.array_intersect(_tokens(F.col("left_text"), q), _tokens(F.col("right_text"), q)))
+    enough = F.when(F.col("q") == 2, both(2) >= need[2]).otherwise(both(1) >= need[1])
+    return pairs.where(enough).drop("q")
 
 
 def sequence_ratio():

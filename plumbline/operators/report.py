@@ -12,6 +12,7 @@ from plumbline.functions.classify import document_depth
 from plumbline.functions.clean import blank_to_null, is_blank, is_county
 from plumbline.session import reliable_checkpoint
 
+from . import resolve
 from .ledger import only_in
 from .resolve import settle
 from .scale import first_per_key, join_spreading_nulls, share
@@ -73,12 +74,10 @@ def completeness(bom: DataFrame, shipped: DataFrame, job: str, structure: str, d
 
 # ---------------------------------------------------------------- provenance and review
 
-def provenance(registry: DataFrame, winners: DataFrame) -> DataFrame:
-    """Sources and conflicts per entity."""
-    conflicts = winners.groupBy("entity_key").agg(F.count_if(F.col("status") == "CONFLICT").alias("conflicts"))
-    n_sources = F.when(F.col("sources") == "", 0).otherwise(F.size(F.split("sources", ",")))
-    return registry.join(conflicts, "entity_key", "left").withColumns({
-        "n_sources": n_sources, "conflicts": F.coalesce("conflicts", F.lit(0).cast("bigint"))})
+def provenance(winners: DataFrame) -> DataFrame:
+    """Sources and conflicts per entity, from the winners of ``vote_with_sources`` alone."""
+    found = winners.groupBy("entity_key").agg(resolve.sources_of().alias("sources"), F.count_if(F.col("status") == "CONFLICT").alias("conflicts"))
+    return found.withColumn("n_sources", F.when(F.col("sources") == "", 0).otherwise(F.size(F.split("sources", ","))))
 
 
 def observed_values(observations: DataFrame) -> DataFrame:
@@ -177,17 +176,28 @@ def corrections_log(confirmed: DataFrame, winners: DataFrame) -> DataFrame:
     return confirmed.join(old, ["entity_key", "field"], "left").withColumnRenamed("chosen_value", "new_value")
 
 
-def apply_corrections(review: DataFrame, value: str, resolutions: DataFrame, winners: DataFrame, stamp: Column, top_source: dict[str, str]) -> dict[str, DataFrame]:
-    """A filled-in review list taken over in one step.
+def apply_corrections(review: DataFrame, value: str, resolutions: DataFrame, winners: DataFrame, stamp: Column, top_source: dict[str, str],
+                      extras: DataFrame, pieces: DataFrame, fields: list[str], review_fields: list[str]) -> dict[str, DataFrame]:
+    """A filled-in review list taken over in one step, and everything that stands on it built again.
 
-    Confirmations are upserted into ``resolutions`` (entity_key, field, chosen_value, stamp) and kept, the
-    log holds each new value with the one it replaces, and ``settled`` are the values that registry,
-    ledger and reports are built from again.
+    Confirmations are upserted into ``resolutions`` (entity_key, field, chosen_value, stamp) and kept; the
+    log holds each new value with the one it replaces. From the kept resolutions follow the settled values,
+    the registry (``extras`` by entity_key), the ledger - ``pieces`` (entity_key, ...) with their entity's settled
+    values - and the reports: what is still open of each review field, and how many rows each list has.
+    ``winners`` are those of ``vote_with_sources``.
     """
     given = confirmations(review, value)
     kept = reliable_checkpoint(upsert(resolutions, given.withColumn("stamp", stamp), ["entity_key", "field"], "chosen_value", "stamp"))
-    return {"resolutions": kept, "log": corrections_log(given, settle(winners, resolutions, top_source).drop("winner").withColumnRenamed("value", "winner")),
-            "settled": settle(winners, kept, top_source)}
+    before = settle(winners, resolutions, top_source)
+    settled = reliable_checkpoint(settle(winners, kept, top_source))
+    registry = reliable_checkpoint(resolve.registry(winners, extras, kept, fields, top_source, review_fields))
+    ledger = pieces.join(registry.select("entity_key", *fields, "needs_review"), "entity_key", "left")
+    unsettled = settled.where(F.col("status").isin("CONFLICT", "GAP") & F.col("field").isin(review_fields))
+    return {
+        "resolutions": kept, "settled": settled, "registry": registry, "ledger": ledger, "open": unsettled,
+        "log": corrections_log(given, before.drop("winner").withColumnRenamed("value", "winner")),
+        "index": status_counts(settled, fields, "CONFLICT"),
+    }
 
 
 def auto_filled_types(pieces: DataFrame, part_type: str, cls: str = "structure_class") -> DataFrame:

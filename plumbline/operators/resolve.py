@@ -130,7 +130,12 @@ def trust_report(trust: DataFrame) -> DataFrame:
 # ---------------------------------------------------------------- vote
 
 def vote(observations: DataFrame) -> DataFrame:
-    """One row per (entity, field) with the winning value and AGREE or CONFLICT.
+    """One row per (entity, field) with the winning value and AGREE or CONFLICT."""
+    return vote_with_sources(observations).drop("field_sources")
+
+
+def vote_with_sources(observations: DataFrame) -> DataFrame:
+    """R06 with ``field_sources``, all that say anything about the field, so that nothing has to read the observations again.
 
     Two partial aggregations and no window: trust adds up exactly as a decimal, the winner is the
     smallest (-trust, -pieces, value), so ties fall the same way on every run.
@@ -142,16 +147,23 @@ def vote(observations: DataFrame) -> DataFrame:
     )
     best = F.min(F.struct((-F.col("trust_sum")).alias("t"), (-F.col("pieces")).alias("p"), F.col("value_norm").alias("v"), F.col("srcs").alias("s")))
     return (
-        per_value.groupBy("entity_key", "field").agg(best.alias("b"), F.count("*").alias("n_values"))
+        # Values differ without bound, the sets of sources behind them do not: sources are named systems.
+        per_value.groupBy("entity_key", "field").agg(best.alias("b"), F.count("*").alias("n_values"), F.collect_set("srcs").alias("sets"))
         .select(
             "entity_key", "field",
             F.when(F.col("n_values") > 1, "CONFLICT").otherwise("AGREE").alias("status"),
             F.col("b.v").alias("winner"), F.col("b.s").alias("winner_sources"),
             (-F.col("b.t")).cast("double").alias("winner_trust"), "n_values",
+            F.array_distinct(F.flatten(F.transform("sets", lambda s: F.split(s, ",")))).alias("field_sources"),
         )
     )
 
 
+def sources_of(field_sources: str = "field_sources") -> Column:
+    """Aggregate over the fields of an entity: the distinct sources that say anything about it."""
+    return F.array_join(F.array_sort(F.array_distinct(F.flatten(F.collect_list(field_sources)))), ",")
+
+
 def best_per_source(observations: DataFrame) -> DataFrame:
     """The best value of every source of every (entity, field)."""
     order = [F.desc("trust"), F.desc("n_pieces"), F.asc("value_norm")]
@@ -183,19 +195,21 @@ def entity_sources(observations: DataFrame) -> DataFrame:
     return observations.groupBy("entity_key").agg(joined_set("source").alias("sources"))
 
 
-def registry(winners: DataFrame, extras: DataFrame, confirmed: DataFrame, sources: DataFrame, fields: list[str],
+def registry(winners: DataFrame, extras: DataFrame, confirmed: DataFrame, fields: list[str],
              top_source: dict[str, str], review_fields: list[str], code_pattern: str = "[A-Z]{2,4}") -> DataFrame:
-    """One row per entity - winners pivoted, supplements joined, statuses settled.
+    """One row per entity - winners pivoted with their sources, supplements joined, statuses settled.
 
-    ``extras`` is keyed by ``entity_key``; an entity stays when its key looks right or extras know it.
+    ``winners`` are those of ``vote_with_sources``. ``extras`` is keyed by ``entity_key``; an entity stays when
+    its key looks right or extras know it.
     """
     settled = settle(winners, confirmed, top_source)
     wide = settled.groupBy("entity_key").agg(
+        sources_of().alias("sources"),
         *[F.max(F.when(F.col("field") == f, F.col("value"))).alias(f) for f in fields],
         *[F.max(F.when(F.col("field") == f, F.col("status"))).alias(f"{f}_status") for f in fields],
     )
     known = extras.withColumn("_known", F.lit(True))
-    joined = wide.join(known, "entity_key", "full").join(sources, "entity_key", "left")
+    joined = wide.join(known, "entity_key", "full")
     joined = joined.where(F.col("entity_key").rlike(f"^(?:{code_pattern})$") | F.col("_known"))
     statuses = {f"{f}_status": F.coalesce(f"{f}_status", F.lit("GAP")) for f in fields}
     joined = joined.withColumns(statuses)

@@ -96,6 +96,62 @@ def _(spark, sf):
     return partname.decode_parts(numbers, "part_number").select("p_partkey", "part_number", *_MORE.values(), "pn_height", "gen4_name")
 
 
+# Names of the three older generations, a family for every rule: the number, then what it says. ``f`` are whole feet of height.
+_F, _DF = "CAST(CAST(CAST(h AS INT) / 12 AS INT) AS VARCHAR)", "CAST(CAST(CAST(d AS INT) / 12 AS INT) AS VARCHAR)"
+_TALL = f"CAST(CAST({_F} AS INT) * 12 + 6 AS VARCHAR)"
+_EVEN = f"CAST(CAST({_F} AS INT) * 12 AS VARCHAR)"
+
+
+def _second(suffix: str, pt: str = "", opening: bool = False, **more: str) -> dict:
+    return dict(num=f"'7' || {FEET} || h || '-{suffix}'", gen="Gen2", pt=pt, **{"dia": "d", "od" if opening else "ht": "h", **more})
+
+
+def _third(letter: str, tail: str, pt: str, opening: bool = False, **more: str) -> dict:
+    return dict(num=f"'{letter}' || {FEET} || h || '-{tail}'", gen="Gen3", pt=pt, **{"dia": "d", "od" if opening else "ht": "h", **more})
+
+
+def _first(rest: str, pt: str = "", **more: str) -> dict:
+    return dict(num=f"d || {rest}", gen="Gen1", pt=pt, **{"dia": "d", **more})
+
+
+OLD_FAMILIES = [
+    _second("GR", "MHGR", dia=_DF), _second("S12C", "MHS"), _second("SNB", "MHS", sec="'NB'"), _second("RS12C", "RMH"), _second("RS2", "RMH"), _second("S4", "RMH"),
+    _second("S", "MHS"), _second("SR", "RMH"), _second("RS", "RMH"), _second("RL", "RMHL", True), _second("RC", "RMHC", True), _second("RCL", "RMHLC", True),
+    _second("C", "MHC", True), _second("CC", "MHCC", True), _second("CL", "MHLC", True), _second("CLH", "MHLC", True, lid="'HATCH'"), _second("L", "MHL", True),
+    _second("HL", "MHL", True, lid="'HATCH'"), _second("LH", "MHL", True, lid="'HATCH'"), _second("HLVP", "MHL", True, lid="'HATCH'"), _second("TL", "MHTL", True),
+    _second("B", "MHB"), _second("B1", "MHB", tr="'.1'"), _second("B50", "MHB", tr="'.5'"), _second("B75", "MHB", tr="'.75'"), _second("B75ES", "MHB", tr="'.75'", es="'Yes'"),
+    _second("B100", "MHB", tr="'.1'"), _second("B100ES", "MHB", tr="'.1'", es="'Yes'"), _second("B116", "MHB", tr="'1.16'"), _second("B133", "MHB", tr="'.133'"),
+    _second("BFF", "MHB", tr="'FF'"), _second("BFFES", "MHB", tr="'FF'", es="'Yes'"), _second("KBXS", "BOXS"), _second("BXS", "BOXS"), _second("BXSFF", "BOXS", tr="'Flat Floor'"),
+    _second("TR", "MHB", tr="'TR'"), _second("XYZ"),
+    _third("A", "5", "MHGR", ht="''"), _third("B", "1", "MHB"), _third("T", "2", "MHB"), _third("M", "3", "MHB"), _third("V", "4", "MHB"), _third("S", "2000", "RMH"), _third("S", "2221", "RMH"),
+    _third("S", "1051", "MHS", sec="'NB'"), _third("S", "7", "MHS"), _third("P", "7", "MHS"), _third("Q", "7", "MHS"), _third("N", "1", "MHL"),
+    _third("C", "001", "MHCC", True), _third("C", "100", "RMHC", True), _third("C", "101", "RMHC", True), _third("C", "9", "MHC", True), _third("L", "00100", "RMHL", True),
+    _third("L", "01000", "MHL", True, lid="'HATCH'"), _third("L", "02020", "MHLC", True), _third("L", "02100", "RMHLC", True), _third("L", "20050", "MHL", True, lid="'CAST'"),
+    _third("L", "22222", "MHLC", True, lid="'CAST'"), _third("L", "9", "MHL", True),
+    dict(num="'27RL'", gen="Gen1", pt="RMHL", dia="'48'", od="'27'"), dict(num="'30TL'", gen="Gen1", pt="MHTL", dia="'48'", od="'30'"), dict(num="'5GR' || h || '4'", gen="Gen1", pt="MHGR", dia="h", ht="'4'"),
+    _first(f"{_F} || '1.33'", "MHB", ht=_EVEN, tr="'.133'"), _first(f"{_F} || '-6BFF'", "MHB", ht=_TALL, tr="'FF'"), _first(f"{_F} || '-6BP1.33'", "MHB", ht=_TALL, tr="'.133'"),
+    _first(f"{_F} || '-6B'", "MHB", ht=_TALL), _first(f"{_F} || '-6SNB'", "MHS", ht=_TALL, sec="'NB'"), _first(f"{_F} || '-6S'", "MHS", ht=_TALL), _first(f"{_F} || '-6X'", ht=_TALL),
+    _first(f"{_F} || 'BFF'", "MHB", ht=_EVEN, tr="'FF'"), _first(f"{_F} || 'B'", "MHB", ht=_EVEN), _first(f"{_F} || 'RS'", "RMH", ht=_EVEN), _first(f"{_F} || 'SB'", "MHS", ht=_EVEN, sec="'NB'"),
+    _first(f"{_F} || 'S'", "MHS", ht=_EVEN), _first(f"{_F} || 'S12C'", "MHS", ht=_EVEN), _first("'24CR'", "RMHC", od="'24'"), _first("'LH'", "MHL", od="'0'", lid="'HATCH'"),
+    _first("'30LH'", "MHL", od="'30'", lid="'HATCH'"), _first("'24C'", "MHC", od="'24'"), _first("'24RL'", "RMHL", od="'24'"), _first("'24LR'", "RMHL", od="'24'"), _first("'30L'", "MHL", od="'30'"),
+    _first("'TL'", "MHTL", od="'72'"), _first("'30TL'", "MHTL", od="'30'"), _first("'ZZ'"),
+]
+_OLD = {"dia": "pn_diameter", "ht": "pn_height", "od": "pn_opening_diameter", "tr": "pn_troughing", "sec": "pn_section_suffix", "lid": "pn_lid_suffix", "es": "pn_es"}
+
+
+def _old(value) -> str:
+    return f"CASE p_partkey % {len(OLD_FAMILIES)} " + " ".join(f"WHEN {i} THEN {value(f)}" for i, f in enumerate(OLD_FAMILIES)) + " END"
+
+
+@query("c14_older_names", f"WITH sized AS ({_SIZED}) SELECT p_partkey, {_old(lambda f: f['num'])} AS part_number, " + _old(lambda f: f"'{f['gen']}'") + " AS pn_generation, "
+       + _old(lambda f: f"'{f['pt']}'") + " AS pn_part_type, " + ", ".join(f"CAST({_old(lambda f, k=k: f.get(k, chr(39) * 2))} AS VARCHAR) AS {c}" for k, c in _OLD.items()) + " FROM sized")
+def _(spark, sf):
+    """Every rule of the three older generations, in sizes that vary from part to part."""
+    sized = table(spark, sf, "part").withColumns({k: F.expr(v).cast("string") for k, v in SIZES.items()})
+    numbers = sized.select("p_partkey", F.expr(_old(lambda f: f["num"]).replace("VARCHAR", "STRING")).alias("part_number"))
+    return partname.decode_parts(numbers, "part_number").select("p_partkey", "part_number", "pn_generation", "pn_part_type", *_OLD.values())
+
+
 @query("c04_structure_class", f"WITH {PARTS_SQL} SELECT p_partkey, coalesce(cls, 'unknown') AS structure_class FROM x")
 def _(spark, sf):
     """The number decides; the word given with it carries no class."""

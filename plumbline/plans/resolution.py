@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import functions as F
 
 from plumbline.functions.clean import lookup, present_text
@@ -156,26 +158,30 @@ def _(spark, sf):
     return resolve.settle(winners(spark, sf), confirmed_values(spark, sf), TOP_SOURCE).select("entity_key", "field", "value", "status")
 
 
-@query("r07_registry_status", f"""WITH {SETTLED_SQL}, wide AS (
+def order_extras(spark, sf):
+    return table(spark, sf, "orders").select(F.col("o_orderkey").cast("string").alias("entity_key"), F.col("o_orderpriority").alias("project_name"))
+
+
+REGISTRY_SQL = f"""wide AS (
   SELECT entity_key, {", ".join(f"max(CASE WHEN field = '{f}' THEN value END) AS {f}, max(CASE WHEN field = '{f}' THEN status END) AS {f}_status" for f in FIELDS)}
   FROM settled GROUP BY 1), src AS (SELECT entity_key, string_agg(DISTINCT source, ',' ORDER BY source) AS sources FROM obs GROUP BY 1),
-ex AS (SELECT CAST(o_orderkey AS VARCHAR) AS entity_key, o_orderpriority AS project_name FROM orders)
-SELECT ex.entity_key, project_name, {", ".join(f"{f}, coalesce({f}_status, 'GAP') AS {f}_status" for f in FIELDS)}, coalesce(sources, '') AS sources,
+ex AS (SELECT CAST(o_orderkey AS VARCHAR) AS entity_key, o_orderpriority AS project_name FROM orders),
+reg AS (SELECT ex.entity_key, project_name, {", ".join(f"{f}, coalesce({f}_status, 'GAP') AS {f}_status" for f in FIELDS)}, coalesce(sources, '') AS sources,
   CASE WHEN coalesce(city_status, 'GAP') IN ('CONFLICT', 'GAP') OR coalesce(state_status, 'GAP') IN ('CONFLICT', 'GAP') THEN 'Y' ELSE '' END AS needs_review
-FROM ex LEFT JOIN wide ON ex.entity_key = wide.entity_key LEFT JOIN src ON ex.entity_key = src.entity_key""")
+FROM ex LEFT JOIN wide ON ex.entity_key = wide.entity_key LEFT JOIN src ON ex.entity_key = src.entity_key)"""
+
+
+@query("r07_registry_status", f"WITH {SETTLED_SQL}, {REGISTRY_SQL} SELECT * FROM reg")
 def _(spark, sf):
     """Winners, confirmed values and supplements; orders without lines show as GAP."""
-    obs = reliable_checkpoint(scored(spark, sf))
-    extras = table(spark, sf, "orders").select(F.col("o_orderkey").cast("string").alias("entity_key"), F.col("o_orderpriority").alias("project_name"))
-    return resolve.registry(resolve.vote(obs), extras, confirmed_values(spark, sf), resolve.entity_sources(obs), FIELDS, TOP_SOURCE, ["city", "state"])
+    return resolve.registry(resolve.vote_with_sources(scored(spark, sf)), order_extras(spark, sf), confirmed_values(spark, sf), FIELDS, TOP_SOURCE, ["city", "state"])
 
 
 @query("a30_provenance", f"""WITH {VOTE_SQL}, src AS (SELECT entity_key, string_agg(DISTINCT source, ',' ORDER BY source) AS sources FROM obs GROUP BY 1),
 c AS (SELECT entity_key, count(*) AS conflicts FROM winners WHERE status = 'CONFLICT' GROUP BY 1)
 SELECT src.entity_key, sources, CAST(len(string_split(sources, ',')) AS INT) AS n_sources, coalesce(conflicts, 0) AS conflicts FROM src LEFT JOIN c ON src.entity_key = c.entity_key""")
 def _(spark, sf):
-    obs = reliable_checkpoint(scored(spark, sf))
-    return report.provenance(resolve.entity_sources(obs), resolve.vote(obs)).select("entity_key", "sources", "n_sources", "conflicts")
+    return report.provenance(resolve.vote_with_sources(scored(spark, sf))).select("entity_key", "sources", "n_sources", "conflicts")
 
 
 @query("l05_conflict_rank", f"""WITH {VOTE_SQL}, {CONFIRMED_SQL}
@@ -192,7 +198,7 @@ SELECT w.entity_key, w.status, w.winner, bom_union_state, dispatch_state, regist
 FROM winners w LEFT JOIN m ON m.entity_key = w.entity_key LEFT JOIN v ON v.entity_key = w.entity_key
 WHERE w.field = 'state' AND w.status IN ('CONFLICT', 'GAP') AND NOT EXISTS (SELECT 1 FROM confirmed c WHERE c.entity_key = w.entity_key AND c.field = w.field)""")
 def _(spark, sf):
-    obs = reliable_checkpoint(scored(spark, sf))
+    obs = reliable_checkpoint(scored(spark, sf).where(F.col("field") == "state"))
     listed = report.review_list(resolve.vote(obs), obs, confirmed_values(spark, sf), "state", ["CONFLICT", "GAP"], ["bom_union", "dispatch", "registry"])
     return listed.select("entity_key", "status", "winner", "bom_union_state", "dispatch_state", "registry_state", "n_observed")
 
@@ -214,11 +220,43 @@ CORRECTED_SQL = """confirmed AS (
 @query("v04_apply_corrections", f"WITH {SETTLED_SQL.replace(CONFIRMED_SQL, CORRECTED_SQL)} SELECT entity_key, field, value, status FROM settled")
 def _(spark, sf):
     """A second review list over the first one's confirmations: some replaced, some new, blanks left."""
+    return corrected(spark, sf)["settled"].select("entity_key", "field", "value", "status")
+
+
+def corrected(spark, sf):
     orders = table(spark, sf, "orders").where(F.col("o_orderpriority").isin("1-URGENT", "2-HIGH"))
     typed = F.when(F.col("o_orderkey") % 2 == 0, F.lit(" F ")).otherwise(F.lit(" "))
     review = orders.select(F.col("o_orderkey").cast("string").alias("entity_key"), F.lit("state").alias("field"), typed.alias("Confirmed Value"))
     earlier = confirmed_values(spark, sf).withColumn("stamp", F.lit(1))
-    return report.apply_corrections(review, "Confirmed Value", earlier, winners(spark, sf), F.lit(2), TOP_SOURCE)["settled"].select("entity_key", "field", "value", "status")
+    pieces = table(spark, sf, "lineitem").select(F.col("l_orderkey").cast("string").alias("entity_key"))
+    best = reliable_checkpoint(resolve.vote_with_sources(scored(spark, sf)))
+    return report.apply_corrections(review, "Confirmed Value", earlier, best, F.lit(2), TOP_SOURCE, order_extras(spark, sf), pieces, FIELDS, ["city", "state"])
+
+
+@query("v04_rebuilt_downstream", f"""WITH {SETTLED_SQL.replace(CONFIRMED_SQL, CORRECTED_SQL)}, {REGISTRY_SQL},
+early AS (SELECT CAST(o_orderkey AS VARCHAR) AS entity_key, f.field, f.chosen_value FROM orders, (VALUES ('state', 'O'), ('city', 'NATION_0')) f(field, chosen_value) WHERE o_orderpriority = '1-URGENT'),
+given AS (SELECT CAST(o_orderkey AS VARCHAR) AS entity_key, 'state' AS field FROM orders WHERE o_orderpriority IN ('1-URGENT', '2-HIGH') AND o_orderkey % 2 = 0)
+SELECT 'resolution' AS part, entity_key AS name, field AS detail, chosen_value AS value FROM confirmed
+UNION ALL SELECT 'log', g.entity_key, g.field, coalesce(e.chosen_value, w.winner, '') || ' -> F' FROM given g
+  LEFT JOIN early e ON e.entity_key = g.entity_key AND e.field = g.field LEFT JOIN winners w ON w.entity_key = g.entity_key AND w.field = g.field
+UNION ALL SELECT 'registry', entity_key, needs_review, concat_ws('|', state, state_status, city, city_status, year, year_status, sources) FROM reg
+UNION ALL SELECT 'ledger', coalesce(state, '?'), coalesce(needs_review, ''), CAST(count(*) AS VARCHAR) FROM lineitem LEFT JOIN reg ON CAST(l_orderkey AS VARCHAR) = entity_key GROUP BY 1, 2, 3
+UNION ALL SELECT 'open', entity_key, field, status FROM settled WHERE status IN ('CONFLICT', 'GAP') AND field IN ('city', 'state')
+UNION ALL SELECT 'index', f.field, 'CONFLICT', CAST((SELECT count(*) FROM settled s WHERE s.field = f.field AND s.status = 'CONFLICT') AS VARCHAR) FROM (VALUES ('state'), ('city'), ('year')) f(field)""")
+def _(spark, sf):
+    """What a correction leaves behind - resolutions, log, and registry, ledger and reports built again."""
+    parts = corrected(spark, sf)
+    ledger = parts["ledger"].groupBy(F.coalesce("state", F.lit("?")).alias("state"), F.coalesce("needs_review", F.lit("")).alias("needs_review")).agg(F.count("*").alias("n"))
+    shown = [
+        ("resolution", parts["resolutions"], "entity_key", "field", F.col("chosen_value")),
+        ("log", parts["log"], "entity_key", "field", F.concat(F.coalesce("old_value", F.lit("")), F.lit(" -> "), F.col("new_value"))),
+        ("registry", parts["registry"], "entity_key", "needs_review", F.concat_ws("|", *[c for f in FIELDS for c in (f, f"{f}_status")], "sources")),
+        ("ledger", ledger, "state", "needs_review", F.col("n").cast("string")),
+        ("open", parts["open"], "entity_key", "field", F.col("status")),
+        ("index", parts["index"], "list", F.lit("CONFLICT"), F.col("rows").cast("string")),
+    ]
+    rows = [df.select(F.lit(part).alias("part"), F.col(name).alias("name"), (F.col(detail) if isinstance(detail, str) else detail).alias("detail"), value.alias("value")) for part, df, name, detail, value in shown]
+    return reduce(lambda a, b: a.unionByName(b), rows)
 
 
 @query("v08_review_index", f"""WITH {VOTE_SQL}

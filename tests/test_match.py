@@ -43,6 +43,33 @@ def test_near_pairs_miss_nothing(spark):
     assert got == want
 
 
+def test_long_names_have_few_keys(spark):
+    rng = random.Random(6)
+    names = ["".join(rng.choices("ABCDEFGHIJKLMNOPQRSTUVWXYZ ", k=40)) for _ in range(200)]
+    df = spark.createDataFrame([("g", n) for n in names], "g string, left_text string")
+    lengths, edits = (lambda n: (F.ceil(n * 0.85 / 1.15 - 1e-9), F.floor(n * 1.15 / 0.85 + 1e-9))), (lambda x, y: F.floor((x + y) * 0.15 + 1e-9))
+    keys = match.prefix_keys(df, "left_text", ["g"], lengths, edits, match.token_frequency([(df, "left_text")]))
+    # Cut into pieces that shift by every allowed edit, for every allowed length, a name of 40 letters had more than 1,000.
+    assert keys.count() <= 60 * len(names)
+
+
+def test_near_pairs_by_edits_miss_nothing(spark):
+    rng = random.Random(12)
+    words = sorted({"".join(rng.choice("ABC") for _ in range(rng.randint(1, 9))) for _ in range(150)})
+    got = match.closest_by_edits(spark.createDataFrame([(1, w) for w in words[::2]], "g int, left_text string"), spark.createDataFrame([(1, w) for w in words[1::2]], "g int, right_text string"), ["g"], 2)
+
+    def distance(a, b):
+        row = list(range(len(b) + 1))
+        for i, x in enumerate(a, 1):
+            before, row[0] = row[0], i
+            for j, y in enumerate(b, 1):
+                before, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, before + (x != y))
+        return row[-1]
+
+    want = {a: min((distance(a, b), b) for b in words[1::2]) for a in words[::2]}
+    assert {r.left_text: (r.distance, r.match) for r in got.collect()} == {a: w for a, w in want.items() if w[0] <= 2}
+
+
 def test_names_either_way(spark):
     left = ["Acme Co", "acme", "Bolt", "", "Zed Works", "a", "Mid"]
     right = ["ACME", "bolt & nut", "Works", "Mi", "x", "Acme Company"]
