@@ -132,6 +132,43 @@ def near_pairs(left: DataFrame, right: DataFrame, group: list[str], lengths: Cal
     return pairs.where(enough).drop("q")
 
 
+def _segments(length: Column, k: Column) -> Column:
+    """Even cut of a text into k + 1 pieces: array of (piece number, start from 0, length)."""
+    parts = k + 1
+    at = lambda i: F.floor(i * length / parts).cast("int")
+    return F.transform(F.sequence(F.lit(0), k), lambda i: F.struct(i.alias("i"), at(i).alias("start"), (at(i + 1) - at(i)).alias("len")))
+
+
+def segment_pairs(left: DataFrame, right: DataFrame, group: list[str], lengths: Callable[[Column], tuple[Column, Column]],
+               max_edits: Callable[[Column, Column], Column]) -> DataFrame:
+    """Candidate pairs (left_text, right_text) within a bound of few edits, none missed.
+
+    The right text is cut into one piece more than the allowed edits; at least one piece then
+    survives unchanged in the left text, shifted by no more than the edits. So candidates come from
+    an equi-join on (group, lengths, piece), and its cost follows shared pieces, not group size.
+    ``lengths`` gives the partner lengths worth trying, ``max_edits`` the edits for two lengths.
+    """
+    a = spread(left.select(*group, "left_text").distinct()).withColumn("la", F.length("left_text"))
+    b = spread(right.select(*group, "right_text").distinct()).withColumn("lb", F.length("right_text"))
+
+    def span(n):
+        low, high = lengths(F.col(n))
+        return F.explode(F.sequence(F.greatest(low, F.lit(1)).cast("int"), high.cast("int")))
+
+    b_keys = b.withColumn("la", span("lb")).withColumn("k", max_edits(F.col("la"), F.col("lb")).cast("int"))
+    b_keys = b_keys.withColumn("s", F.explode(_segments(F.col("lb"), F.col("k"))))
+    b_keys = b_keys.select(*group, "right_text", "la", "lb", F.col("s.i").alias("i"),
+                           F.substring("right_text", F.col("s.start") + 1, F.col("s.len")).alias("piece"))
+    a_keys = a.withColumn("lb", span("la")).withColumn("k", max_edits(F.col("la"), F.col("lb")).cast("int"))
+    a_keys = a_keys.withColumn("s", F.explode(_segments(F.col("lb"), F.col("k"))))
+    low = F.greatest(F.lit(0), F.col("s.start") - F.col("k"))
+    high = F.least(F.col("la") - F.col("s.len"), F.col("s.start") + F.col("k"))
+    starts = F.when(low <= high, F.sequence(low, high)).otherwise(F.array().cast("array<int>"))
+    pieces = F.array_distinct(F.transform(starts, lambda p: F.substring("left_text", p + 1, F.col("s.len"))))
+    a_keys = a_keys.select(*group, "left_text", "la", "lb", F.col("s.i").alias("i"), F.explode(pieces).alias("piece"))
+    return a_keys.join(b_keys, [*group, "la", "lb", "i", "piece"]).select(*group, "left_text", "right_text").distinct()
+
+
 def sequence_ratio():
     """Longest-matching-blocks similarity of two texts, per Arrow batch.
 
@@ -162,7 +199,7 @@ def closest_text(words: DataFrame, dictionary: DataFrame, group: list[str], cuto
 
 def closest_by_edits(words: DataFrame, dictionary: DataFrame, group: list[str], edits: int) -> DataFrame:
     """J16, edit-distance form: the nearest dictionary text within ``edits``; the smaller text wins a tie."""
-    pairs = near_pairs(words, dictionary, group, lengths=lambda n: (n - edits, n + edits), max_edits=lambda x, y: F.least(F.lit(edits), x + y))
+    pairs = segment_pairs(words, dictionary, group, lengths=lambda n: (n - edits, n + edits), max_edits=lambda x, y: F.least(F.lit(edits), x + y))
     scored = pairs.withColumn("distance", F.levenshtein("left_text", "right_text", edits)).where(F.col("distance") >= 0)
     best = scored.groupBy(*group, "left_text").agg(F.min(F.struct("distance", "right_text")).alias("b"))
     return best.select(*group, "left_text", F.col("b.right_text").alias("match"), F.col("b.distance").alias("distance"))

@@ -47,6 +47,22 @@ def test_row_no_follows_the_file(spark, tmp_path):
         spark.conf.set("spark.sql.files.maxPartitionBytes", before)
 
 
+def test_row_no_holds_for_small_splits(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("n\n" + "\n".join(f"{i:06d}" for i in range(60_000)))
+    held = {"spark.sql.files.maxPartitionBytes": 2**16, "spark.sql.files.openCostInBytes": 2**13}
+    before = {k: spark.conf.get(k) for k in held}
+    for k, v in held.items():
+        spark.conf.set(k, v)
+    try:
+        df = tabular.read_csv(spark, str(tmp_path / "a.csv"))
+        assert df.rdd.getNumPartitions() >= 6
+        assert [int(r.n) for r in df.orderBy("row_no").select("n").collect()] == list(range(60_000))
+        assert df.select("row_no").distinct().count() == 60_000
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
 def test_spreadsheet_xml_honours_cell_positions(spark, tmp_path):
     path = tmp_path / "export.xls"
     path.write_text(SHEET)
@@ -201,7 +217,7 @@ def test_one_sheet_is_read_by_many_tasks(spark, tmp_path):
         spark.conf.set(k, v)
     try:
         raw = files.read_sheet_xml(spark, f"{path}/*")
-        # Splits start a megabyte apart at least; the rows of one file are worked on in several tasks.
+        # The rows of one file are worked on in several tasks.
         tasks = raw.select("source_file", F.spark_partition_id().alias("t")).groupBy("source_file").agg(F.countDistinct("t").alias("n")).collect()
         assert max(t.n for t in tasks) >= 2
         pieces = spark.read.option("lineSep", "</Row>").text(f"{path}/*")
