@@ -245,7 +245,7 @@ class Page:
             return self.blocks
         stay = [b for b in self.blocks if not b[1]]
         inside = [b for b in stay if b[2]]
-        if 2 * sum(len(b[0]) for b in inside) >= sum(len(b[0]) for b in stay if not b[4]):
+        if inside and 2 * sum(len(b[0]) for b in inside) >= sum(len(b[0]) for b in stay if not b[4]):
             stay = inside
         return [b for b in stay if not b[4]] or stay
 
