@@ -217,7 +217,7 @@ scored AS (
 positives AS (
   SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scored WHERE same
   QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
-SELECT p.anchor_id, p.positive_id, row_number() OVER w AS rank, s.vec_id AS negative_id, p.positive_score, s.score AS negative_score
+SELECT p.anchor_id, p.positive_id, CAST(row_number() OVER w AS INTEGER) AS rank, s.vec_id AS negative_id, p.positive_score, s.score AS negative_score
 FROM positives p JOIN scored s ON s.anchor_id = p.anchor_id AND NOT s.same
   AND 50 * p.positive_score <= 100 * s.score AND 100 * s.score <= 95 * p.positive_score
 WINDOW w AS (PARTITION BY p.anchor_id, p.positive_id ORDER BY s.score DESC, s.vec_id)
