@@ -273,8 +273,10 @@ def opening_schedule(lines: DataFrame, doc_id: str = "doc_id") -> DataFrame:
     t = F.trim("line")
     title, at = t.contains("Opening Schedule"), F.col("line_no")
     header = t.rlike(r"^Quantity\s+Part Number") & ~title
-    rows = in_blocks(lines, [doc_id], "line_no", mins={"opened": F.when(title, at)}, fills={"closed": F.when(header, at)})
     shape = r"^(\d+)\s+(.+?)\s{2,}(.+?)\s{2,}(\S.*?)$"
+    # Other lines neither open nor close anything.
+    rows = lines.where(title | header | t.rlike(shape))
+    rows = in_blocks(rows, [doc_id], "line_no", mins={"opened": F.when(title, at)}, fills={"closed": F.when(header, at)})
     rows = rows.where(F.col("opened").isNotNull() & ~title & (F.col("closed").isNull() | (F.col("closed") < F.col("opened"))) & t.rlike(shape))
     part = lambda i: F.trim(F.regexp_extract(t, shape, i))
     return rows.select(doc_id, "line_no", part(1).alias("quantity"), part(2).alias("pipe_size"), part(3).alias("connector"), part(4).alias("hole_size"))

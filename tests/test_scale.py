@@ -134,3 +134,18 @@ def test_kept_tables_of_dead_drivers_are_swept(spark, tmp_path):
     spark.range(3).write.parquet(f"{folder}/kept-dead-1/x")
     assert sweep_kept(spark, 1) == 0
     assert sweep_kept(spark, -1) == 1 and kept.count() == 5
+
+
+def test_short_keys_are_not_cut_into_ranges(spark):
+    """Many keys of few rows: as many summaries as rows would be joined, and small when compressed, be sent to the driver."""
+    df = spark.range(30_000).select(F.floor(F.col("id") / 12).alias("k"), (F.col("id") % 12).alias("o"))
+    every = lambda part: scale.in_blocks(part, ["k"], "o", mins={"m": F.when(F.col("o") > 3, F.col("o"))}, sums={"s": F.lit(1)}, rows=1_000)
+    got = every(df)
+    assert "Join" not in got._jdf.queryExecution().optimizedPlan().toString()
+    assert got.count() == 30_000 and got.where("s <> o + 1 OR NOT m <=> if(o > 3, 4, null)").count() == 0
+    # One long key among them: only its rows, and those in its bucket, meet summaries.
+    hot = df.unionByName(spark.range(5_000).select(F.lit(-1).cast("bigint").alias("k"), F.col("id").alias("o")))
+    short, long = scale.by_length(hot, ["k"], 1_000)
+    assert 5_000 <= long.count() <= 6_000 and short.count() + long.count() == 35_000 and long.where("k = -1").count() == 5_000
+    got = every(hot)
+    assert got.count() == 35_000 and got.where("s <> o + 1 OR NOT m <=> if(o > 3, 4, null)").count() == 0
