@@ -16,7 +16,7 @@ from plumbline.functions.clean import (
 )
 from plumbline.functions.partname import with_item_label
 
-from .scale import in_blocks, join_spreading_nulls, top_per_key
+from .scale import bound, in_blocks, join_spreading_nulls, top_per_key
 
 _KNOWN = "(?i)" + K.KNOWN_CATEGORIES
 _ANY = "(?i)" + K.ANY_CATEGORY
@@ -214,13 +214,18 @@ def structure_export(cells: DataFrame, doc_id: str = "doc_id") -> tuple[DataFram
 
     Columns: structure, id, kind, part, other part, description, quantity, weight.
     """
-    cell = lambda i: _or_empty(F.trim(F.get("cells", F.lit(i))))
-    kind = cell(2)
+    def item(row):
+        cell = lambda i: _or_empty(F.trim(F.get(row, F.lit(i))))
+        return F.struct(cell(0).alias("structure_name"), cell(2).alias("kind"), cell(6).alias("quantity"), cell(3).alias("part_number"),
+                        cell(5).alias("description"), F.regexp_replace(cell(7), ",", "").alias("weight_lbs"))
+
+    # Conditions on generated columns stay above them, so the cells of a row are worked out once.
+    rows = cells.select(doc_id, "row_no", F.inline(F.array(bound("cells", item))))
+    named = (F.col("structure_name") != "") & ~F.startswith(F.lower("structure_name"), F.lit("x"))
+    items = rows.where(F.col("kind").isin(list(K.ITEM_CATEGORIES)) & named).select(
+        doc_id, "row_no", "structure_name", item_category(F.col("kind")).alias("category"), "quantity", "part_number", "description", "weight_lbs")
+    kind = _or_empty(F.trim(F.get("cells", F.lit(2))))
     is_item = kind.isin(list(K.ITEM_CATEGORIES))
-    named = (cell(0) != "") & ~F.startswith(F.lower(cell(0)), F.lit("x"))
-    items = cells.where(is_item & named).select(
-        doc_id, "row_no", cell(0).alias("structure_name"), item_category(kind).alias("category"), cell(6).alias("quantity"),
-        cell(3).alias("part_number"), cell(5).alias("description"), F.regexp_replace(cell(7), ",", "").alias("weight_lbs"))
     other = cells.where(~is_item & ~kind.isin(K.DROPPED_ITEM_KINDS))
     tidy = F.filter(F.transform("cells", lambda c: F.trim(c)), lambda c: F.coalesce(c, F.lit("")) != "")
     pairs = other.withColumn("filled", tidy).select(

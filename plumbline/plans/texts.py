@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from plumbline.functions import constants as K
 from plumbline.operators import text as tx
-from plumbline.operators.scale import in_blocks
+from plumbline.operators.scale import in_blocks, spread
 from plumbline.sinks import pages
 from plumbline.sources.files import cell_texts, front_matter, placed_cells
 
@@ -110,7 +110,7 @@ def _(spark, sf):
     kind = F.when(F.col("p_type") == "ECONOMY", "StackElement").when(F.col("p_type") == "SMALL", "Connector").when(F.col("p_type") == "PROMO", "Hole").otherwise("MiscItem")
     c = lambda i, v: F.struct(F.struct(v.cast("string").alias("_VALUE")).alias("Data"), (F.lit(i) if i else F.lit(None)).cast("bigint").alias("_ss:Index"))
     raw = F.array(c(None, F.col("p_name")), c(3, kind), c(None, F.concat(F.lit("MHB"), F.col("p_partkey"))), c(6, F.col("p_type")), c(None, F.col("p_size")), c(None, F.format_number("p_partkey", 0)))
-    rows = table(spark, sf, "part").select(F.col("p_brand").alias("doc_id"), F.col("p_partkey").alias("row_no"), cell_texts(placed_cells(raw)).alias("cells"))
+    rows = spread(table(spark, sf, "part"), "p_partkey").select(F.col("p_brand").alias("doc_id"), F.col("p_partkey").alias("row_no"), cell_texts(placed_cells(raw)).alias("cells"))
     return tx.structure_export(rows)[1]
 
 

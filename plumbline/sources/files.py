@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from plumbline.functions import constants as K
 from plumbline.functions.clean import as_col
-from plumbline.operators.scale import join_null_safe
+from plumbline.operators.scale import bound, join_null_safe
 
 from .tabular import with_row_no
 
@@ -81,16 +81,23 @@ def read_sheet_xml(spark: SparkSession, path: str) -> DataFrame:
 def placed_cells(raw_cells) -> Column:
     """Cells as (at, text) with their true positions, counted from 1.
 
-    A cell may carry its own position and the ones after it count on from there.
+    A cell may carry its own position and the ones after it count on from there: the row is cut into runs of
+    cells that follow such a one.
     """
-    cells = as_col(raw_cells)
-    given = F.filter(F.transform(cells, lambda c, i: F.struct((i + 1).cast("bigint").alias("i"), c["_ss:Index"].alias("at"))), lambda a: a["at"].isNotNull())
+    one = F.lit(1).cast("bigint")
 
-    def place(c, i):
-        before = F.try_element_at(F.filter(given, lambda a: a["i"] <= i + 1), F.lit(-1))
-        return F.struct((i + 1 + F.coalesce(before["at"] - before["i"], F.lit(0))).cast("bigint").alias("at"), F.coalesce(c["Data"]["_VALUE"], F.lit("")).alias("text"))
+    def place(cells):
+        given = F.filter(F.transform(cells, lambda c, i: F.struct((i + 1).cast("bigint").alias("i"), c["_ss:Index"].alias("at"))), lambda a: a["at"].isNotNull())
 
-    return F.transform(cells, place)
+        def run(runs):
+            end = lambda j: F.coalesce(F.get(runs, j + 1)["i"], F.size(cells) + one)
+            return F.flatten(F.transform(runs, lambda r, j: F.transform(
+                F.slice(cells, r["i"].cast("int"), (end(j) - r["i"]).cast("int")),
+                lambda c, k: F.struct((r["at"] + k).cast("bigint").alias("at"), F.coalesce(c["Data"]["_VALUE"], F.lit("")).alias("text")))))
+
+        return F.when(cells.isNotNull(), bound(F.concat(F.array(F.struct(one.alias("i"), one.alias("at"))), given), run))
+
+    return bound(as_col(raw_cells), place)
 
 
 def cell_at(placed, position: Column) -> Column:
@@ -99,10 +106,13 @@ def cell_at(placed, position: Column) -> Column:
 
 
 def cell_texts(placed) -> Column:
-    """All texts of a row in place, up to its last position; gaps are ''."""
-    placed = as_col(placed)
-    last = F.coalesce(F.array_max(F.transform(placed, lambda c: c["at"])), F.lit(0).cast("bigint"))
-    return F.when(last > 0, F.transform(F.sequence(F.lit(1).cast("bigint"), last), lambda p: cell_at(placed, p))).otherwise(F.array().cast("array<string>"))
+    """All texts of a row in place, up to its last position; gaps are ''. Of cells at one position the last counts."""
+    at = lambda cells, i: F.get(cells, i)["at"]
+    in_order = F.array_sort(F.filter(F.transform(as_col(placed), lambda c, i: F.struct(c["at"].alias("at"), i.alias("i"), c["text"].alias("text"))), lambda c: c["at"] > 0))
+    last = lambda cells: F.filter(cells, lambda c, i: F.coalesce(at(cells, i + 1) != c["at"], F.lit(True)))
+    padded = lambda cells: F.flatten(F.transform(cells, lambda c, i: F.concat(
+        F.array_repeat(F.lit(""), (c["at"] - F.when(i > 0, at(cells, i - 1)).otherwise(0) - 1).cast("int")), F.array(c["text"]))))
+    return F.coalesce(bound(in_order, lambda cells: bound(last(cells), padded)), F.array().cast("array<string>"))
 
 
 def sheet_records(rows: DataFrame, columns: list[str]) -> DataFrame:
@@ -139,4 +149,3 @@ def front_matter(text) -> Column:
     # The last line wins where a key is repeated.
     unique = F.filter(entries, lambda e, i: ~F.exists(F.slice(entries, i + 2, F.size(entries)), lambda later: later["key"] == e["key"]))
     return F.map_from_entries(unique)
-

@@ -276,3 +276,28 @@ def test_a_sheet_may_be_wide_and_only_the_first_counts(spark, tmp_path):
     path.write_text(f'<?xml version="1.0"?><Workbook xmlns="urn:schemas-microsoft-com:office:spreadsheet" xmlns:ss="urn:schemas-microsoft-com:office:spreadsheet">{sheet(head, body)}{sheet(head, cell("other"))}</Workbook>')
     [row] = files.sheet_records(files.read_sheet_xml(spark, str(path)), ["H0", "H150", "H151", "H199", "none"]).collect()
     assert tuple(row)[2:] == ("v0", "v150", "again", "", "")
+
+
+def _placed(row):
+    """(at, text) of cells (given position or None, text), as a spreadsheet reads them."""
+    out, at = [], 0
+    for given, text in row:
+        at = given if given is not None else at + 1
+        out.append((at, text or ""))
+    return out
+
+
+def test_cells_are_placed_in_one_pass(spark):
+    rows = [[], [(None, "a")], [(3, "a")], [(None, "a"), (5, "b"), (None, None), (2, "c"), (None, "d"), (None, "e"), (None, "f")],
+            [(4, "a"), (None, "b"), (4, "c"), (None, None)], [(1, "x"), (1, "y"), (1, "z")], [(i * 2 if i % 3 == 0 else None, str(i)) for i in range(1, 40)], None]
+    data = [(n, None if r is None else [((t,), at) for at, t in r]) for n, r in enumerate(rows)]
+    df = spark.createDataFrame(data, f"n int, raw {files.CELL}").select("n", files.placed_cells("raw").alias("p"), files.cell_texts(files.placed_cells("raw")).alias("t"))
+    for r in df.collect():
+        want = None if rows[r.n] is None else _placed(rows[r.n])
+        assert (None if r.p is None else [tuple(c) for c in r.p]) == want
+        at = dict(want or [])
+        assert r.t == [at.get(i, "") for i in range(1, max(at, default=0) + 1)]
+    # The row is named once in the plan, whatever is made of it.
+    row = F.array(F.struct(F.struct(F.lit("once").alias("_VALUE")).alias("Data"), F.lit(None).cast("bigint").alias("_ss:Index")))
+    plan = lambda c: spark.range(1).select(F.when(F.col("id") >= 0, c).alias("v"))._jdf.queryExecution().analyzed().toString()
+    assert plan(files.cell_texts(files.placed_cells(row))).count("once") == 1
