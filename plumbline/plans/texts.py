@@ -252,7 +252,7 @@ def _(spark, sf):
 # ---------------------------------------------------------------- pages
 
 def job_pages(spark, sf):
-    rows = table(spark, sf, "customer").withColumn("job_code", F.concat(F.lit("J"), F.col("c_custkey")))
+    rows = spread(table(spark, sf, "customer"), "c_custkey").withColumn("job_code", F.concat(F.lit("J"), F.col("c_custkey")))
     front = {"job_code": F.col("job_code"), "customer": pages.plain(F.concat("c_name", F.lit(": "), "c_mktsegment")), "city": pages.linked(F.col("c_mktsegment")), "erp": F.lit(None)}
     return pages.render_pages(rows, "job_code", F.col("c_name"), front, F.lit("## Shipped Items\n"))
 

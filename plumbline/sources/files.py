@@ -145,7 +145,6 @@ def front_matter(text) -> Column:
     entry = lambda x: F.struct(
         F.lower(F.trim(F.substring_index(x, ":", 1))).alias("key"),
         F.nullif(F.regexp_replace(F.regexp_replace(F.trim(F.substr(x, F.instr(x, ":") + 1)), "^[\"']+|[\"']+$", ""), r"\[\[(.+?)\]\]", "$1"), F.lit("")).alias("value"))
-    entries = F.transform(lines, entry)
     # The last line wins where a key is repeated.
-    unique = F.filter(entries, lambda e, i: ~F.exists(F.slice(entries, i + 2, F.size(entries)), lambda later: later["key"] == e["key"]))
-    return F.map_from_entries(unique)
+    last = lambda entries: F.filter(entries, lambda e, i: ~F.exists(F.slice(entries, i + 2, F.size(entries)), lambda later: later["key"] == e["key"]))
+    return F.map_from_entries(bound(F.transform(lines, entry), last))

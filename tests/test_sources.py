@@ -301,3 +301,4 @@ def test_cells_are_placed_in_one_pass(spark):
     row = F.array(F.struct(F.struct(F.lit("once").alias("_VALUE")).alias("Data"), F.lit(None).cast("bigint").alias("_ss:Index")))
     plan = lambda c: spark.range(1).select(F.when(F.col("id") >= 0, c).alias("v"))._jdf.queryExecution().analyzed().toString()
     assert plan(files.cell_texts(files.placed_cells(row))).count("once") == 1
+    assert plan(F.size(files.front_matter(F.concat(F.lit("once"), F.col("id"))))).count("once") == 1
