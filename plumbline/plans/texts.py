@@ -122,7 +122,7 @@ def _(spark, sf):
 
 def job_lines(spark, sf):
     """One page of header, schedule and total per customer."""
-    c = table(spark, sf, "customer")
+    c = spread(table(spark, sf, "customer"), "c_custkey")
     lines = F.array(
         F.lit("Bill of Material"), F.concat(F.lit("Job Name: "), F.col("c_name"), F.lit("     Job Number: J"), F.col("c_custkey")), F.concat(F.lit("Location:  "), F.col("c_mktsegment")),
         F.concat(F.lit("MH-"), F.col("c_custkey"), F.lit("  Ship Date 1/1/2024")), F.lit("Contractor:"), F.lit("Opening Schedule"), F.concat(F.lit(" 1   24\" Clay   "), F.col("c_mktsegment"), F.lit("   N/A")), F.lit("noise"),
@@ -139,7 +139,7 @@ def _(spark, sf):
 def _(spark, sf):
     """T08, N38."""
     lines = F.array(F.lit("QQUUOOTTEE"), F.concat(F.lit("Ref: "), F.col("c_name")), F.lit("Quote Date: 3/4/2024 x"), F.lit("Reno, NV"), F.lit("Ref: later"))
-    return tx.quote_header(table(spark, sf, "customer").select(F.col("c_custkey").alias("doc_id"), F.posexplode(lines).alias("line_no", "line")))
+    return tx.quote_header(spread(table(spark, sf, "customer"), "c_custkey").select(F.col("c_custkey").alias("doc_id"), F.posexplode(lines).alias("line_no", "line")))
 
 
 @query("t09_opening_schedule", """SELECT c_custkey AS doc_id, 6 AS line_no, '1' AS quantity, '24" Clay' AS pipe_size, c_mktsegment AS connector, 'N/A' AS hole_size FROM customer
