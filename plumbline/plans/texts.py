@@ -117,7 +117,7 @@ def _(spark, sf):
 @query("t07_export_header", """SELECT p_brand AS doc_id, arg_min(p_name, p_partkey) AS job_name, arg_min('N' || p_partkey, p_partkey) AS job_number, arg_min(p_type, p_partkey) AS location, '' AS contractor, '3/7/2024' AS release_date FROM part GROUP BY 1""")
 def _(spark, sf):
     cells = F.array(F.lit("Job Name:"), F.lit(""), F.col("p_name"), F.lit("Job Number:"), F.concat(F.lit("N"), F.col("p_partkey")), F.lit("Location"), F.col("p_type"), F.lit("Reported On"), F.lit("2024-03-07T10:00:00"))
-    return tx.structure_export(table(spark, sf, "part").select(F.col("p_brand").alias("doc_id"), F.col("p_partkey").alias("row_no"), cells.alias("cells")))[0]
+    return tx.structure_export(spread(table(spark, sf, "part"), "p_partkey").select(F.col("p_brand").alias("doc_id"), F.col("p_partkey").alias("row_no"), cells.alias("cells")))[0]
 
 
 def job_lines(spark, sf):

@@ -36,7 +36,7 @@ def test_zips_of_customers_with_five_digits(spark, with_table):
     assert ok, note
 
 
-@pytest.mark.parametrize("name", ["s09_front_matter", "t07_structure_export", "t08_header_fields", "t08_quote_header"])
+@pytest.mark.parametrize("name", ["s09_front_matter", "t07_export_header", "t07_structure_export", "t08_header_fields", "t08_quote_header"])
 def test_rows_of_one_file_are_worked_on_by_many_tasks(spark, name):
     """A file may be one row group: its rows are spread before lines, cells or pages are made of them."""
     plan = entry.queries()[name](spark, SF_DIR)._jdf.queryExecution().optimizedPlan().toString()
