@@ -15,7 +15,8 @@ comparison. Nodes that stay large, or keep half of their parent's members, hold
 text, or many texts with one passage. Members of crowds go on to the children that all 64 of their values
 name. Small children are compared as other nodes are. A large child's members are compared with its pivot on
 the full sets, and what lies near a pivot without being linked to it is compared with what the pivot is
-linked with, as the triangle inequality asks; so no two members of a crowd meet for being in one crowd.
+linked with, as the triangle inequality asks. What is not linked with the pivot gets pivots of its own as long as they
+take away half of it; members left in so many children that they may have partners there are compared at last.
 
 Set identity is a 64-bit hash of the full set. Shingles are 64-bit hashes of their words, of which the full
 sets that are compared keep 48 bits.
@@ -330,15 +331,39 @@ class _Join:
         return reliable_checkpoint(map_batches(texts, make, "key bigint, fine binary, grams binary").dropDuplicates(["key"]))
 
     def crowd_nodes(self, crowd: DataFrame, sets: DataFrame) -> tuple[DataFrame, DataFrame]:
-        """Members of crowds go on to the children that all their values name: (gid, key) of small ones, (key, pivot) of large ones."""
+        """Members of crowds go on to the children that all their values name: (gid, key) of small ones, (gid, pos, key, n, pivot) of large ones."""
         own = spread(crowd.join(sets.select("key", "sig"), "key"), "key")
         named = F.transform(F.sequence(F.lit(0), F.lit(POSITIONS - 1)), lambda p: F.xxhash64(F.lit("crowd"), p, F.substring(F.col("sig"), p * 3 + 1, F.lit(3))))
-        rows = own.select("key", F.explode(named).alias("gid"))
+        rows = own.select("key", F.posexplode(named).alias("pos", "gid"))
+        return self.by_size(rows)
+
+    def by_size(self, rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+        """(gid, key) of groups that are compared exhaustively; (gid, pos, key, n, pivot) of larger ones, and their pivots."""
         counted = rows.groupBy("gid").agg(F.count("*").alias("n"), F.min(F.struct(F.xxhash64("key").alias("h"), "key")).alias("first"))
         counted = reliable_checkpoint(counted.where("n > 1").select("gid", "n", F.col("first.key").alias("pivot")))
-        small = rows.join(counted.where(F.col("n") <= self.node).select("gid"), "gid")
-        pairs = rows.join(counted.where(F.col("n") > self.node).select("gid", "pivot"), "gid").where("key <> pivot").select("key", "pivot").distinct()
-        return reliable_checkpoint(small), pairs
+        small = rows.join(counted.where(F.col("n") <= self.node).select("gid"), "gid").select("gid", "key")
+        return reliable_checkpoint(small), reliable_checkpoint(rows.join(counted.where(F.col("n") > self.node), "gid").select("gid", "pos", "key", "n", "pivot"))
+
+    def beyond_pivots(self, large: DataFrame, met: DataFrame, first: bool) -> tuple[DataFrame, DataFrame, DataFrame]:
+        """What large children hold besides what is linked with their pivots: small groups, cells, and large groups with new pivots.
+
+        Two members that are linked, but neither of them with a pivot, are both left in every child they share. They
+        share as many as linked sets have equal values, so at first who is left in fewer has no such partner, and
+        of the positions any will do but as many as linked sets may differ in. Where a pivot takes away half of
+        a child, the rest gets another one; else all the rest is compared, in cells of two halves of a node.
+        """
+        linked = met.where("linked").select("key", "pivot")
+        left = large.where("key <> pivot").join(linked, ["key", "pivot"], "left_anti").select("gid", "pos", "key", F.col("n").alias("was"))
+        if first:
+            often = left.groupBy("key").count().where(F.col("count") >= self.least).select("key")
+            left = left.join(often, "key", "left_semi").where(F.col("pos") <= POSITIONS - self.least)
+        left = reliable_checkpoint(left)
+        small, again = self.by_size(left.select("gid", "pos", "key"))
+        again = again.join(left.groupBy("gid").agg(F.min("was").alias("was")), "gid")
+        cut = again.where(2 * F.col("n") > F.col("was")).withColumn("_parts", F.ceil(F.col("n") / max(1, self.node // 2)))
+        cut = cut.withColumn("_i", F.pmod(F.xxhash64("key"), "_parts")).withColumn("_j", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("_parts") - 1)))
+        cells = cut.select(F.xxhash64(F.lit("rest"), "gid", F.least("_i", "_j"), F.greatest("_i", "_j")).alias("gid"), "key")
+        return small, cells, reliable_checkpoint(again.where(2 * F.col("n") <= F.col("was")).select("gid", "pos", "key", "n", "pivot"))
 
     def against_pivots(self, pairs: DataFrame, grams: DataFrame) -> DataFrame:
         """(key, pivot, linked) of the pairs that are linked, or so near that the set may be linked with one that the pivot is linked with.
@@ -458,10 +483,19 @@ class _Join:
         rest = found.where(~first).select("gid", "key")
         met = None
         if crowd is not None:
-            small, pairs = self.crowd_nodes(crowd, sets)
-            met = self.against_pivots(pairs, grams)
-            labels = _connect(labels, met.where("linked").select(F.col("key").alias("u"), F.col("pivot").alias("v")))
+            small, large = self.crowd_nodes(crowd, sets)
             rest = rest.unionByName(small)
+            first_round = True
+            while True:
+                pairs = large.where("key <> pivot").select("key", "pivot").distinct()
+                near = self.against_pivots(pairs, grams)
+                met = near if met is None else met.unionByName(near).distinct()
+                labels = _connect(labels, near.where("linked").select(F.col("key").alias("u"), F.col("pivot").alias("v")))
+                small, cells, large = self.beyond_pivots(large, near, first_round)
+                first_round = False
+                rest = rest.unionByName(small).unionByName(cells)
+                if large.isEmpty():
+                    break
         waves.append(rest.join(reliable_checkpoint(tested), "key", "left"))
         for own in waves:
             seen = own.join(labels, "key")

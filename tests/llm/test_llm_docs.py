@@ -417,3 +417,15 @@ def test_stages_return_any_columns_as_they_came(spark):
 def test_columns_of_the_quality_query(spark):
     names = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"]
     assert entry.queries()["op2_ngram_ratio_rules"](spark, SF_DIR).columns[:8] == names
+
+
+def test_near_copies_far_from_every_pivot(spark):
+    """A passage in all texts; most add much of their own, a few add little, and only these are copies of each other.
+
+    The few agree on values of the passage alone, which all have, and are far from the pivots, which are most likely of the others.
+    """
+    passage = " ".join(f"p{i}" for i in range(852))
+    own = lambda n, size: " ".join(f"w{n}x{i}" for i in range(size))
+    rows = [(n, f"{passage} {own(n, 48 if n % 20 == 7 else 200)}") for n in range(300)]
+    got = near_copies.near_copies(spark.createDataFrame(rows, "doc_id bigint, text string").repartition(4), node=8).collect()
+    assert {r.doc_id: r.component_id for r in got} == {n: 7 if n % 20 == 7 else n for n, _ in rows}
