@@ -187,10 +187,9 @@ def apply_corrections(review: DataFrame, value: str, resolutions: DataFrame, win
     ``winners`` are those of ``vote_with_sources``.
     """
     given = confirmations(review, value)
-    kept = reliable_checkpoint(upsert(resolutions, given.withColumn("stamp", stamp), ["entity_key", "field"], "chosen_value", "stamp"))
+    kept, settled = settle_corrections(review, value, resolutions, winners, stamp, top_source)
     before = settle(winners, resolutions, top_source)
-    settled = reliable_checkpoint(settle(winners, kept, top_source))
-    registry = reliable_checkpoint(resolve.registry(winners, extras, kept, fields, top_source, review_fields))
+    registry = reliable_checkpoint(resolve.registry_of(settled, extras, fields, review_fields))
     ledger = pieces.join(registry.select("entity_key", *fields, "needs_review"), "entity_key", "left")
     unsettled = settled.where(F.col("status").isin("CONFLICT", "GAP") & F.col("field").isin(review_fields))
     return {
@@ -200,6 +199,13 @@ def apply_corrections(review: DataFrame, value: str, resolutions: DataFrame, win
     }
 
 
+def settle_corrections(review: DataFrame, value: str, resolutions: DataFrame, winners: DataFrame, stamp: Column, top_source: dict[str, str]) -> tuple[DataFrame, DataFrame]:
+    """V04, the first step: the resolutions with those of a review list taken over, and the values settled by them, both kept."""
+    given = confirmations(review, value)
+    kept = reliable_checkpoint(upsert(resolutions, given.withColumn("stamp", stamp), ["entity_key", "field"], "chosen_value", "stamp"))
+    return kept, reliable_checkpoint(settle(winners, kept, top_source))
+
+
 def auto_filled_types(pieces: DataFrame, part_type: str, cls: str = "structure_class") -> DataFrame:
     """Pieces without a written type whose class the number still tells."""
     return pieces.where(is_blank(part_type) & (F.col(cls) != "unknown"))

@@ -38,6 +38,16 @@ def test_vote_breaks_ties_by_value_and_survives_repartition(spark):
         assert got == {"A": ("ELKO", "CONFLICT", "s2", 0.5), "B": ("ELY", "CONFLICT", "s1,s2", 0.4)}
 
 
+def test_vote_with_named_sources(spark):
+    rows = [("A", "city", "s1", "RENO", 0.5, 2), ("A", "city", "s3", "ELKO", 0.3, 2), ("A", "city", "s2", "ELKO", 0.3, 2), ("A", "city", None, "ELKO", 0.1, 1), ("B", "city", None, "ELY", 0.2, 1)]
+    obs = spark.createDataFrame(rows, "entity_key string, field string, source string, value_norm string, trust double, n_pieces int")
+    plain, named = resolve.vote_with_sources(obs), resolve.vote_with_sources(obs, ["s3", "s1", "s2"])
+    assert plain.schema.simpleString() == named.schema.simpleString() and sorted(plain.collect()) == sorted(named.collect())
+    assert {r.entity_key: (r.winner, r.winner_sources, r.winner_trust, r.field_sources) for r in named.collect()} == {"A": ("ELKO", "s2,s3", 0.7, ["s1", "s2", "s3"]), "B": ("ELY", "", 0.2, [])}
+    with pytest.raises(Exception, match="not among the named sources: s3"):
+        resolve.vote(obs, ["s1", "s2"]).collect()
+
+
 def test_trust_learning_and_ranking(spark):
     history = spark.createDataFrame([
         ("city", "CONFLICT", "BOM", "BOM='NC'; Shipping='NO'; Markdown='NC'"), ("city", "CONFLICT", "Dispatch+Shipping", "BOM = 'a'; Dispatch='b'"),
