@@ -110,7 +110,7 @@ def _(spark, sf):
     rows = lines.select("l_orderkey", F.when(F.col("l_linenumber") % 3 > 0, F.col("l_linestatus")).alias("status"), F.concat("l_returnflag", F.lit("<&>")).alias("flag"), "l_linenumber")
     tables.write_sheet_xml(rows, path, rows.columns, ["l_orderkey", "l_linenumber"])
     names = ["l_orderkey", "status", "flag", "l_linenumber", "absent"]
-    return files.sheet_records(files.read_sheet_xml(spark, f"{path}/*"), names).select(*names)
+    return files.read_sheet_table(spark, f"{path}/*", names).select(*names)
 
 
 @query("s02_csv_mark", "SELECT CAST(c_custkey AS VARCHAR) AS code, c_name AS name FROM customer")

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from plumbline.functions import constants as K
 from plumbline.functions.clean import as_col
 from plumbline.operators.scale import bound, join_null_safe
+from plumbline.session import reliable_checkpoint
 
 from .tabular import with_row_no
 
@@ -65,17 +68,64 @@ def read_sheet_xml(spark: SparkSession, path: str) -> DataFrame:
     pieces; rows from there on belong to other sheets. ``row_no`` grows along the sheet. Row ends inside
     comments or character data are not told apart from others.
     """
+    parts = _sheet_parts(spark, path)
+    first = _meet(parts, _sheet_marks(parts)).where(F.col("row_no") < F.col("end"))
+    return first.select("source_file", "row_no", row_cells("part").alias("raw_cells"))
+
+
+def read_sheet_table(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:
+    """What ``sheet_records`` makes of ``read_sheet_xml``, each row's XML parsed once.
+
+    Where a file's header row stands is known before any row is parsed, so only header rows are parsed for it.
+    """
+    parts = _sheet_parts(spark, path)
+    marked = _meet(parts, _sheet_marks(parts)).where(F.col("row_no") < F.col("end"))
+    header = marked.where(F.col("row_no") == F.col("header_no")).select("source_file", "end", "header_no", placed_cells(row_cells("part")).alias("header"))
+    header = reliable_checkpoint(_column_places(header, ["source_file", "end", "header_no"], columns))
+    body = _meet(parts, header).where((F.col("row_no") > F.col("header_no")) & (F.col("row_no") < F.col("end")))
+    return _at_places(body.withColumn("cells", placed_cells(row_cells("part"))), columns)
+
+
+def _sheet_parts(spark: SparkSession, path: str) -> DataFrame:
+    """(part, source_file, row_no): rows of all sheets without their end tags, and sheet ends."""
     pieces = spark.read.option("lineSep", "</Row>").text(path)
     parts = pieces.select("_metadata", F.explode(F.regexp_extract_all("value", F.lit(_PARTS), F.lit(0))).alias("part"))
-    parts = with_row_no(parts).drop("_metadata")
-    ends = parts.where(F.col("part") == _SHEET_END).groupBy("source_file").agg(F.min("row_no").alias("end"))
-    # One file may hold most rows: its rows meet its number in several tasks.
-    ends = ends.select("source_file", "end", F.explode(F.sequence(F.lit(0), F.lit(_SALTS - 1)).cast("array<bigint>")).alias("_salt"))
-    rows = parts.where(F.col("part") != _SHEET_END).withColumn("_salt", F.pmod("row_no", F.lit(_SALTS).cast("bigint")))
-    rows = rows.join(ends, ["source_file", "_salt"], "left").where(F.col("end").isNull() | (F.col("row_no") < F.col("end")))
-    whole = F.when(F.endswith("part", F.lit("/>")) & ~F.col("part").contains("<Cell"), F.col("part")).otherwise(F.concat("part", F.lit("</Row>")))
-    cells = F.from_xml(whole, f"Cell {CELL}", {"rowTag": "Row"})["Cell"]
-    return rows.select("source_file", "row_no", F.coalesce(cells, F.array().cast(CELL)).alias("raw_cells"))
+    return with_row_no(parts).drop("_metadata")
+
+
+def _sheet_marks(parts: DataFrame) -> DataFrame:
+    """(source_file, end, header_no): the number at which a file's first sheet ends, past all numbers if it never does, and its first row's.
+
+    One row per file, kept: Spark sees how small the table is and sends it to the rows, which then are not shuffled.
+    """
+    ends = F.col("part") == _SHEET_END
+    marks = parts.groupBy("source_file").agg(F.min(F.when(ends, F.col("row_no"))).alias("end"), F.min(F.when(~ends, F.col("row_no"))).alias("header_no"))
+    return reliable_checkpoint(marks.withColumn("end", F.coalesce("end", F.lit((1 << 63) - 1))))
+
+
+def _meet(parts: DataFrame, per_file: DataFrame) -> DataFrame:
+    """The rows of each file with the file's one row, in several tasks where they are shuffled: one file may hold most rows."""
+    salted = per_file.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(_SALTS - 1)).cast("array<bigint>")))
+    return parts.withColumn("_salt", F.pmod("row_no", F.lit(_SALTS).cast("bigint"))).join(salted, ["source_file", "_salt"]).drop("_salt")
+
+
+#: A cell whose text needs no XML parser: no markup in it, no space or control at its ends, and not the parser's word for null.
+_PLAIN_CELL = r'<Cell(?: ss:Index="([0-9]{1,9})")?><Data ss:Type="[A-Za-z]+">(?!null<)([^<>\p{Z}\p{C}](?:[^<>\p{Cc}\p{Cn}]*[^<>\p{Z}\p{C}])?)</Data></Cell>'
+
+
+def row_cells(part) -> Column:
+    """The cells of a row without its end tag. Rows of plain cells alone are read by their pattern, all others by the XML parser."""
+    part = as_col(part)
+    whole = F.when(F.endswith(part, F.lit("/>")) & ~part.contains("<Cell"), part).otherwise(F.concat(part, F.lit("</Row>")))
+    parsed = F.coalesce(F.from_xml(whole, f"Cell {CELL}", {"rowTag": "Row"})["Cell"], F.array().cast(CELL))
+    # What is left without plain cells is the row's own tag, and the row starts with it: nothing stands between or beside the cells.
+    tag = F.regexp_replace(part, _PLAIN_CELL, "")
+    plain = F.rlike(tag, F.lit(r"^<Row(?: [^<>]*)?>$")) & ~F.endswith(tag, F.lit("/>")) & F.startswith(part, tag) & ~F.rlike(part, F.lit("&(?!(?:lt|gt|amp|quot|apos);)"))
+    decoded = lambda x: F.when(~x.contains("&"), x).otherwise(reduce(lambda c, e: F.replace(c, F.lit(e[0]), F.lit(e[1])), [("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&apos;", "'"), ("&amp;", "&")], x))
+    cells = F.zip_with(
+        F.regexp_extract_all(part, F.lit(_PLAIN_CELL), F.lit(1)), F.regexp_extract_all(part, F.lit(_PLAIN_CELL), F.lit(2)),
+        lambda at, x: F.struct(F.struct(decoded(x).alias("_VALUE")).alias("Data"), F.nullif(at, F.lit("")).cast("bigint").alias("_ss:Index")))
+    return F.when(plain, cells.cast(CELL)).otherwise(parsed)
 
 
 def placed_cells(raw_cells) -> Column:
@@ -122,9 +172,17 @@ def sheet_records(rows: DataFrame, columns: list[str]) -> DataFrame:
     """
     cells = rows.select("source_file", "row_no", placed_cells("raw_cells").alias("cells"))
     header = cells.groupBy("source_file").agg(F.min("row_no").alias("header_no"), F.min_by("cells", "row_no").alias("header"))
+    header = _column_places(header, ["source_file", "header_no"], columns)
+    return _at_places(cells.join(header, "source_file").where(F.col("row_no") > F.col("header_no")), columns)
+
+
+def _column_places(header: DataFrame, kept: list[str], columns: list[str]) -> DataFrame:
+    """The place of each named column in the cells ``header``."""
     at = lambda c: F.get(F.filter("header", lambda h: F.trim(h["text"]) == c), F.lit(0))["at"]
-    header = header.select("source_file", "header_no", *[at(c).alias(f"_at_{i}") for i, c in enumerate(columns)])
-    body = cells.join(header, "source_file").where(F.col("row_no") > F.col("header_no"))
+    return header.select(*kept, *[at(c).alias(f"_at_{i}") for i, c in enumerate(columns)])
+
+
+def _at_places(body: DataFrame, columns: list[str]) -> DataFrame:
     return body.select("source_file", "row_no", *[cell_at("cells", F.col(f"_at_{i}")).alias(c) for i, c in enumerate(columns)])
 
 

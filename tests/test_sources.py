@@ -232,6 +232,27 @@ def test_one_sheet_is_read_by_many_tasks(spark, tmp_path):
         assert ids == sorted(ids)
 
 
+def test_plain_rows_are_read_as_the_parser_reads_them(spark):
+    """Rows whose cells need no XML parser, and rows that are nearly so, come out as the parser gives them."""
+    cell = lambda x, at="": f'<Cell{at}><Data ss:Type="String">{x}</Data></Cell>'
+    texts = ["x", "a &lt;&amp;&gt; b", "&amp;lt;", "&quot;q&apos;", " x", "x ", "\u00a0x", "null", "nullx", "NULL", "", "&#65;", "&bad;", "a<!-- c -->b", "<![CDATA[x]]>", "a\nb", "é漢😀", "a\tb", "\ufeffx", "$1\\n"]
+    bodies = [cell(x) + cell("z", ' ss:Index="7"') for x in texts] + ["", cell("a") + " " + cell("b"), cell("a") + "<Cell/>", '<Cell ss:Index="2" ss:y="1"><Data>x</Data></Cell>', cell("a", ' ss:Index="0"'), "t" + cell("a"), cell("a") + cell("b"), "<Cell><Data>" + cell("x") + "</Data></Cell>"]
+    rows = [f"<Row{tag}>{body}" for body in bodies for tag in ("", ' ss:Height="1"', ' a="&lt;"', ' a=">"')] + ["<Row/>", '<Row ss:x="1"/>', '<Row ss:x="/>" />']
+    df = spark.createDataFrame([(r, "</Row>" if not r.endswith("/>") or "<Cell" in r else "") for r in rows], "part string, closing string")
+    parsed = F.coalesce(F.from_xml(F.concat("part", "closing"), f"Cell {files.CELL}", {"rowTag": "Row"})["Cell"], F.array().cast(files.CELL))
+    got = df.select("part", files.row_cells("part").alias("cells"), parsed.alias("parsed")).collect()
+    assert [(r.part, r.cells) for r in got] == [(r.part, r.parsed) for r in got]
+
+
+def test_each_row_of_a_sheet_is_parsed_once(spark, tmp_path):
+    path = str(tmp_path / "book")
+    tables.write_sheet_xml(spark.range(100).select("id", F.lit(" x").alias("v")), path, ["id", "v"], ["id"])
+    got = files.read_sheet_table(spark, f"{path}/*", ["v", "id", "none"])
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("RelationV2") + plan.count("Relation [") == 2 and "min_by" not in plan  # the rows, and the kept places of the header's names
+    assert sorted((r.v, int(r.id), r.none) for r in got.collect()) == [(r.v, int(r.id), "") for r in sorted(files.sheet_records(files.read_sheet_xml(spark, f"{path}/*"), ["v", "id"]).collect(), key=lambda r: int(r.id))]
+
+
 def test_empty_rows_count_and_sheets_end(spark, tmp_path):
     (tmp_path / "a.xml").write_text('<Workbook xmlns:ss="u"><Worksheet ss:Name="a/>"><Table><Row/><Row ss:Height="1"><Cell/><Cell><Data>B</Data></Cell></Row><Row ss:x="/>" />\n<Row></Row>'
                                     '<Row/></Table></Worksheet><Worksheet><Table><Row/><Row><Cell><Data>no</Data></Cell></Row></Table></Worksheet></Workbook>')
