@@ -15,8 +15,10 @@ comparison. Nodes that stay large, or keep half of their parent's members, hold
 text, or many texts with one passage. Members of crowds go on to the children that all 64 of their values
 name. Small children are compared as other nodes are. A large child's members are compared with its pivot on
 the full sets, and what lies near a pivot without being linked to it is compared with what the pivot is
-linked with, as the triangle inequality asks. What is not linked with the pivot gets pivots of its own as long as they
-take away half of it; members left in so many children that they may have partners there are compared at last.
+linked with, as the triangle inequality asks. Members left in so many large children that they may have partners
+there meet by their full sets: linked sets share one of their shingles rarest among these members, and as few of them as linked
+sets may differ in and one more. Groups by a rare shingle are small; larger ones get pivots as long as those take away half of
+them, and what is left then is compared at last.
 
 Set identity is a 64-bit hash of the full set. Shingles are 64-bit hashes of their words, of which the full
 sets that are compared keep 48 bits.
@@ -331,39 +333,80 @@ class _Join:
         return reliable_checkpoint(map_batches(texts, make, "key bigint, fine binary, grams binary").dropDuplicates(["key"]))
 
     def crowd_nodes(self, crowd: DataFrame, sets: DataFrame) -> tuple[DataFrame, DataFrame]:
-        """Members of crowds go on to the children that all their values name: (gid, key) of small ones, (gid, pos, key, n, pivot) of large ones."""
+        """Members of crowds go on to the children that all their values name: (gid, key) of small ones, (gid, key, n, pivot) of large ones.
+
+        Linked sets share as many children as they have equal values, so of small ones those of any positions will do but as
+        many as linked sets may differ in.
+        """
         own = spread(crowd.join(sets.select("key", "sig"), "key"), "key")
         named = F.transform(F.sequence(F.lit(0), F.lit(POSITIONS - 1)), lambda p: F.xxhash64(F.lit("crowd"), p, F.substring(F.col("sig"), p * 3 + 1, F.lit(3))))
         rows = own.select("key", F.posexplode(named).alias("pos", "gid"))
-        return self.by_size(rows)
-
-    def by_size(self, rows: DataFrame) -> tuple[DataFrame, DataFrame]:
-        """(gid, key) of groups that are compared exhaustively; (gid, pos, key, n, pivot) of larger ones, and their pivots."""
-        counted = rows.groupBy("gid").agg(F.count("*").alias("n"), F.min(F.struct(F.xxhash64("key").alias("h"), "key")).alias("first"))
-        counted = reliable_checkpoint(counted.where("n > 1").select("gid", "n", F.col("first.key").alias("pivot")))
-        small = rows.join(counted.where(F.col("n") <= self.node).select("gid"), "gid").select("gid", "key")
-        return reliable_checkpoint(small), reliable_checkpoint(rows.join(counted.where(F.col("n") > self.node), "gid").select("gid", "pos", "key", "n", "pivot"))
-
-    def beyond_pivots(self, large: DataFrame, met: DataFrame, first: bool) -> tuple[DataFrame, DataFrame, DataFrame]:
-        """What large children hold besides what is linked with their pivots: small groups, cells, and large groups with new pivots.
-
-        Two members that are linked, but neither of them with a pivot, are both left in every child they share. They
-        share as many as linked sets have equal values, so at first who is left in fewer has no such partner, and
-        of the positions any will do but as many as linked sets may differ in. Where a pivot takes away half of
-        a child, the rest gets another one; else all the rest is compared, in cells of two halves of a node.
+        return self.by_size(rows, F.col("pos") <= POSITIONS - self.least)
+
+    def by_size(self, rows: DataFrame, wanted: Column | None = None) -> tuple[DataFrame, DataFrame]:
+        """(gid, key) of groups that are compared exhaustively; (gid, key, n, pivot) of larger ones, and their pivots.
+
+        ``wanted`` says which rows small groups are made of. Without it, of groups of the same members one stays. The largest
+        ``was`` of a group, if there is one, stays with it.
+        """
+        was = [F.max("was").alias("was")] if "was" in rows.columns else []
+        counted = rows.groupBy("gid").agg(F.count("*").alias("n"), F.min(F.struct(F.xxhash64("key").alias("h"), "key")).alias("first"), F.bit_xor(F.xxhash64("key")).alias("same"), *was)
+        counted = counted.where("n > 1")
+        counted = reliable_checkpoint((counted if wanted is not None else counted.dropDuplicates(["n", "same"])).drop("same").withColumn("pivot", F.col("first.key")).drop("first"))
+        members = rows.select("gid", "key")
+        small = (members if wanted is None else rows.where(wanted).select("gid", "key")).join(counted.where(F.col("n") <= self.node).select("gid"), "gid")
+        return reliable_checkpoint(small), reliable_checkpoint(members.join(counted.where(F.col("n") > self.node), "gid"))
+
+    def _left(self, large: DataFrame, met: DataFrame) -> DataFrame:
+        """The members of large groups but those linked with the pivot there, with the group's size as ``was``.
+
+        Two members that are linked, but neither of them with a pivot, are both left in every group they share.
         """
         linked = met.where("linked").select("key", "pivot")
-        left = large.where("key <> pivot").join(linked, ["key", "pivot"], "left_anti").select("gid", "pos", "key", F.col("n").alias("was"))
-        if first:
-            often = left.groupBy("key").count().where(F.col("count") >= self.least).select("key")
-            left = left.join(often, "key", "left_semi").where(F.col("pos") <= POSITIONS - self.least)
-        left = reliable_checkpoint(left)
-        small, again = self.by_size(left.select("gid", "pos", "key"))
-        again = again.join(left.groupBy("gid").agg(F.min("was").alias("was")), "gid")
+        return large.where("key <> pivot").join(linked, ["key", "pivot"], "left_anti").select("gid", "key", F.col("n").alias("was"))
+
+    def beside_pivots(self, large: DataFrame, met: DataFrame) -> DataFrame:
+        """(key) of the members of large children that may be linked with one that no pivot they share is linked with.
+
+        Such partners are left in as many children as linked sets have equal values; who is left in fewer has none.
+        """
+        left = self._left(large, met).groupBy("key").count()
+        return reliable_checkpoint(left.where(F.col("count") >= self.least).select("key"))
+
+    def rare_groups(self, keys: DataFrame, grams: DataFrame) -> DataFrame:
+        """(gid, key): the wanted sets by the rarest of their shingles, so many that linked sets share one.
+
+        A set of n has at least ``percent`` hundredths of n in common with one it is linked with. In one order of all
+        shingles, the rarest among these sets first, the first that both hold lies in both so early that the rest is enough.
+        """
+        percent = self.percent
+
+        def make():
+            def step(batch: dict[str, list]) -> dict[str, list]:
+                tokens = [_unpacked(g).view(np.int64) for g in batch["grams"]]
+                return {"key": batch["key"], "size": [len(t) for t in tokens], "tokens": tokens}
+
+            return step
+
+        listed = map_batches(grams.select("key", "grams").join(keys, "key"), make, "key bigint, size bigint, tokens array<bigint>")
+        rows = reliable_checkpoint(listed.select("key", "size", F.explode("tokens").alias("token")))
+        # A shingle of one set is rarer than all others and leads to nobody.
+        shared = rows.join(reliable_checkpoint(rows.groupBy("token").agg(F.count("*").alias("n")).where("n > 1")), "token")
+        ordered = shared.groupBy("key", "size").agg(F.array_sort(F.collect_list(F.struct("n", "token"))).alias("shared"))
+        n = F.size("shared") + 1 - F.floor((F.col("size") * percent + 99) / 100)
+        return reliable_checkpoint(ordered.select("key", F.explode(F.slice("shared", F.lit(1), F.greatest(n, F.lit(0)).cast("int"))).alias("s")).select(F.xxhash64(F.lit("rare"), "s.token").alias("gid"), "key"))
+
+    def beyond_pivots(self, large: DataFrame, met: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+        """What large groups hold besides what is linked with their pivots: small groups, cells, and large groups with new pivots.
+
+        Where a pivot takes away half of a group, the rest gets another one; else all the rest is compared, in cells of
+        two halves of a node.
+        """
+        small, again = self.by_size(reliable_checkpoint(self._left(large, met)))
         cut = again.where(2 * F.col("n") > F.col("was")).withColumn("_parts", F.ceil(F.col("n") / max(1, self.node // 2)))
         cut = cut.withColumn("_i", F.pmod(F.xxhash64("key"), "_parts")).withColumn("_j", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("_parts") - 1)))
         cells = cut.select(F.xxhash64(F.lit("rest"), "gid", F.least("_i", "_j"), F.greatest("_i", "_j")).alias("gid"), "key")
-        return small, cells, reliable_checkpoint(again.where(2 * F.col("n") <= F.col("was")).select("gid", "pos", "key", "n", "pivot"))
+        return small, cells, reliable_checkpoint(again.where(2 * F.col("n") <= F.col("was")).drop("was"))
 
     def against_pivots(self, pairs: DataFrame, grams: DataFrame) -> DataFrame:
         """(key, pivot, linked) of the pairs that are linked, or so near that the set may be linked with one that the pivot is linked with.
@@ -485,17 +528,18 @@ class _Join:
         if crowd is not None:
             small, large = self.crowd_nodes(crowd, sets)
             rest = rest.unionByName(small)
-            first_round = True
-            while True:
+            while not large.isEmpty():
                 pairs = large.where("key <> pivot").select("key", "pivot").distinct()
                 near = self.against_pivots(pairs, grams)
-                met = near if met is None else met.unionByName(near).distinct()
                 labels = _connect(labels, near.where("linked").select(F.col("key").alias("u"), F.col("pivot").alias("v")))
-                small, cells, large = self.beyond_pivots(large, near, first_round)
-                first_round = False
-                rest = rest.unionByName(small).unionByName(cells)
-                if large.isEmpty():
-                    break
+                if met is None:
+                    met = near
+                    small, large = self.by_size(self.rare_groups(self.beside_pivots(large, near), grams))
+                else:
+                    met = met.unionByName(near).distinct()
+                    small, cells, large = self.beyond_pivots(large, near)
+                    rest = rest.unionByName(cells)
+                rest = rest.unionByName(small)
         waves.append(rest.join(reliable_checkpoint(tested), "key", "left"))
         for own in waves:
             seen = own.join(labels, "key")

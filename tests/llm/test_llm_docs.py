@@ -429,3 +429,30 @@ def test_near_copies_far_from_every_pivot(spark):
     rows = [(n, f"{passage} {own(n, 48 if n % 20 == 7 else 200)}") for n in range(300)]
     got = near_copies.near_copies(spark.createDataFrame(rows, "doc_id bigint, text string").repartition(4), node=8).collect()
     assert {r.doc_id: r.component_id for r in got} == {n: 7 if n % 20 == 7 else n for n, _ in rows}
+
+
+def test_edits_of_one_text_that_no_pivot_is_linked_with_are_not_compared_whole(spark, monkeypatch):
+    """Texts with words of one base changed here and there, most too far from each other; what is compared grows as they do."""
+    rng, rows, compared = random.Random(5), [], []
+    base = [f"b{i}" for i in range(150)]
+    for n in range(600):
+        own = list(base) if n % 3 or not n else rows[n - 1][1].split()
+        for _ in range(11 if n % 3 or not n else 2):
+            own[rng.randrange(150)] = f"x{rng.random()}"
+        rows.append((n, " ".join(own)))
+    judged = near_copies._Join.candidates
+
+    def candidates(self, groups, grams):
+        compared[-1] += groups.count()
+        return judged(self, groups, grams)
+
+    monkeypatch.setattr(near_copies._Join, "candidates", candidates)
+    for size in (300, 600):
+        compared.append(0)
+        docs = spark.createDataFrame(rows[:size], "doc_id bigint, text string").repartition(4)
+        got = {r.doc_id: r.component_id for r in near_copies.near_copies(docs, node=16).collect()}
+        found, least = components([shingles(t, 3) for _, t in rows[:size]], 85), {}
+        for i, root in enumerate(found):
+            least.setdefault(root, i)
+        assert got == {i: least[root] for i, root in enumerate(found)}
+    assert compared[1] < 3 * compared[0] and compared[1] < 40 * 600, compared
